@@ -16,3 +16,13 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     variable, which is a plain lookup.
     """
     return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def as_rows(array: Column) -> Column:
+    """The same array, for use in ``explode`` and ``posexplode``.
+
+    For a bare column the optimizer adds ``size(column) > 0`` below the generator and
+    pushes it down with the column's whole expression, which then runs several times.
+    It leaves other expressions alone.
+    """
+    return F.transform(array, lambda item: item)

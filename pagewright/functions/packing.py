@@ -43,27 +43,26 @@ def pack_starts(lengths: Column, budget: int) -> Column:
             ),
         )
 
+    def fold(items: Column) -> Column:
+        n_blocks = F.ceil(F.size(items) / FOLD_BLOCK).cast("int")
+        numbers = F.when(n_blocks > 0, F.sequence(F.lit(1), n_blocks)).otherwise(no_starts)
+        return F.aggregate(
+            F.transform(
+                numbers, lambda b: F.slice(items, (b - 1) * FOLD_BLOCK + 1, FOLD_BLOCK)
+            ),
+            F.struct(
+                F.lit(0).cast("bigint").alias("total"),
+                F.array().cast("array<array<int>>").alias("blocks"),
+            ),
+            fold_block,
+            lambda state: F.flatten(state["blocks"]),
+        )
+
     items = F.transform(
         lengths,
         lambda n, i: F.struct(n.cast("bigint").alias("length"), i.cast("int").alias("position")),
     )
-    blocks = let(
-        items,
-        lambda all_items: F.transform(
-            F.sequence(F.lit(0), F.floor((F.size(all_items) - 1) / FOLD_BLOCK).cast("int")),
-            lambda b: F.slice(all_items, b * FOLD_BLOCK + 1, FOLD_BLOCK),
-        ),
-    )
-    folded = F.aggregate(
-        blocks,
-        F.struct(
-            F.lit(0).cast("bigint").alias("total"),
-            F.array().cast("array<array<int>>").alias("blocks"),
-        ),
-        fold_block,
-        lambda state: F.flatten(state["blocks"]),
-    )
-    return F.when(F.size(lengths) > 0, folded).otherwise(no_starts)
+    return let(items, fold)
 
 
 def pack_segments(segments: Column, budget: int, separator: str = "\n") -> Column:

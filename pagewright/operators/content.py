@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.functions import sections as S
+from pagewright.functions.binding import as_rows
 
 
 def with_blocks(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -34,7 +35,8 @@ def page_sections(pages: DataFrame, keys: list[str], html: str = "html") -> Data
 def sections(page_content: DataFrame, keys: list[str], keep_empty: bool = False) -> DataFrame:
     """One row per section: keys, section_index, title, texts, continuation."""
     explode = F.posexplode_outer if keep_empty else F.posexplode
-    rows = page_content.select(*keys, explode("image_content").alias("section_index", "s"))
+    content = as_rows(F.col("image_content"))
+    rows = page_content.select(*keys, explode(content).alias("section_index", "s"))
     return rows.select(*keys, "section_index", "s.title", "s.texts", "s.continuation")
 
 

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.operators.skew import hot_keys, lookup_join
+from pagewright.operators.skew import heavy_keys, lookup_join
+from pagewright.sinks.tables import materialize
 
 DEFAULT_THREADS = 20
 
@@ -51,9 +52,12 @@ def dedup_enrich(
 ) -> DataFrame:
     """Enrich every row, calling ``function`` once per distinct content of the table.
 
-    Result: keys, result, error. Copies are collapsed before and after the shuffle; what
-    joins back is a content hash with its answer, never the content. Contents that fill
-    much of the table are salted in that join. Null content is not sent and gets null.
+    Result: keys, result, error. Copies are counted away before and after the shuffle.
+    The answers are written to the shared folder, so a lost executor does not repeat calls
+    that were answered and the rest of the plan does not run them again; this is the one
+    operator that starts a job when it is called. What joins back is a content hash with
+    its answer, never the content, and contents that fill much of the table are salted
+    in that join. Null content is not sent and gets null.
     """
     digest = F.sha2(F.col(content), 256)
     distinct = (
@@ -62,11 +66,10 @@ def dedup_enrich(
         .agg(F.count("*").alias("copies"))
         .select(digest.alias("digest"), content, "copies")
     )
-    answers = call_for_each(distinct, content, function, threads)
+    answers = materialize(call_for_each(distinct, content, function, threads), "answers")
     rows = df.select(*keys, digest.alias("digest"))
-    joined = lookup_join(
-        rows, answers.drop("copies"), "digest", hot_keys(distinct, "digest", "copies"), keys
-    )
+    hot = heavy_keys(answers, "digest", "copies")
+    joined = lookup_join(rows, answers.drop("copies"), ["digest"], hot, keys)
     return joined.select(*keys, "result", "error")
 
 

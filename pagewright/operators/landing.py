@@ -24,41 +24,54 @@ def url_parts(df: DataFrame, url: str = "url", keys: list[str] | None = None) ->
 def query_values(df: DataFrame, url: str = "url", keys: list[str] | None = None) -> DataFrame:
     """The query map as rows: key, position of the value under its key, value."""
     keys = keys or []
-    mapped = df.select(*keys, U.query_map(U.url_query_string(F.col(url))).alias("m"))
-    entries = mapped.select(*keys, F.explode("m").alias("key", "values"))
+    query = U.query_map(U.url_query_string(F.col(url)))
+    entries = df.select(*keys, F.explode(query).alias("key", "values"))
     return entries.select(*keys, "key", F.posexplode("values").alias("position", "value"))
 
 
-def landed_content(
-    landed: DataFrame, url: str, content: str, newest_by: str, keep_content: bool
+def resolve_content(
+    manifest: DataFrame,
+    landed: DataFrame,
+    url: str = "url",
+    content: str = "content",
+    newest_by: str = "modificationTime",
+    spread_by: list[str] | None = None,
 ) -> DataFrame:
-    """One row per URL: byte length, and the content when asked for.
+    """Every manifest row with ``found`` and ``n_bytes``.
 
-    When a URL landed more than once the newest copy counts. Partial aggregation leaves
-    one row per URL and task before the shuffle.
+    When a URL landed more than once the newest copy counts. Only lengths are grouped and
+    joined, the content stays in its scan. A URL listed very often is salted; see
+    ``lookup_join``.
     """
-    measured = [F.max_by(F.octet_length(content).cast("bigint"), newest_by).alias("n_bytes")]
-    if keep_content:
-        measured.append(F.max_by(content, newest_by).alias("content"))
-    return landed.groupBy(url).agg(*measured)
+    n_bytes = F.octet_length(content).cast("bigint")
+    newest = landed.groupBy(url).agg(
+        F.max_by(n_bytes, newest_by).alias("n_bytes"), F.lit(True).alias("_found")
+    )
+    joined = lookup_join(
+        manifest, newest, [url], hot_keys(manifest, url), spread_by or manifest.columns
+    )
+    return joined.withColumn("found", F.coalesce("_found", F.lit(False))).drop("_found")
 
 
-def resolve_content(
+def with_content(
     manifest: DataFrame,
     landed: DataFrame,
     url: str = "url",
     content: str = "content",
     newest_by: str = "modificationTime",
-    keep_content: bool = False,
     spread_by: list[str] | None = None,
 ) -> DataFrame:
-    """Every manifest row with ``found``, ``n_bytes`` and, if kept, ``content``.
+    """Every manifest row with its ``content``, null when nothing landed.
 
-    Only lengths travel through the join unless the content is kept. A URL listed very
-    often is salted; see ``lookup_join``.
+    ``newest_by`` tells the copies of one URL apart. The newest copy is first chosen from
+    (url, newest_by) alone, so that the content goes through one shuffle and is never
+    sorted for an aggregate.
     """
-    right = landed_content(landed, url, content, newest_by, keep_content)
-    right = right.withColumn("_found", F.lit(True))
-    hot = hot_keys(manifest.groupBy(url).agg(F.count("*").alias("n")), url, "n")
-    joined = lookup_join(manifest, right, url, hot, spread_by or manifest.columns)
-    return joined.withColumn("found", F.coalesce("_found", F.lit(False))).drop("_found")
+    newest = landed.groupBy(url).agg(F.max(newest_by).alias("_version"))
+    hot = hot_keys(manifest, url)
+    spread = spread_by or manifest.columns
+    chosen = lookup_join(manifest, newest, [url], hot, spread)
+    copies = landed.select(
+        url, F.col(newest_by).alias("_version"), F.col(content).alias("content")
+    )
+    return lookup_join(chosen, copies, [url, "_version"], hot, spread).drop("_version")

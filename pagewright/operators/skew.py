@@ -10,47 +10,49 @@ from pyspark.sql import functions as F
 HOT_SHARE = 0.001
 
 
-def hot_keys(counts: DataFrame, key: str, count: str, share: float = HOT_SHARE) -> DataFrame:
-    """Keys of a (key, count) table that hold more than ``share`` of all counted rows.
+def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
+    """Keys holding more than ``share`` of the rows of ``df``: fewer than ``1 / share``.
 
-    Fewer than ``1 / share`` rows come out.
+    Reads the key column only and counts before it shuffles.
     """
-    total = counts.agg(F.sum(count)).scalar()
-    return counts.filter(F.col(count) > total * F.lit(share)).select(key)
+    total = df.agg(F.count("*")).scalar()
+    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
+    return counts.filter(F.col("_n") > total * F.lit(share)).select(key)
+
+
+def heavy_keys(weighted: DataFrame, key: str, weight: str, share: float = HOT_SHARE) -> DataFrame:
+    """``hot_keys`` of a table that already holds one row per key and its row count."""
+    total = weighted.agg(F.sum(weight)).scalar()
+    return weighted.filter(F.col(weight) > total * F.lit(share)).select(key)
 
 
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
-    key: str,
+    on: list[str],
     hot: DataFrame,
     spread_by: list[str],
     fan_out: int | None = None,
 ) -> DataFrame:
-    """Left outer join to ``right``, which holds one row per key.
+    """Left outer join to ``right``, which holds one row per value of ``on``.
 
-    Rows of a hot key are spread over ``fan_out`` salts by a hash of ``spread_by`` and the
-    one matching right row is repeated once per salt. All other rows keep salt 0, so
-    only the hot keys (fewer than ``1 / HOT_SHARE``) are repeated. Nothing is dropped and
-    the result equals the plain left join.
+    ``hot`` lists the hot values of the first column of ``on``. Their rows are spread over
+    ``fan_out`` salts by a hash of ``spread_by`` and the matching right row is repeated once
+    per salt. All other rows keep salt 0, so only the hot keys (fewer than
+    ``1 / HOT_SHARE``) are repeated. Rows without a key match nothing and are spread too.
+    Nothing is dropped: the result equals the plain left join.
     """
+    key = on[0]
     if fan_out is None:
         fan_out = max(32, left.sparkSession.sparkContext.defaultParallelism)
     marked = F.broadcast(hot.select(F.col(key), F.lit(True).alias("_hot")))
+    spread = F.pmod(F.xxhash64(*spread_by), F.lit(fan_out)).cast("int")
     salted_left = left.join(marked, key, "left").withColumn(
-        "_salt",
-        F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread_by), F.lit(fan_out)).cast("int")).otherwise(0),
+        "_salt", F.when(F.col("_hot") | F.col(key).isNull(), spread).otherwise(0)
     )
+    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(fan_out - 1)))
     salted_right = right.join(marked, key, "left").withColumn(
-        "_salt",
-        F.explode(
-            F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(fan_out - 1))).otherwise(
-                F.array(F.lit(0))
-            )
-        ),
-    )
-    return (
-        salted_left.drop("_hot")
-        .join(salted_right.drop("_hot"), [key, "_salt"], "left")
-        .drop("_salt")
+        "_salt", F.explode(F.coalesce(salts, F.array(F.lit(0))))
     )
+    joined = salted_left.drop("_hot").join(salted_right.drop("_hot"), [*on, "_salt"], "left")
+    return joined.drop("_salt")

@@ -58,8 +58,9 @@ def gap_segments(events: DataFrame, key: str, ts: str, gap_micros: int) -> DataF
     has. Events without a time form one segment of their own, ahead of the others.
     """
     timed = events.select(key, micros(events, ts).alias("t"))
+    slot_start = F.col("t") - F.pmod(F.col("t"), F.lit(gap_micros))
     slots = (
-        timed.groupBy(key, F.floor(F.col("t") / gap_micros).alias("slot"))
+        timed.groupBy(key, slot_start.alias("slot"))
         .agg(F.count("*").alias("n"), F.min("t").alias("first"), F.max("t").alias("last"))
     )
     in_order = Window.partitionBy(key).orderBy("slot")

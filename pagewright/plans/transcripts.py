@@ -47,8 +47,8 @@ def nlp_urls(source: DataFrame, title: Column, url: Column) -> DataFrame:
 def audio_raw(urls_with_content: DataFrame, content: str = "content") -> DataFrame:
     """Manifest rows with URL parts and content.
 
-    Takes manifest rows that carry their content; ``resolve_content`` with
-    ``keep_content`` makes them from a landed table.
+    Takes manifest rows that carry their content; ``landing.with_content`` makes them
+    from a landed table.
     """
     u = F.col("url")
     return urls_with_content.select(

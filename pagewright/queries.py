@@ -12,6 +12,7 @@ from pagewright.functions import sections as S
 from pagewright.functions import text as X
 from pagewright.functions import urls as U
 from pagewright.functions import vectors as V
+from pagewright.functions.binding import as_rows
 from pagewright.operators import arithmetic, content, enrich, landing, paging, transcripts, words
 from pagewright.operators.embedding import cosine_to_row, embed_texts
 from pagewright.plans import documents as document_flow
@@ -378,10 +379,8 @@ def flow_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     title = F.regexp_extract("html", PAGE_TITLE, 1)
     landed = pages.select("url", F.encode("html", "utf-8").alias("content"), "page_id")
     urls = transcript_flow.nlp_urls(pages, title, F.col("url"))
-    with_content = landing.resolve_content(
-        urls, landed, newest_by="page_id", keep_content=True, spread_by=["url", "title"]
-    )
-    converted = transcript_flow.nlp_converted(transcript_flow.audio_raw(with_content))
+    fetched = landing.with_content(urls, landed, newest_by="page_id", spread_by=["url", "title"])
+    converted = transcript_flow.nlp_converted(transcript_flow.audio_raw(fetched))
     return converted.select(
         "title",
         "path",
@@ -402,8 +401,10 @@ def flow_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 def embed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _busy(spark, sf_dir, "documents").select("doc_id", "text")
     vectors = embed_texts(documents, output="vector")
-    rows = vectors.select("doc_id", F.posexplode("vector").alias("dim", "value"))
-    return rows.select("doc_id", F.col("dim").cast("bigint").alias("dim"), F.round("value", 6).alias("value"))
+    rows = vectors.select("doc_id", F.posexplode(as_rows(F.col("vector"))).alias("dim", "value"))
+    return rows.select(
+        "doc_id", F.col("dim").cast("bigint").alias("dim"), F.round("value", 6).alias("value")
+    )
 
 
 @query
@@ -431,7 +432,11 @@ def cls_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read_table(spark, sf_dir, "embeddings")
     hidden = V.reshape(F.col("embedding"), 8, 8)
     rows = vectors.select("vec_id", F.posexplode(V.cls_pool(hidden)).alias("dim", "value"))
-    return rows.select("vec_id", F.col("dim").cast("bigint").alias("dim"), F.col("value").cast("double").alias("value"))
+    return rows.select(
+        "vec_id",
+        F.col("dim").cast("bigint").alias("dim"),
+        F.col("value").cast("double").alias("value"),
+    )
 
 
 @query

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,16 @@ def shared_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="pagewright-")
 
 
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` under the shared folder and return the written table.
+
+    Cuts the lineage: what comes after reads files and never recomputes ``df``.
+    """
+    path = f"{shared_folder(df.sparkSession)}/pagewright/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def save_table(
     df: DataFrame,
     name: str,
