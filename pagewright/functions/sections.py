@@ -35,17 +35,18 @@ SECTION_SCHEMA = T.ArrayType(
 )
 
 
-def html_blocks(html: Column) -> Column:
+def html_blocks(html: Column, tags: dict[str, str] = BLOCK_TAGS) -> Column:
     """Array of (kind, text) blocks of a page in reading order; text is tag-free.
 
-    A block runs from its opening tag to the next one, so unclosed tags do no harm.
-    What precedes the first block is not a block.
+    ``tags`` maps each literal opening tag to its block type. A block runs from its opening
+    tag to the next one, so unclosed tags do no harm. What precedes the first block is not
+    a block.
     """
-    opening = "|".join(BLOCK_TAGS)
+    opening = "|".join(f"\\Q{tag}\\E" for tag in tags)
 
     def kind(piece: Column) -> Column:
         result = F.lit(None).cast("string")
-        for tag, name in BLOCK_TAGS.items():
+        for tag, name in tags.items():
             result = F.when(F.startswith(piece, F.lit(tag)), name).otherwise(result)
         return result
 

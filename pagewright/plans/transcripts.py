@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagewright.functions import sections as S
 from pagewright.functions import text as X
 from pagewright.functions import urls as U
 from pagewright.operators.content import joined_texts
+from pagewright.operators.landing import with_content
 from pagewright.operators.transcripts import concat_parts, pack_lines
+from pagewright.operators.words import top_words, word_counts, word_tokens
+from pagewright.sinks import tables as sink
 from pagewright.sources.tables import manifest
 
 
@@ -69,3 +72,52 @@ def nlp_converted(raw: DataFrame) -> DataFrame:
     html = F.col("content").cast("string")
     spoken = joined_texts(S.assemble_sections(S.html_blocks(html)))
     return raw.withColumn("speech_as_text", spoken)
+
+
+def speech_reference_counts(speech: DataFrame, who: str, text: str = "speech_text") -> DataFrame:
+    """Word counts of a reference transcript, most frequent first."""
+    return top_words(word_counts(word_tokens(speech, text), who))
+
+
+def write_transcript_tables(
+    spark: SparkSession,
+    urls: DataFrame,
+    landed: DataFrame,
+    budget: int,
+    database: str = "audio",
+    location: str | None = None,
+    newest_by: str = "modificationTime",
+) -> dict[str, DataFrame]:
+    """Run the flow table by table.
+
+    Writes audio_raw, audio_converted_parts, audio_converted, audio_converted_v2 and
+    audio_partitioned. ``urls`` has the manifest's columns, ``landed`` the content of each
+    URL. Each stage reads the table written before it.
+    """
+    sink.create_database(spark, database)
+
+    def path(table: str) -> str | None:
+        return f"{location.rstrip('/')}/{table}" if location else None
+
+    def save(df: DataFrame, table: str) -> DataFrame:
+        return sink.save_table(df, f"{database}.{table}", path(table))
+
+    raw = save(audio_raw(with_content(urls, landed, newest_by=newest_by)), "audio_raw")
+    spoken = raw.select("url", F.col("content").cast("string").alias("content"))
+    chunks = pack_lines(spoken, "url", "content", budget)
+    parts = save(converted_parts(chunks, "url", "chunk_index", "chunk"), "audio_converted_parts")
+    whole = save(concat_parts(parts), "audio_converted")
+    converted = save(nlp_converted(raw), "audio_converted_v2")
+    partitioned = sink.save_partitioned(
+        sink.with_partition(converted, F.col("site")),
+        f"{database}.audio_partitioned",
+        ["url"],
+        path=path("audio_partitioned"),
+    )
+    return {
+        "audio_raw": raw,
+        "audio_converted_parts": parts,
+        "audio_converted": whole,
+        "audio_converted_v2": converted,
+        "audio_partitioned": partitioned,
+    }

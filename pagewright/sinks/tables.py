@@ -71,14 +71,26 @@ def save_partitioned(
     """Overwrite a table partitioned by one column.
 
     Rows are gathered by partition value first, so a task does not open a file in every
-    partition, and each value is salted, so a value with a third of the rows is written
-    by many tasks. Adaptive execution then evens out the file sizes.
+    partition. A value with much of the rows is still written by many tasks: adaptive
+    execution splits what the rebalance leaves too big, and where that is switched off
+    each value is salted by a hash of ``spread_by``.
     """
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(files_per_partition))
-    gathered = df.withColumn("_salt", salt).hint("rebalance", partition, "_salt").drop("_salt")
+    if _splits_big_partitions(df.sparkSession):
+        gathered = df.hint("rebalance", partition)
+    else:
+        salt = F.pmod(F.xxhash64(*spread_by), F.lit(files_per_partition))
+        gathered = df.withColumn("_salt", salt).hint("rebalance", partition, "_salt").drop("_salt")
     return save_table(gathered, name, path, fmt, [partition])
 
 
+def _splits_big_partitions(spark: SparkSession) -> bool:
+    settings = (
+        "spark.sql.adaptive.enabled",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled",
+    )
+    return all(spark.conf.get(s) == "true" for s in settings)
+
+
 def create_table_as(
     spark: SparkSession,
     name: str,

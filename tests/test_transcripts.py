@@ -151,3 +151,32 @@ def test_three_tables(spark):
     assert raw.columns == [
         "title", "date", "path", "file_name", "url", "site", "scheme", "query", "content"
     ]
+
+
+def test_transcript_tables(spark, tmp_path):
+    urls = flow.nlp_urls(
+        spark.createDataFrame([("t1", "http://h/a?k=v"), ("t2", "http://g/b")], "t string, u string"),
+        F.col("t"),
+        F.col("u"),
+    )
+    content = b"<h1>T<p>first line\nsecond line<p>third"
+    landed = spark.createDataFrame(
+        [("http://h/a?k=v", content, 1)], "url string, content binary, modificationTime int"
+    )
+    out = flow.write_transcript_tables(spark, urls, landed, 20, "audio_test", str(tmp_path))
+    assert out["audio_raw"].count() == 2
+    parts = [tuple(r) for r in out["audio_converted_parts"].orderBy("chunk_index").collect()]
+    url = "http://h/a?k=v"
+    assert parts == [(url, 0, "<h1>T<p>first line"), (url, 1, "second line<p>third")]
+    whole = out["audio_converted"].head()
+    assert whole.converted_texts == "<h1>T<p>first line second line<p>third"
+    texts = {r.url: r.speech_as_text for r in spark.table("audio_test.audio_converted_v2").collect()}
+    assert texts == {url: "first line\nsecond line third", "http://g/b": None}
+    assert spark.table("audio_test.audio_partitioned").columns[-1] == "partition"
+    spark.sql("DROP DATABASE audio_test CASCADE")
+
+
+def test_speech_reference_counts(spark):
+    df = spark.createDataFrame([("Hope and hope, change. Hope!",)], "speech_text string")
+    rows = [tuple(r) for r in flow.speech_reference_counts(df, "obama").collect()]
+    assert rows == [("obama", "Hope", 2), ("obama", "change", 1), ("obama", "hope", 1)]
