@@ -36,28 +36,25 @@ SECTION_SCHEMA = T.ArrayType(
 
 
 def html_blocks(html: Column, tags: dict[str, str] = BLOCK_TAGS) -> Column:
-    """Array of (kind, text) blocks of a page in reading order; text is tag-free.
+    """Array of (kind, text) blocks of a page in reading order; text is tag-free and stripped.
 
     ``tags`` maps each literal opening tag to its block type. A block runs from its opening
     tag to the next one, so unclosed tags do no harm. What precedes the first block is not
     a block.
     """
-    opening = "|".join(f"\\Q{tag}\\E" for tag in tags)
-
-    def kind(piece: Column) -> Column:
-        result = F.lit(None).cast("string")
-        for tag, name in tags.items():
-            result = F.when(F.startswith(piece, F.lit(tag)), name).otherwise(result)
-        return result
-
-    pieces = F.transform(
-        F.split(html, f"(?={opening})"),
-        lambda p: F.struct(
-            kind(p).alias("kind"),
-            strip(F.regexp_replace(p, "<[^>]*>", " ")).alias("text"),
-        ),
-    )
-    return F.filter(pieces, lambda b: b["kind"].isNotNull())
+    # The split eats the "<" of the opening tag: with a literal first the matcher skips
+    # ahead quickly. The first piece is what precedes the first block.
+    names = [tag.removeprefix("<") for tag in tags]
+    opening = "<(?=" + "|".join(f"\\Q{name}\\E" for name in names) + ")"
+
+    def block(piece: Column) -> Column:
+        kind = F.lit(None).cast("string")
+        for name, tag in zip(names, tags):
+            kind = F.when(F.startswith(piece, F.lit(name)), tags[tag]).otherwise(kind)
+        text = F.regexp_replace(F.concat(F.lit("<"), piece), "<[^>]*>", " ")
+        return F.struct(kind.alias("kind"), strip(text).alias("text"))
+
+    return F.transform(F.filter(F.split(html, opening), lambda p, i: i > 0), block)
 
 
 def order_blocks(blocks: Column, by: str = "y") -> Column:
@@ -82,20 +79,19 @@ def page_titles(blocks: Column) -> Column:
     return F.transform(titles, lambda b: strip(b["text"]))
 
 
-def assemble_sections(blocks: Column) -> Column:
+def assemble_sections(blocks: Column, stripped: bool = False) -> Column:
     """Ordered blocks of one page to an array of (title, texts, continuation).
 
     A title opens a section and the texts after it belong to it. Texts before any title
     form one leading section with no title and ``continuation = true``; a titled section
     has a null continuation. Blank blocks and other block types are left out first, so a
-    blank title opens nothing.
+    blank title opens nothing. ``stripped`` says that the block texts are stripped already.
     """
-    usable = F.filter(
-        F.transform(
+    if not stripped:
+        blocks = F.transform(
             blocks, lambda b: F.struct(b["kind"].alias("kind"), strip(b["text"]).alias("text"))
-        ),
-        lambda b: b["kind"].isin(TITLE, TEXT) & (b["text"] != ""),
-    )
+        )
+    usable = F.filter(blocks, lambda b: b["kind"].isin(TITLE, TEXT) & (b["text"] != ""))
 
     def first_positions(kept: Column) -> Column:
         marked = F.transform(kept, lambda b, i: F.when((i == 0) | (b["kind"] == TITLE), i))

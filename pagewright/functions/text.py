@@ -16,6 +16,7 @@ WHITESPACE = (
 # [^a-zA-Z\d:] written as ranges: the JVM matches a negated class of several ranges about
 # five times slower.
 WORD_SEPARATOR = r"[\x00-/;-@\[-`{-\x{10FFFF}]"
+WORD = r"[a-zA-Z\d:]+"
 HAS_LETTER = "[a-zA-Z]+"
 
 # English stop words, in their usual order, contractions and their
@@ -50,9 +51,11 @@ def wrap_markers(text: Column) -> Column:
     return F.concat(F.lit(START_MARKER), text, F.lit(END_MARKER))
 
 
-def words(text: Column) -> Column:
+def words(text: Column, keep_empty: bool = True) -> Column:
     """Array of words; runs of separators give empty strings, as a plain split does."""
-    return F.split(text, WORD_SEPARATOR)
+    if keep_empty:
+        return F.split(text, WORD_SEPARATOR)
+    return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
 
 
 def is_stop_word(word: Column) -> Column:
@@ -72,9 +75,15 @@ def register_stop_word_function(spark: SparkSession, name: str = "is_stop_word")
     )
 
 
-def tokens(text: Column) -> Column:
-    """Lower-case word tokens (ASCII letters, digits, underscore), without empty ones."""
-    return F.filter(F.split(F.lower(text), r"\W+"), lambda t: t != "")
+def tokens(text: Column, first: int | None = None) -> Column:
+    """Lower-case word tokens (ASCII letters, digits, underscore), without empty ones.
+
+    With ``first``, only that many: splitting stops there and does not cut up the rest.
+    """
+    # One piece more for an empty one ahead of the first token, one for the rest.
+    limit = -1 if first is None else first + 2
+    found = F.filter(F.split(F.lower(text), r"\W+", limit), lambda t: t != "")
+    return found if first is None else F.slice(found, 1, first)
 
 
 def pad_truncate(token_array: Column, length: int, pad: str = PAD_TOKEN) -> Column:

@@ -28,7 +28,7 @@ def page_titles(pages: DataFrame, keys: list[str], html: str = "html") -> DataFr
 
 def page_sections(pages: DataFrame, keys: list[str], html: str = "html") -> DataFrame:
     """One row per page: keys, image_content (array of title, texts, continuation)."""
-    sections = S.assemble_sections(S.html_blocks(F.col(html)))
+    sections = S.assemble_sections(S.html_blocks(F.col(html)), stripped=True)
     return pages.select(*keys, sections.alias("image_content"))
 
 

@@ -26,20 +26,20 @@ def hashed_words_encoder(dims: int = 64) -> EncoderFactory:
         import numpy as np
 
         word = re.compile("[0-9a-z_]+")
-        bucket_of = {}
 
-        def bucket(token):
-            found = bucket_of.get(token)
-            if found is None:
-                found = int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % dims
-                if len(bucket_of) < 1_000_000:
-                    bucket_of[token] = found
-            return found
+        class Buckets(dict):
+            def __missing__(self, token):
+                bucket = int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % dims
+                if len(self) < 1_000_000:
+                    self[token] = bucket
+                return bucket
+
+        bucket_of = Buckets().__getitem__
 
         def encode(texts):
             vectors = []
             for text in texts:
-                buckets = [bucket(t) for t in word.findall(text.lower())]
+                buckets = list(map(bucket_of, word.findall(text.lower())))
                 counts = np.bincount(buckets, minlength=dims) if buckets else np.zeros(dims)
                 norm = np.sqrt(float((counts * counts).sum()))
                 vectors.append((counts / norm if norm else counts).astype("float64"))

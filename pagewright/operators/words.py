@@ -15,21 +15,28 @@ WORD_COUNTS_SQL = """
 """
 
 
-def word_tokens(df: DataFrame, text: str = "text", keys: list[str] | None = None) -> DataFrame:
-    """One row per word, empty strings between neighbouring separators included."""
-    return df.select(*(keys or []), F.explode(X.words(F.col(text))).alias("word"))
+def word_tokens(
+    df: DataFrame,
+    text: str = "text",
+    keys: list[str] | None = None,
+    keep_empty: bool = True,
+) -> DataFrame:
+    """One row per word, with the empty strings between neighbouring separators or without."""
+    return df.select(*(keys or []), F.explode(X.words(F.col(text), keep_empty)).alias("word"))
 
 
 def word_counts(words: DataFrame, who: str) -> DataFrame:
-    """Counts of the words that hold a letter and are no stop words, case kept."""
-    return (
-        words.filter(
-            F.col("word").rlike(X.HAS_LETTER) & ~X.is_stop_word(F.lower("word"))
-        )
-        .groupBy("word")
-        .agg(F.count("word").alias("word_count"))
-        .select(F.lit(who).alias("who"), "word", "word_count")
+    """Counts of the words that hold a letter and are no stop words, case kept.
+
+    Words are counted first and tested once per distinct word. The test is tied to the
+    count, else the optimizer would move it below the grouping and run it per row.
+    """
+    counts = words.groupBy("word").agg(F.count("word").alias("n"))
+    wanted = F.col("word").rlike(X.HAS_LETTER) & ~X.is_stop_word(F.lower("word"))
+    tested = counts.select(
+        F.lit(who).alias("who"), "word", F.when(wanted, F.col("n")).otherwise(0).alias("word_count")
     )
+    return tested.filter(F.col("word_count") > 0)
 
 
 def word_counts_sql(words: DataFrame, who: str, view: str = "words") -> DataFrame:

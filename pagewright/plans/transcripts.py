@@ -70,7 +70,7 @@ def audio_raw(urls_with_content: DataFrame, content: str = "content") -> DataFra
 def nlp_converted(raw: DataFrame) -> DataFrame:
     """Raw rows plus ``speech_as_text``: all texts of the content joined by a space."""
     html = F.col("content").cast("string")
-    spoken = joined_texts(S.assemble_sections(S.html_blocks(html)))
+    spoken = joined_texts(S.assemble_sections(S.html_blocks(html), stripped=True))
     return raw.withColumn("speech_as_text", spoken)
 
 

@@ -65,7 +65,7 @@ def _document_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return words.word_tokens(_busy(spark, sf_dir, "documents"))
+    return words.word_tokens(_busy(spark, sf_dir, "documents"), keep_empty=False)
 
 
 # Sources
@@ -323,7 +323,7 @@ def wrap_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def pad_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    padded = X.pad_truncate(X.tokens(F.col("text")), PAD_LENGTH)
+    padded = X.pad_truncate(X.tokens(F.col("text"), first=PAD_LENGTH), PAD_LENGTH)
     documents = _busy(spark, sf_dir, "documents")
     return documents.select("doc_id", F.array_join(padded, " ").alias("tokens"))
 

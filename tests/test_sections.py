@@ -80,13 +80,21 @@ def test_order_blocks_is_stable(spark):
 
 def test_html_blocks(spark):
     html = 'x<li>i</li><div class="ad">ad</div><h1>T <b>u</h1><p>one<br>two<p> <footer>f&copy;'
-    df = spark.createDataFrame([(html,), ("no blocks",), ("",)], "html string")
+    df = spark.createDataFrame([(html,), ("no blocks",), ("",), ("h1>x<p>y",), (None,)], "html string")
     rows = df.select(S.html_blocks(F.col("html")).alias("b")).collect()
     assert [tuple(b) for b in rows[0].b] == [
         ("List", "i"), ("Text", "ad"), ("Title", "T  u"), ("Text", "one two"), ("Text", ""),
         ("Text", "f&copy;"),
     ]
-    assert rows[1].b == [] and rows[2].b == []
+    assert rows[1].b == [] and rows[2].b == [] and rows[4].b is None
+    assert [tuple(b) for b in rows[3].b] == [("Text", "y")]
+
+
+def test_html_blocks_with_other_tags(spark):
+    df = spark.createDataFrame([("a<h2>T<p>x<h.>y",)], "html string")
+    tags = {"<h2>": "Title", "<h.>": "Text"}
+    blocks = df.select(S.html_blocks(F.col("html"), tags).alias("b")).head().b
+    assert [tuple(b) for b in blocks] == [("Title", "T x"), ("Text", "y")]
 
 
 def test_page_titles_skip_blank(spark):

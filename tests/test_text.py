@@ -72,6 +72,23 @@ def test_pad_truncate(spark):
     assert [r.p for r in rows] == [["a", "b", "c"], ["a"] + ["[PAD]"] * 2, ["[PAD]"] * 3]
 
 
+def test_first_tokens_equal_the_full_split(spark):
+    texts = ["", "  ", " a b", "a b c d e", "a, b", "..a..b..c..", "a b c ", "é a é b é c d"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for n in range(5):
+        rows = df.select(
+            X.tokens(F.col("t"), first=n).alias("few"), X.tokens(F.col("t")).alias("all")
+        ).collect()
+        assert [r.few for r in rows] == [r["all"][:n] for r in rows]
+
+
+def test_words_without_empty(spark, tiny):
+    df = read_table(spark, tiny, "documents")
+    full = words.word_tokens(df, keys=["doc_id"]).filter("word <> ''")
+    short = words.word_tokens(df, keys=["doc_id"], keep_empty=False)
+    assert full.exceptAll(short).isEmpty() and short.exceptAll(full).isEmpty()
+
+
 page_text = st.text(alphabet="aé\n漢😀 ", max_size=40)
 
 
