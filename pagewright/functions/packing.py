@@ -18,51 +18,43 @@ def pack_starts(lengths: Column, budget: int) -> Column:
     the next one; a segment over the budget stays whole. The fold is nested (blocks of
     segments, then segments), so its cost grows with the row's length and not its square.
     """
-
-    def step(state: Column, item: Column) -> Column:
-        total = state["total"] + item["length"]
-        opens = (item["position"] == 0) | (total >= budget)
-        return F.struct(
-            F.when(opens, item["length"]).otherwise(total).alias("total"),
-            F.when(opens, F.concat(state["starts"], F.array(item["position"])))
-            .otherwise(state["starts"])
-            .alias("starts"),
-        )
-
     no_starts = F.array().cast("array<int>")
 
-    def fold_block(state: Column, block: Column) -> Column:
-        inner = F.aggregate(
-            block, F.struct(state["total"].alias("total"), no_starts.alias("starts")), step
+    def state(total: Column, position: Column, starts: Column) -> Column:
+        return F.struct(total.alias("total"), position.alias("position"), starts.alias("starts"))
+
+    def step(current: Column, length: Column) -> Column:
+        position = current["position"]
+        total = current["total"] + length
+        opens = (total >= budget) | (position == 0)
+        return state(
+            F.when(opens, length.cast("bigint")).otherwise(total),
+            position + 1,
+            F.when(opens, F.concat(current["starts"], F.array(position))).otherwise(
+                current["starts"]
+            ),
         )
+
+    def fold_block(outer: Column, block: Column) -> Column:
+        opened = F.aggregate(block, state(outer["total"], outer["position"], no_starts), step)
         return let(
-            inner,
-            lambda done: F.struct(
-                done["total"].alias("total"),
-                F.concat(state["blocks"], F.array(done["starts"])).alias("blocks"),
+            opened,
+            lambda done: state(
+                done["total"], done["position"], F.concat(outer["starts"], F.array(done["starts"]))
             ),
         )
 
-    def fold(items: Column) -> Column:
-        n_blocks = F.ceil(F.size(items) / FOLD_BLOCK).cast("int")
+    def fold(all_lengths: Column) -> Column:
+        n_blocks = F.ceil(F.size(all_lengths) / FOLD_BLOCK).cast("int")
         numbers = F.when(n_blocks > 0, F.sequence(F.lit(1), n_blocks)).otherwise(no_starts)
-        return F.aggregate(
-            F.transform(
-                numbers, lambda b: F.slice(items, (b - 1) * FOLD_BLOCK + 1, FOLD_BLOCK)
-            ),
-            F.struct(
-                F.lit(0).cast("bigint").alias("total"),
-                F.array().cast("array<array<int>>").alias("blocks"),
-            ),
-            fold_block,
-            lambda state: F.flatten(state["blocks"]),
+        blocks = F.transform(
+            numbers, lambda b: F.slice(all_lengths, (b - 1) * FOLD_BLOCK + 1, FOLD_BLOCK)
         )
+        none = F.array().cast("array<array<int>>")
+        nothing = state(F.lit(0).cast("bigint"), F.lit(0), none)
+        return F.aggregate(blocks, nothing, fold_block, lambda done: F.flatten(done["starts"]))
 
-    items = F.transform(
-        lengths,
-        lambda n, i: F.struct(n.cast("bigint").alias("length"), i.cast("int").alias("position")),
-    )
-    return let(items, fold)
+    return let(lengths, fold)
 
 
 def pack_segments(segments: Column, budget: int, separator: str = "\n") -> Column:
@@ -74,14 +66,14 @@ def pack_segments(segments: Column, budget: int, separator: str = "\n") -> Colum
 
     def chunk(all_segments: Column, starts: Column, start: Column, nth: Column) -> Column:
         end = F.coalesce(F.get(starts, nth + 1), F.size(all_segments))
+        text = F.array_join(F.slice(all_segments, start + 1, end - start), separator)
+        separators = (end - start - 1) * len(separator)
         return let(
-            F.slice(all_segments, start + 1, end - start),
-            lambda part: F.struct(
-                F.array_join(part, separator).alias("text"),
-                F.aggregate(
-                    part, F.lit(0).cast("bigint"), lambda total, s: total + F.length(s)
-                ).alias("length"),
-                F.size(part).alias("n_segments"),
+            text,
+            lambda joined: F.struct(
+                joined.alias("text"),
+                (F.length(joined) - separators).cast("bigint").alias("length"),
+                (end - start).alias("n_segments"),
             ),
         )
 
