@@ -37,9 +37,9 @@ def query(function: Query) -> Query:
     return function
 
 
-def _busy(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A scan that feeds heavy per-row expressions."""
-    return spread(read_table(spark, sf_dir, name))
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents for heavy per-row expressions."""
+    return spread(read_table(spark, sf_dir, "documents"), by=["doc_id"])
 
 
 def _target(spark: SparkSession, sf_dir: str, table: str) -> tuple[str, str]:
@@ -49,7 +49,7 @@ def _target(spark: SparkSession, sf_dir: str, table: str) -> tuple[str, str]:
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _busy(spark, sf_dir, "pages")
+    return spread(read_table(spark, sf_dir, "pages"), by=["page_id"])
 
 
 def _page_content(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,11 +61,12 @@ def _expanded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _document_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return paging.split_pages(_busy(spark, sf_dir, "documents"), "doc_id", "text", PAGE_CHARS)
+    documents = read_table(spark, sf_dir, "documents")
+    return paging.split_pages(documents, "doc_id", "text", PAGE_CHARS)
 
 
 def _words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return words.word_tokens(_busy(spark, sf_dir, "documents"), keep_empty=False)
+    return words.word_tokens(_documents(spark, sf_dir), keep_empty=False)
 
 
 # Sources
@@ -290,7 +291,7 @@ def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def word_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = words.word_tokens(_busy(spark, sf_dir, "documents"), keys=["doc_id"])
+    tokens = words.word_tokens(_documents(spark, sf_dir), keys=["doc_id"])
     return tokens.groupBy("doc_id").agg(
         F.count("word").alias("n_tokens"),
         F.sum(F.length("word")).alias("n_chars"),
@@ -324,7 +325,7 @@ def wrap_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def pad_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
     padded = X.pad_truncate(X.tokens(F.col("text"), first=PAD_LENGTH), PAD_LENGTH)
-    documents = _busy(spark, sf_dir, "documents")
+    documents = _documents(spark, sf_dir)
     return documents.select("doc_id", F.array_join(padded, " ").alias("tokens"))
 
 
@@ -345,7 +346,7 @@ def gap_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def pack_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = transcripts.pack_lines(_busy(spark, sf_dir, "documents"), "doc_id", "text", PACK_BUDGET)
+    rows = transcripts.pack_lines(_documents(spark, sf_dir), "doc_id", "text", PACK_BUDGET)
     return rows.select(
         "doc_id",
         F.col("chunk_index").cast("bigint").alias("chunk_index"),
@@ -357,7 +358,7 @@ def pack_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dedup_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = _busy(spark, sf_dir, "documents")
+    documents = _documents(spark, sf_dir)
     return enrich.dedup_enrich(documents, "text", enrich.word_counter(), ["doc_id"])
 
 
@@ -369,7 +370,7 @@ def flow_transcript(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def flow_recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    recordings = _busy(spark, sf_dir, "documents")
+    recordings = _documents(spark, sf_dir)
     return transcript_flow.recording_transcript(recordings, "doc_id", "text", PACK_BUDGET)
 
 
@@ -399,7 +400,7 @@ def flow_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def embed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = _busy(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = _documents(spark, sf_dir).select("doc_id", "text")
     vectors = embed_texts(documents, output="vector")
     rows = vectors.select("doc_id", F.posexplode(as_rows(F.col("vector"))).alias("dim", "value"))
     return rows.select(

@@ -21,20 +21,22 @@ def read_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+def spread(
+    df: DataFrame, partitions: int | None = None, by: list[str] | None = None
+) -> DataFrame:
     """Give costly per-row work enough tasks.
 
     With ``partitions`` it is a plain ``repartition``. Without, a scan that already has a
     task per core is left alone, so a large input gets no extra shuffle and a small file
     with one row group still uses every core. Call it on a scan: it looks at the scan's
-    partition count.
+    partition count. ``by`` names columns with many distinct values to hash on; dealing
+    rows out in turn sorts them first and is slower.
     """
-    if partitions is not None:
-        return df.repartition(partitions)
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
+    if partitions is None:
+        partitions = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= partitions:
+            return df
+    return df.repartition(partitions, *(by or []))
 
 
 def scan_binary_files(

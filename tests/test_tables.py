@@ -43,6 +43,8 @@ def test_spread(spark):
     assert A.spread(spark.range(10), 3).rdd.getNumPartitions() == 3
     cores = spark.sparkContext.defaultParallelism
     assert A.spread(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == cores
+    by_id = A.spread(spark.range(0, 10, 1, 1), by=["id"])
+    assert by_id.rdd.getNumPartitions() == cores and "hashpartitioning(id" in plan_of(by_id)
     wide = spark.range(0, 10, 1, cores + 3)
     assert A.spread(wide) is wide
 
