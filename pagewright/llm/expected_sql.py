@@ -36,6 +36,87 @@ select d.doc_id, len(d.words)::bigint as n_words, coalesce(h.n_hit, 0)::bigint a
 from doc_words d left join hits h using (row_id) left join owners o using (row_id)
 """
 
+#: Stated anew here, sorted: the function words that the histogram counts.
+COMMON = sorted(
+    set(
+        "the of and to in a is that for on with as it was be by "
+        "le la de et les des en un du que qui dans pour par sur au "
+        "der die und in den von zu das mit sich des auf ist dem nicht "
+        "de la que el en y a los se del las un por con una".split()
+    )
+)
+_SHARE = "list_transform({0}, lambda x: x / list_sum({0}))"
+_COUNTS = ", ".join(f"len(list_filter(words, lambda w: w = '{w}'))" for w in COMMON)
+_ANY_COMMON = "[" + ", ".join(f"'{w}'" for w in COMMON) + "]"
+
+
+def _part(p: str) -> str:
+    return f"case when {p} > 0 then {p} * log2({p} / ((s.p + s.q) / 2)) else 0.0 end"
+
+
+def _js(counts: str, reference: str) -> str:
+    shares = f"list_transform(range(1, len({counts}) + 1), lambda k: {{'p': {counts}[k] / list_sum({counts}), 'q': {reference}[k] / list_sum({reference})}})"
+    return f"sqrt(greatest(0.0, list_sum(list_transform({shares}, lambda s: {_part('s.p')} + {_part('s.q')})) / 2))"
+
+
+OP1 = rf"""
+with texts as (
+    select doc_id, lang, row_number() over () as row_id, coalesce(text, '') as text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words
+    from documents
+), counted as (
+    select *, len(words)::bigint as n_words,
+        coalesce(list_sum(list_transform(words, lambda w: length(w))), 0)::bigint as word_chars,
+        length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols,
+        (len(list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')))
+         - len(list_distinct(list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')))))::bigint as n_dup_lines,
+        [length(regexp_replace(text, '[^a-z]', '', 'g')),
+         length(text) - length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')),
+         length(regexp_replace(text, '[^A-Z]', '', 'g')),
+         length(regexp_replace(text, '[^0-9]', '', 'g')),
+         length(regexp_replace(text, '[^.,;:!?''"()\-]', '', 'g')),
+         length(regexp_replace(text, '[a-zA-Z0-9\x20\x09-\x0D.,;:!?''"()\-]|[^\x00-\x7F]', '', 'g')),
+         length(regexp_replace(text, '[\x00-\x7F]', '', 'g'))] as chars,
+        [{_COUNTS}, len(list_filter(words, lambda w: not list_contains({_ANY_COMMON}, w)))] as common
+    from texts
+), runs as (
+    select row_id, i, array_to_string(words[i : i + 7], ' ') as run
+    from (select row_id, words, unnest(range(1, len(words) - 6)) as i from texts where len(words) > 8)
+), twice as (
+    select row_id, i from (select *, count(*) over (partition by row_id, run) as n from runs) where n > 1
+), repeated as (
+    select row_id, count(distinct p) as n from (select row_id, unnest(range(i, i + 8)) as p from twice) group by row_id
+), refs as (
+    select lang, list(s order by k) as words
+    from (select lang, k, sum(common[k]) as s from (select lang, common, unnest(range(1, len(common) + 1)) as k from counted) where lang is not null group by lang, k) group by lang
+), char_refs as (
+    select lang, list(s order by k) as chars
+    from (select lang, k, sum(chars[k]) as s from (select lang, chars, unnest(range(1, 8)) as k from counted) where lang is not null group by lang, k) group by lang
+), shares as (
+    select lang from documents where lang is not null group by lang having count(*) >= 0.01 * (select count(*) from documents)
+), distances as (
+    select c.row_id, c.word_chars, c.n_words, r.lang,
+           {_js("c.chars", "h.chars")} as by_char, {_js("c.common", "r.words")} as by_word
+    from counted c, refs r join char_refs h using (lang) join shares using (lang) where c.n_words > 0
+), verdicts as (
+    select row_id, bool_or((word_chars < 400 or by_char <= 0.25) and (n_words < 100 or by_word <= 0.3)) as near,
+           min(by_char + by_word) as least
+    from distances group by row_id
+), nearest as (
+    select d.row_id, arg_min(d.by_char, d.lang) as by_char, arg_min(d.by_word, d.lang) as by_word
+    from distances d join verdicts v on d.row_id = v.row_id and d.by_char + d.by_word = v.least group by d.row_id
+), base as (
+    select c.*, coalesce(r.n, 0)::bigint as n_repeat_words,
+           c.n_words < 20 or 100 * coalesce(r.n, 0) > 30 * c.n_words as base_failed
+    from counted c left join repeated r using (row_id)
+)
+select b.doc_id, b.n_words, b.word_chars, b.n_symbols, b.n_dup_lines, b.n_repeat_words, b.base_failed,
+       not b.base_failed and coalesce(v.near, true) as kept,
+       round(n.by_char, 6) as char_distance, round(n.by_word, 6) as word_distance
+from base b left join verdicts v using (row_id) left join nearest n using (row_id)
+"""
+
 EXPECTED_SQL: dict[str, str] = {
+    "op1_quality": OP1,
     "op7_decontaminate": OP7,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagewright.llm import decontam
+from pagewright.llm import decontam, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,10 +15,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(_table(spark, sf_dir, "documents"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality": op1_quality,
     "op7_decontaminate": op7_decontaminate,
 }

@@ -1,0 +1,58 @@
+import pytest
+
+from pagewright.llm import quality
+
+
+def brute(text):
+    words = [w for w in __import__("re").findall(r"[^\x20\x09-\x0D]+", text or "")]
+    runs = {}
+    for i in range(len(words) - 7):
+        runs.setdefault(tuple(words[i : i + 8]), []).append(i)
+    hit = {p for at in runs.values() if len(at) > 1 for i in at for p in range(i, i + 8)}
+    lines = [x for x in (text or "").split("\n") if x.strip(" \t\n\x0b\x0c\r")]
+    symbols = sum(c in "#*$%&|<>" for c in text or "")
+    failed = len(words) < 20 or 100 * len(hit) > 30 * len(words)
+    return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(hit), failed
+
+
+def test_base_counts_equal_brute_force(spark, check_s_like):
+    extra = [(20, "a b\na b\n\n \na b", "en"), (21, "a " * 7 + "a", "en"), (22, "x y z " * 9 + "é # $ | end", None)]
+    docs = check_s_like.where("doc_id is null or doc_id <> 6").select("doc_id", "text", "lang")
+    docs = docs.union(spark.createDataFrame(extra, "doc_id long, text string, lang string"))
+    got = quality.judged(docs).collect()
+    want = sorted((str(r.doc_id), *brute(r.text)) for r in docs.collect())
+    assert sorted((str(r.doc_id), *r[1:7]) for r in got) == want
+
+
+def test_long_text_clashing_columns_and_empty_table(spark, check_s_like):
+    rows = quality.judged(check_s_like).collect()
+    assert len(rows) == 10
+    long = next(r for r in rows if r.doc_id == 6)
+    assert (long.n_words, long.n_repeat_words, long.base_failed, long.kept) == (60000, 60000, True, False)
+    assert quality.judged(check_s_like.limit(0)).count() == 0
+
+
+def test_divergent_text_goes_and_short_text_is_guarded(spark):
+    prose = " ".join(f"the word{chr(97 + i % 26)}{chr(97 + i // 26)} of and" for i in range(60))
+    junk = " ".join(f"w{i}#%&$#{i * 7}%%" for i in range(240))
+    rows = [(i, prose, "en") for i in range(50)] + [(100, junk, "en"), (101, junk[:380], "en"), (102, prose, None)]
+    got = {r.doc_id: r for r in quality.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert got[0].kept and got[102].kept and got[101].kept
+    assert not got[100].kept and not got[100].base_failed
+    assert got[100].char_distance > got[0].char_distance
+
+
+def test_without_any_language_nothing_diverges(spark):
+    rows = [(1, "#%& " * 3 + " ".join(f"a{i}" for i in range(30)), None)]
+    assert quality.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string")).first().kept
+
+
+@pytest.mark.parametrize("p", [[1, 1], [1, 0], [3, 1]])
+def test_distance_between_zero_and_one(spark, p):
+    from pyspark.sql import functions as F
+
+    counts, total = F.array(*map(F.lit, p)), F.lit(sum(p))
+    same = F.array(*(F.lit(x / sum(p)) for x in p))
+    far = F.array(F.lit(0.0), F.lit(1.0))
+    row = spark.range(1).select(quality.js_distance(counts, total, same).alias("a"), quality.js_distance(counts, total, far).alias("b")).first()
+    assert row.a == 0 and 0 < row.b <= 1
