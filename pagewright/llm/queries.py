@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagewright.llm import decontam, quality
+from pagewright.llm import decontam, quality, ring
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,7 +23,12 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ring.shard_documents(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op7_decontaminate": op7_decontaminate,
+    "op9_shards": op9_shards,
 }
