@@ -10,18 +10,19 @@ quicksort, common prefixes are taken between neighbours, and across bucket borde
 bucket's first and last suffix. Splitters break ties by document and place, so a string that
 a third of the documents hold is cut over many buckets and no bucket grows with it.
 
-One suffix per byte would be a shuffle of many times the text, so it is used twice:
+One suffix per byte would be a shuffle of many times the text, so strings are taken in runs of
+neighbouring starts, in three rounds of the same kind. A run has two tokens: its core, a range
+that each of its strings covers, and its whole. Runs with equal wholes repeat in full; a run
+whose core stands once holds no repeat; runs with equal cores but different wholes are cut into
+smaller runs for the next round, one or two representatives for each different whole.
 
-1. Every string of ``length`` bytes is named by the smallest of the hashes of its inner ranges
-   of ``half`` bytes (the leftmost on a tie). Equal strings have equal names at equal places,
-   and one name serves a run of neighbouring strings, about ``half / 2`` of them. The suffixes
-   of the first round are these runs, with the tokens (name, whole run). Runs that are equal
-   as a whole repeat in full. A name that stands once rules its run out.
-2. What is left are runs whose name is shared by different runs, at the edges of repeats. Their
-   strings, one representative or two for each different run, are the suffixes of the second
-   round, with the tokens of their consecutive quarters; neighbours equal in all repeat.
+1. Every string is named by the smallest hash of its inner ranges of half its length (the
+   leftmost on a tie): equal strings have equal names at equal places. The strings that share a
+   name form a run of about half the length / 2 starts; the name is the core.
+2. A run is cut into blocks of ``length / 25`` starts, counted from the name's place.
+3. Blocks are cut into single strings, with their two halves as tokens.
 
-No string is lost by the first round, and both rounds look at every document.
+No round loses a string that repeats, and the first looks at every string of every document.
 
 Defined cases: a null text is empty; texts under ``length`` bytes are kept whole; repeated
 rows repeat each other's text; null ids are ids like any other; empty tables give empty
@@ -36,6 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,7 +46,6 @@ from pagewright.llm.frames import id_type, map_texts, raw_bytes, written
 from pagewright.llm.words import Prefix
 
 LENGTH = 400
-PARTS = 4
 #: Below so many suffixes a range is sorted at once.
 SMALL_RANGE = 2048
 
@@ -109,6 +110,9 @@ def sorted_neighbours(suffixes: DataFrame, tokens: list[str], least: int, label:
         border[-1] += 2
         kept = np.flatnonzero((np.maximum(before, after) >= least) | (border > 0))
         out = table.take(pa.array(order[kept]))
+        for name in tokens:  # only borders still need them
+            at = out.schema.get_field_index(name)
+            out = out.set_column(at, name, pc.if_else(pa.array(border[kept] > 0), out.column(at), pa.scalar(None, pa.int64())))
         for name, values in (("border", border), ("before", before), ("after", after)):
             out = out.append_column(name, pa.array(values[kept]))
         yield from out.select([*columns, "bucket", "border", "before", "after"]).to_batches(max_chunksize=20000)
@@ -148,23 +152,28 @@ def _smallest_of_runs(keys: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(backward[:count], forward[width - 1 : width - 1 + count])
 
 
-def named_runs(raw: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(name, whole-run hash, first start, number of starts) of the runs of strings of one text."""
+def named_runs(raw: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(core, whole, packed place) of the runs of strings of one text."""
     if len(raw) < length:
         none = np.zeros(0, np.int64)
-        return none, none, none, none
+        return none, none, none
     half = length // 2
     hashes = Prefix(np.frombuffer(raw, np.uint8)).every(half)
     keys = (hashes & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(hashes), dtype=np.uint64)
     places = (_smallest_of_runs(keys, length - half + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
     first = np.concatenate([[0], np.flatnonzero(np.diff(places)) + 1])
     counts = np.diff(np.append(first, len(places)))
-    names = hashes[places[first]].view(np.int64)
+    places = places[first]
     whole = [
-        xxhash.xxh3_64_intdigest(raw[a : a + n + length - 1], seed=int(p - a))
-        for a, n, p in zip(first.tolist(), counts.tolist(), places[first].tolist(), strict=True)
+        xxhash.xxh3_64_intdigest(raw[a : a + n + length - 1], seed=p - a)
+        for a, n, p in zip(first.tolist(), counts.tolist(), places.tolist(), strict=True)
     ]
-    return names, np.array(whole, np.uint64).view(np.int64), first, counts
+    packed = (first << 32) | (counts << 16) | (places - first)
+    return hashes[places].view(np.int64), np.array(whole, np.uint64).view(np.int64), packed
+
+
+def _signed(digest: int) -> int:
+    return digest - (1 << 64) if digest >> 63 else digest
 
 
 def _columns(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -172,6 +181,18 @@ def _columns(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("twin"))
 
 
+def _emit(names: list[str], ids: pa.Array, twins: pa.Array, rows: list[int], columns: list[tuple[list, pa.DataType]]) -> pa.RecordBatch:
+    at = pa.array(rows, pa.int64())
+    return pa.RecordBatch.from_arrays([ids.take(at), twins.take(at), *(pa.array(v, t) for v, t in columns)], ["id", "twin", *names])
+
+
+def _same(left: DataFrame, right: DataFrame, *more: str) -> Column:
+    same = left["id"].eqNullSafe(right["id"]) & (left["twin"] == right["twin"])
+    for name in more:
+        same &= left[name] == right[name]
+    return same
+
+
 def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
     """Byte ranges (id, twin, start, end) whose every string of ``length`` bytes repeats.
 
@@ -179,54 +200,90 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     kind = id_type(docs, id_col)
     texts = _columns(docs, id_col, text_col)
+    block = max(1, length // 25)
+    key = f"id {kind}, twin bigint"
+    full = F.least(F.lit(2), F.greatest("before", "after")) == 2
+    edge = (F.col("before") == 1) | (F.col("after") == 1)
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, twins = batch.column("id"), batch.column("twin")
-            at: list[np.ndarray] = []
-            parts: list[tuple[np.ndarray, ...]] = []
-            for k, raw in enumerate(raw_bytes(batch.column("text"))):
-                found = named_runs(raw, length)
-                parts.append(found)
-                at.append(np.full(len(found[0]), k))
-            rows = pa.array(np.concatenate(at) if at else np.zeros(0, np.int64))
-            name, whole, first, count = (np.concatenate(p) for p in zip(*parts, strict=True))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(name, pa.int64()), pa.array(whole, pa.int64()), ids.take(rows), twins.take(rows), pa.array(first.astype(np.int32)), pa.array(count.astype(np.int32))],
-                ["name", "whole", "id", "twin", "first", "count"],
-            )
-
-    inputs = {c: F.col(c) for c in ("id", "text", "twin")}
-    schema = f"name bigint, whole bigint, id {kind}, twin bigint, first int, count int"
-    first_round = sorted_neighbours(map_texts(texts, inputs, schema, runs), ["name", "whole"], 1, "suffix-runs")
-    full = first_round.where(F.greatest("before", "after") == 2).select(
-        "id", "twin", F.col("first").alias("start"), (F.col("first") + F.col("count") - 1 + length).alias("end")
+            parts = [named_runs(raw, length) for raw in raw_bytes(batch.column("text"))]
+            rows = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
+            columns = [(np.concatenate(p), pa.int64()) for p in zip(*parts, strict=True)]
+            yield _emit(["core", "whole", "place"], batch.column("id"), batch.column("twin"), rows, columns)
+
+    inputs = {c: F.col(c) for c in ("id", "twin", "text")}
+    named = map_texts(texts, inputs, f"{key}, core bigint, whole bigint, place bigint", runs)
+    first = F.shiftright("place", 32)
+    found = sorted_neighbours(named, ["core", "whole"], 1, "suffix-runs").withColumns(
+        {"first": first, "count": F.shiftright("place", 16).bitwiseAND(0xFFFF), "place": F.col("place").bitwiseAND(0xFFFF)}
     )
+    end = F.col("first") + F.col("count") - 1 + length
+    ranges = found.where(full).select("id", "twin", F.col("first").cast("int").alias("start"), end.cast("int").alias("end"))
 
-    edge = (F.col("before") == 1) | (F.col("after") == 1)
-    edges = first_round.where(edge).groupBy("id", "twin").agg(F.collect_set(F.struct("first", "count")).alias("runs"))
-    same = lambda a, b: a["id"].eqNullSafe(b["id"]) & (a["twin"] == b["twin"])
-    at_edges = texts.join(edges, same(texts, edges)).select(texts["id"], texts["twin"], "text", "runs")
-    size = length // PARTS
-    names = [f"t{k}" for k in range(PARTS)]
+    # The runs to cut, each with its own bytes: later rounds do not go back to the texts.
+    wanted = found.where(edge).groupBy("id", "twin").agg(F.collect_set(F.struct("first", "count", "place")).alias("runs"))
+    at_edges = texts.join(wanted, _same(texts, wanted)).select(texts["id"], texts["twin"], "text", "runs")
+
+    def with_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts_and_runs = zip(raw_bytes(batch.column("text")), batch.column("runs").to_pylist(), strict=True)
+            for k, (raw, cut) in enumerate(texts_and_runs):
+                columns = [
+                    ([r["first"] for r in cut], pa.int64()),
+                    ([r["count"] for r in cut], pa.int64()),
+                    ([r["place"] for r in cut], pa.int64()),
+                    ([raw[r["first"] : r["first"] + r["count"] - 1 + length] for r in cut], pa.binary()),
+                ]
+                yield _emit(["first", "count", "place", "bytes"], batch.column("id"), batch.column("twin"), [k] * len(cut), columns)
+
+    inputs = {c: F.col(c) for c in ("id", "twin", "text", "runs")}
+    schema = f"{key}, first bigint, count bigint, place bigint, bytes binary"
+    edges = written(map_texts(at_edges, inputs, schema, with_bytes), "suffix-edges")
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, core, whole, first, start, count = [], [], [], [], [], []
+            numbers = zip(*(batch.column(c).to_pylist() for c in ("first", "count", "place", "bytes")), strict=True)
+            for k, (run, n, place, raw) in enumerate(numbers):
+                for b in range((place - n + 1) // block, place // block + 1):
+                    most, least = place - b * block, place - b * block - block + 1
+                    a, z = max(0, least), min(n - 1, most)
+                    rows.append(k)
+                    core.append(_signed(xxhash.xxh3_64_intdigest(raw[most : least + length], seed=b % (1 << 32))))
+                    whole.append(_signed(xxhash.xxh3_64_intdigest(raw[a : z + length], seed=(a - least) * block + most - z)))
+                    first.append(run)
+                    start.append(run + a)
+                    count.append(z - a + 1)
+            columns = [(v, pa.int64()) for v in (core, whole, first, start, count)]
+            yield _emit(["core", "whole", "first", "start", "count"], batch.column("id"), batch.column("twin"), rows, columns)
+
+    inputs = {c: F.col(c) for c in ("id", "twin", "first", "count", "place", "bytes")}
+    schema = f"{key}, core bigint, whole bigint, first bigint, start bigint, count bigint"
+    found = sorted_neighbours(map_texts(edges, inputs, schema, blocks), ["core", "whole"], 1, "suffix-blocks")
+    end = F.col("start") + F.col("count") - 1 + length
+    ranges = ranges.union(found.where(full).select("id", "twin", F.col("start").cast("int"), end.cast("int")))
+    wanted = found.where(edge).groupBy("id", "twin", "first").agg(F.collect_set(F.struct("start", "count")).alias("blocks"))
+    at_edges = edges.join(wanted, _same(edges, wanted, "first")).select(edges["id"], edges["twin"], edges["first"], "bytes", "blocks")
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        half = length // 2
         for batch in batches:
-            ids, twins = batch.column("id"), batch.column("twin")
-            for k, (raw, found) in enumerate(zip(raw_bytes(batch.column("text")), batch.column("runs").to_pylist(), strict=True)):
-                hashes = Prefix(np.frombuffer(raw, np.uint8)).every(size).view(np.int64)
-                starts = np.concatenate([np.arange(r["first"], r["first"] + r["count"]) for r in found])
-                rows = pa.array(np.full(len(starts), k))
-                yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(hashes[starts + j * size]) for j in range(PARTS)), ids.take(rows), twins.take(rows), pa.array(starts.astype(np.int32))],
-                    [*names, "id", "twin", "start"],
-                )
-
-    inputs = {c: F.col(c) for c in ("id", "text", "twin", "runs")}
-    schema = f"{', '.join(f'{n} bigint' for n in names)}, id {kind}, twin bigint, start int"
-    second_round = sorted_neighbours(map_texts(at_edges, inputs, schema, strings), names, PARTS, "suffix-strings")
-    single = second_round.select("id", "twin", "start", (F.col("start") + length).alias("end"))
-    return full.unionByName(single)
+            rows, left, right, start = [], [], [], []
+            numbers = zip(*(batch.column(c).to_pylist() for c in ("first", "bytes", "blocks")), strict=True)
+            for k, (run, raw, cut) in enumerate(numbers):
+                for at in (b["start"] + j for b in cut for j in range(b["count"])):
+                    rows.append(k)
+                    left.append(_signed(xxhash.xxh3_64_intdigest(raw[at - run : at - run + half])))
+                    right.append(_signed(xxhash.xxh3_64_intdigest(raw[at - run + half : at - run + length])))
+                    start.append(at)
+            columns = [(left, pa.int64()), (right, pa.int64()), (start, pa.int32())]
+            yield _emit(["core", "whole", "start"], batch.column("id"), batch.column("twin"), rows, columns)
+
+    inputs = {c: F.col(c) for c in ("id", "twin", "first", "bytes", "blocks")}
+    single = map_texts(at_edges, inputs, f"{key}, core bigint, whole bigint, start int", strings)
+    found = sorted_neighbours(single, ["core", "whole"], 2, "suffix-strings")
+    return ranges.union(found.select("id", "twin", "start", F.col("start") + length))
 
 
 def _merged(ranges: list[dict] | None) -> list[tuple[int, int]]:
@@ -245,8 +302,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = _columns(docs, id_col, text_col)
     ranges = repeated_ranges(docs, id_col, text_col, length)
     marks = ranges.groupBy("id", "twin").agg(F.collect_set(F.struct("start", "end")).alias("ranges"))
-    same = texts["id"].eqNullSafe(marks["id"]) & (texts["twin"] == marks["twin"])
-    marked = texts.join(marks, same, "left").select(texts["id"], "text", "ranges")
+    marked = texts.join(marks, _same(texts, marks), "left").select(texts["id"], "text", "ranges")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -43,7 +43,7 @@ def sample(seed, length):
     return docs
 
 
-@pytest.mark.parametrize("length", [8, 40, 400])
+@pytest.mark.parametrize("length", [8, 110, 400])
 def test_equals_brute_force(spark, length):
     docs = sample(length, length)
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
