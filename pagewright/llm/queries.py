@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagewright.llm import decontam, quality, ring, suffixes
+from pagewright.llm import decontam, minhash, quality, ring, suffixes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,9 +31,14 @@ def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ring.shard_documents(_table(spark, sf_dir, "documents"))
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op7_decontaminate": op7_decontaminate,
     "op9_shards": op9_shards,
+    "op10_near_duplicates": op10_near_duplicates,
 }
