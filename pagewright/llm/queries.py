@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pagewright.llm import decontam, minhash, quality, ring, suffixes
+from pagewright.llm import bpe, decontam, minhash, quality, ring, suffixes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +20,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(_table(spark, sf_dir, "documents"))
 
 
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.token_report(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.repeat_report(_table(spark, sf_dir, "documents"))
 
@@ -37,6 +42,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
+    "op2_bpe": op2_bpe,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op7_decontaminate": op7_decontaminate,
     "op9_shards": op9_shards,
