@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pagewright.llm import bpe, decontam, minhash, quality, ring, suffixes
+from pagewright.llm import bpe, decontam, minhash, quality, ring, suffixes, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,10 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.repeat_report(_table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -44,6 +48,7 @@ QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_bpe": op2_bpe,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_toxicity": op5_toxicity,
     "op7_decontaminate": op7_decontaminate,
     "op9_shards": op9_shards,
     "op10_near_duplicates": op10_near_duplicates,
