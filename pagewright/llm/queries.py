@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pagewright.llm import bpe, decontam, minhash, quality, ring, suffixes, toxicity
+from pagewright.llm import bpe, decontam, langid, minhash, quality, ring, suffixes, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +36,10 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_table(spark, sf_dir, "documents"))
+
+
 def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ring.shard_documents(_table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ QUERIES: dict[str, Query] = {
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_toxicity": op5_toxicity,
     "op7_decontaminate": op7_decontaminate,
+    "op8_language": op8_language,
     "op9_shards": op9_shards,
     "op10_near_duplicates": op10_near_duplicates,
 }
