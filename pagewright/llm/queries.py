@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pagewright.llm import bpe, decontam, langid, minhash, quality, ring, suffixes, toxicity
+from pagewright.llm import bpe, decontam, langid, licenses, minhash, quality, ring, suffixes, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +32,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_report(_table(spark, sf_dir, "documents"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -53,6 +57,7 @@ QUERIES: dict[str, Query] = {
     "op2_bpe": op2_bpe,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_toxicity": op5_toxicity,
+    "op6_licenses": op6_licenses,
     "op7_decontaminate": op7_decontaminate,
     "op8_language": op8_language,
     "op9_shards": op9_shards,
