@@ -116,7 +116,27 @@ select b.doc_id, b.n_words, b.word_chars, b.n_symbols, b.n_dup_lines, b.n_repeat
 from base b left join verdicts v using (row_id) left join nearest n using (row_id)
 """
 
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
+OP3 = f"""
+with payloads as (
+    select page_id, coalesce(html, '') as payload, sha1(coalesce(html, '')) as hex from pages
+), coded as (
+    select page_id, payload, hex, array_to_string(list_transform(range(8), lambda k:
+        array_to_string(list_transform([15, 10, 5, 0], lambda shift:
+            substr('{_BASE32}', ((('0x' || substr(hex, 5 * k + 1, 5))::int >> shift) & 31)::int + 1, 1)), '')), '') as digest
+    from payloads
+), firsts as (
+    select payload, min(page_id) as first from payloads group by payload having count(*) > 1
+)
+select c.page_id, strlen(c.payload)::bigint as payload_bytes, c.digest as payload_digest,
+       case when f.first is not null and c.page_id is distinct from f.first then 'revisit' else 'response' end as record_type,
+       case when c.page_id is distinct from f.first then f.first end as refers_to
+from coded c left join firsts f using (payload)
+"""
+
 EXPECTED_SQL: dict[str, str] = {
     "op1_quality": OP1,
+    "op3_warc": OP3,
     "op7_decontaminate": OP7,
 }

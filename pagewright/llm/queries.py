@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pagewright.llm import bpe, decontam, langid, licenses, minhash, quality, ring, suffixes, toxicity
+from pagewright.llm import bpe, decontam, langid, licenses, minhash, quality, ring, suffixes, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_report(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_report(_table(spark, sf_dir, "pages"))
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.repeat_report(_table(spark, sf_dir, "documents"))
 
@@ -55,6 +59,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_bpe": op2_bpe,
+    "op3_warc": op3_warc,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_toxicity": op5_toxicity,
     "op6_licenses": op6_licenses,
