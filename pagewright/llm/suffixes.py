@@ -176,9 +176,10 @@ def _signed(digest: int) -> int:
     return digest - (1 << 64) if digest >> 63 else digest
 
 
-def _columns(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _columns(docs: DataFrame, id_col: str, text_col: str, row: Column | None = None) -> DataFrame:
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("twin"))
+    more = [] if row is None else [row.alias("row")]
+    return docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("twin"), *more)
 
 
 def _emit(names: list[str], ids: pa.Array, twins: pa.Array, rows: list[int], columns: list[tuple[list, pa.DataType]]) -> pa.RecordBatch:
@@ -296,13 +297,24 @@ def _merged(ranges: list[dict] | None) -> list[tuple[int, int]]:
     return merged
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, with_text: bool = True) -> DataFrame:
-    """Per document: id, n_bytes, removed (byte ranges), kept_sha256, kept (text; null unless ``with_text``)."""
-    kind = id_type(docs, id_col)
-    texts = _columns(docs, id_col, text_col)
+def remove_repeats(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    length: int = LENGTH,
+    with_text: bool = True,
+    keep: list[str] | None = None,
+) -> DataFrame:
+    """Per document: id, n_bytes, removed (byte ranges), kept_sha256, kept (text; null unless ``with_text``).
+
+    ``row`` holds the columns of ``keep``.
+    """
+    row = F.struct(*(keep or [id_col]))
+    kind = docs.select(row.alias("row")).schema["row"].dataType.simpleString()
+    texts = _columns(docs, id_col, text_col, row)
     ranges = repeated_ranges(docs, id_col, text_col, length)
     marks = ranges.groupBy("id", "twin").agg(F.collect_set(F.struct("start", "end")).alias("ranges"))
-    marked = texts.join(marks, _same(texts, marks), "left").select(texts["id"], "text", "ranges")
+    marked = texts.join(marks, _same(texts, marks), "left").select(texts["id"], "text", "row", "ranges")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -316,15 +328,36 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 digests.append(hashlib.sha256(rest).hexdigest())
                 kept.append(rest.decode("utf-8", "ignore") if with_text else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(removed, _RANGES), pa.array(digests), pa.array(kept, pa.string())],
-                ["id", "n_bytes", "removed", "kept_sha256", "kept"],
+                [
+                    batch.column("id"),
+                    batch.column("row"),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(removed, _RANGES),
+                    pa.array(digests, pa.string()),
+                    pa.array(kept, pa.string()),
+                ],
+                ["id", "row", "n_bytes", "removed", "kept_sha256", "kept"],
             )
 
-    schema = f"id {kind}, n_bytes bigint, removed array<struct<start:int,end:int>>, kept_sha256 string, kept string"
-    out = map_texts(marked, {c: F.col(c) for c in ("id", "text", "ranges")}, schema, cut)
+    schema = f"id {id_type(docs, id_col)}, row {kind}, n_bytes bigint, removed array<struct<start:int,end:int>>, kept_sha256 string, kept string"
+    out = map_texts(marked, {c: F.col(c) for c in ("id", "row", "text", "ranges")}, schema, cut)
     return out.withColumnRenamed("id", id_col)
 
 
+def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
+    """``docs`` with repeated strings cut out of the texts; documents left blank by that go."""
+    # The text comes back, so it is not carried along; a null text comes back as null.
+    others = [c for c in docs.columns if c != text_col]
+    blank = docs.withColumn("__null", F.col(text_col).isNull()) if "__null" not in docs.columns else docs
+    found = remove_repeats(blank, id_col, text_col, length, keep=[*others, "__null"])
+    cut = F.size("removed") > 0
+    values = {c: F.col(f"row.`{c}`") for c in others}
+    values = {c: values.get(c, F.when(~F.col("row.__null"), F.col("kept"))) for c in docs.columns}
+    if "n_chars" in values:
+        values["n_chars"] = F.when(cut, F.length("kept").cast(id_type(docs, "n_chars"))).otherwise(values["n_chars"])
+    return found.where(~cut | (F.trim(F.col("kept"), F.lit(" \t\r\n")) != "")).select(*(v.alias(c) for c, v in values.items()))
+
+
 def _removed_bytes(ranges: str) -> Column:
     return F.aggregate(ranges, F.lit(0).cast("bigint"), lambda total, r: total + (r["end"] - r["start"]))
 
