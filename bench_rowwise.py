@@ -24,23 +24,24 @@ from pagewright.session import build_session  # noqa: E402
 
 def sections(spark, d):
     import re
+    from itertools import accumulate, groupby
 
-    kinds = {"h1": "Title", "p": "Text", "footer": "Text", 'div class="ad"': "Text", "li": "List"}
+    block = re.compile('<(h1|p|footer|div class="ad"|li)>(.*?)(?=<(?:h1|p|footer|div class="ad"|li)>|$)', re.S)
 
     def extract(html):
-        result = []
-        for piece in re.split('<(?=(?:h1|p|footer|div class="ad"|li)>)', html)[1:]:
-            name = piece.split(">", 1)[0]
-            text = re.sub("<[^>]*>", " ", "<" + piece).strip()
-            if not text or kinds[name] == "List":
-                continue
-            if kinds[name] == "Title":
-                result.append({"title": text, "texts": []})
-            else:
-                if not result:
-                    result.append({"continuation": True, "texts": []})
-                result[-1]["texts"].append(text)
-        return result
+        found = [(name, re.sub("<[^>]*>", " ", body).strip()) for name, body in block.findall(html)]
+        found = [(name, text) for name, text in found if text and name != "li"]
+        numbers = accumulate(name == "h1" for name, _ in found)
+        numbered = groupby(zip(numbers, found, strict=True), key=lambda item: item[0])
+        grouped = {n: [pair for _, pair in items] for n, items in numbered}
+        return [
+            {
+                "title": pairs[0][1] if n else None,
+                "texts": [text for name, text in pairs if name != "h1"],
+                "continuation": None if n else True,
+            }
+            for n, pairs in grouped.items()
+        ]
 
     pages = spark.read.parquet(f"{d}/pages.parquet")
     content = pages.select("page_id", F.udf(extract, SECTION_SCHEMA)("html").alias("c"))
@@ -101,12 +102,6 @@ def wrap_markers(spark, d):
     return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", wrap("text").alias("t"))
 
 
-def concat_parts(spark, d):
-    parts = spark.read.parquet(f"{d}/conversations.parquet")
-    joined = F.array_join(F.collect_list("text"), " ").alias("converted_texts")
-    return parts.sort("turn").groupBy("conv_id").agg(joined)
-
-
 def cosine_one_vs_rest(spark, d):
     import numpy as np
 
@@ -124,7 +119,6 @@ QUERIES = {
     "split_pages": split_pages,
     "pack_segments": pack_segments,
     "wrap_markers": wrap_markers,
-    "concat_parts": concat_parts,
     "cosine_one_vs_rest": cosine_one_vs_rest,
 }
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pagewright.functions.text import STOP_WORDS, WHITESPACE
 
+PAGE_DATE = "strftime(DATE '2020-01-01' + (page_id % 365)::INT, '%Y-%m-%d')"
+
 URL = r"'^(?:([a-zA-Z][a-zA-Z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?'"
 STOP_LIST = ", ".join("'" + w.replace("'", "''") + "'" for w in STOP_WORDS)
 
@@ -118,11 +120,19 @@ scaled AS (
 
 def expected_sql() -> dict[str, str]:
     return {
-        "manifest": """SELECT regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, url,
-            NULL::VARCHAR AS date,
+        "manifest": f"""SELECT regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, url,
+            {PAGE_DATE} AS date,
             nullif(regexp_extract(url, '.*/([^/?]+)', 1), '') AS file_name FROM pages""",
         "whole_text_scan": """SELECT lang, sum(length(text) + 1)::BIGINT AS n_chars
             FROM documents GROUP BY lang""",
+        "binary_scan": """WITH lines AS (
+              SELECT lang, unnest(string_split(text, chr(10))) AS line FROM documents)
+            SELECT l.lang, any_value(b.n_bytes) AS n_bytes, count(*) AS n_lines,
+                   sum(('0x' || md5(line)[1:8])::BIGINT)::BIGINT AS line_sum
+            FROM lines l JOIN (SELECT lang, sum(strlen(text) + 1)::BIGINT AS n_bytes
+                               FROM documents GROUP BY lang) b ON b.lang = l.lang
+            GROUP BY l.lang""",
+        "speech_reference": f"WITH {WORDS} {WORD_COUNTS}".replace("'documents'", "'speaker'"),
         "sink_overwrite": "SELECT doc_id, text, lang, source, n_chars FROM documents",
         "partitioned_write": rf"""SELECT md5(regexp_extract(url, {URL}, 2))[1:2] AS partition,
             page_id, url, length(html) AS n_chars FROM pages""",
@@ -142,10 +152,11 @@ def expected_sql() -> dict[str, str]:
             nullif(regexp_extract(url, '.*/([^/?]+)', 1), '') AS derived_name FROM pages""",
         "partition_key": rf"""SELECT page_id, url, md5(regexp_extract(url, {URL}, 2))[1:2]
             AS partition FROM pages""",
-        "resolve_content": """SELECT m.page_id, m.url, c.url IS NOT NULL AS found, c.n_bytes
-            FROM pages m LEFT JOIN (
-              SELECT url, octet_length(encode(arg_max(html, page_id)))::BIGINT AS n_bytes
-              FROM pages GROUP BY url) c ON c.url = m.url""",
+        "resolve_content": """SELECT d.doc_id, 'item/' || d.doc_id AS url,
+              c.conv_id IS NOT NULL AS found, c.n_bytes
+            FROM documents d LEFT JOIN (
+              SELECT conv_id, strlen(arg_max(text, turn))::BIGINT AS n_bytes
+              FROM conversations GROUP BY conv_id) c ON c.conv_id = d.doc_id""",
         "layout_blocks": f"""WITH {BLOCKS} SELECT page_id, pos AS block_index,
             CASE t WHEN 'T' THEN 'Title' WHEN 'L' THEN 'List' ELSE 'Text' END AS kind, txt AS text
             FROM blocks""",
@@ -174,9 +185,12 @@ def expected_sql() -> dict[str, str]:
         "path_suffix": "SELECT page_id, url FROM pages WHERE url LIKE '%.html'",
         "sample_rows": """SELECT conv_id, turn, role, text FROM conversations
             ORDER BY conv_id, turn LIMIT 20""",
-        "word_tokens": f"""WITH {WORDS} SELECT doc_id, count(word) AS n_tokens,
+        "word_tokens": r"""SELECT doc_id, count(word) AS n_tokens,
             sum(length(word))::BIGINT AS n_chars, count(*) FILTER (word = '') AS n_empty,
-            min(word) AS first_word, max(word) AS last_word FROM words GROUP BY doc_id""",
+            min(word) AS first_word, max(word) AS last_word, sum(place * length(word))::BIGINT AS places
+            FROM (SELECT doc_id, generate_subscripts(l, 1) AS place, unnest(l) AS word
+                  FROM (SELECT doc_id, string_split_regex(text, '[^a-zA-Z\d:]') AS l FROM documents))
+            GROUP BY doc_id""",
         "word_counts": f"WITH {WORDS} {WORD_COUNTS}",
         "word_counts_sql": f"WITH {WORDS} {WORD_COUNTS}",
         "top_words": f"WITH {WORDS} {WORD_COUNTS} ORDER BY word_count DESC, word LIMIT 100",
@@ -184,8 +198,7 @@ def expected_sql() -> dict[str, str]:
         "pad_truncate": """SELECT doc_id, array_to_string(list_concat(
             regexp_extract_all(lower(text), '[0-9a-z_]+'),
             list_resize([]::VARCHAR[], 16, '[PAD]'))[1:16], ' ') AS tokens FROM documents""",
-        "concat_parts": """SELECT conv_id, turn // 4096 AS segment,
-            string_agg(text, ' ' ORDER BY turn) AS converted_texts
+        "concat_parts": """SELECT conv_id, string_agg(text, ' ' ORDER BY turn) AS converted_texts
             FROM conversations GROUP BY ALL""",
         "gap_segments": """WITH timed AS (
               SELECT user_id, event_id, epoch_us(ts) AS t,
@@ -202,12 +215,10 @@ def expected_sql() -> dict[str, str]:
         "dedup_enrich": r"""SELECT doc_id,
             len(string_split_regex(text, '[ \t\n\r\f]+'))::VARCHAR AS result,
             NULL::VARCHAR AS error FROM documents""",
-        "flow_transcript": f"""SELECT conv_id, turn // 4096 AS segment,
-            string_agg({_spaces("text")}, ' ' ORDER BY turn) AS converted_texts
+        "flow_transcript": f"""SELECT conv_id, string_agg({_spaces("text")}, ' ' ORDER BY turn) AS converted_texts
             FROM conversations GROUP BY ALL""",
         "flow_recordings": f"""WITH RECURSIVE {CHUNKS}
-            SELECT doc_id, chunk_index // 4096 AS segment,
-                   string_agg({_spaces("chunk")}, ' ' ORDER BY chunk_index) AS converted_texts
+            SELECT doc_id, string_agg({_spaces("chunk")}, ' ' ORDER BY chunk_index) AS converted_texts
             FROM chunks GROUP BY ALL""",
         "flow_tables": rf"""WITH {SECTIONS}, {QUERY_PAIRS}
             SELECT regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, {URL_COLUMNS},
@@ -217,19 +228,24 @@ def expected_sql() -> dict[str, str]:
               coalesce((SELECT string_agg(text, ' ' ORDER BY section_index, text_index)
                         FROM expanded e WHERE e.page_id = p.page_id), '') AS speech_as_text
             FROM pages p""",
+        "flow_transcript_tables": rf"""WITH {SECTIONS}
+            SELECT md5(regexp_extract(url, {URL}, 2))[1:2] AS partition, url,
+              regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, {PAGE_DATE} AS date,
+              coalesce((SELECT string_agg(text, ' ' ORDER BY section_index, text_index)
+                        FROM expanded e WHERE e.page_id = p.page_id), '') AS speech_as_text
+            FROM pages p WHERE md5(regexp_extract(url, {URL}, 2))[1:2] < '80'""",
+        "flow_document_tables": SECTION_COUNTS,
         "embed_text": f"""WITH {_vectors("documents", "doc_id")}
             SELECT d.doc_id, d.dim, round(coalesce(s.value, 0), 6) AS value
             FROM (SELECT doc_id, unnest(range(0, 64)) AS dim FROM documents) d
             LEFT JOIN scaled s ON s.doc_id = d.doc_id AND s.dim = d.dim""",
         "flow_embeddings": f"""WITH {SECTIONS},
             {_vectors("expanded", "page_id, section_index, text_index")}
-            SELECT e.page_id, e.section_index, e.continuation, e.text_index, 64::BIGINT AS n_dims,
-                   round(coalesce(m.largest, 0), 6) AS largest
-            FROM expanded e LEFT JOIN (
-              SELECT page_id, section_index, text_index, max(value) AS largest
-              FROM scaled GROUP BY ALL) m
-            ON m.page_id = e.page_id AND m.section_index = e.section_index
-               AND m.text_index = e.text_index""",
+            SELECT e.page_id, e.section_index, e.continuation, e.text_index, e.dim,
+                   round(coalesce(s.value, 0), 6) AS value
+            FROM (SELECT *, unnest(range(0, 64)) AS dim FROM expanded) e LEFT JOIN scaled s
+            ON s.page_id = e.page_id AND s.section_index = e.section_index
+               AND s.text_index = e.text_index AND s.dim = e.dim""",
         "cosine_one_vs_rest": """SELECT a.vec_id, round(list_cosine_similarity(
               a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS similarity
             FROM embeddings a, (SELECT embedding FROM embeddings WHERE vec_id = 0) b
@@ -238,6 +254,11 @@ def expected_sql() -> dict[str, str]:
             unnest(embedding[1:8])::DOUBLE AS value FROM embeddings""",
         "vector_multiply": """SELECT l_orderkey, l_linenumber,
             round(l_quantity * l_extendedprice, 2) AS product FROM lineitem""",
+        "price_parts": """SELECT l_orderkey, l_linenumber, kind, round(CASE kind
+              WHEN 'gross' THEN l_quantity * l_extendedprice
+              WHEN 'discount' THEN l_quantity * l_extendedprice * l_discount
+              ELSE l_quantity * l_extendedprice - l_quantity * l_extendedprice * l_discount END, 4) AS value
+            FROM lineitem, (VALUES ('gross'), ('discount'), ('net')) AS k(kind)""",
         "vector_multiply_batches": """SELECT l_orderkey, l_linenumber,
             round(l_quantity * l_extendedprice, 2) AS product FROM lineitem""",
     }

@@ -32,6 +32,12 @@ def page_sections(pages: DataFrame, keys: list[str], html: str = "html") -> Data
     return pages.select(*keys, sections.alias("image_content"))
 
 
+def section_titles(page_content: DataFrame, keys: list[str]) -> DataFrame:
+    """``page_titles`` from page content: every non-blank title has opened a section."""
+    titles = F.filter(F.transform("image_content", lambda s: s["title"]), lambda t: t.isNotNull())
+    return page_content.select(*keys, F.posexplode(titles).alias("title_index_in_page", "title"))
+
+
 def sections(page_content: DataFrame, keys: list[str], keep_empty: bool = False) -> DataFrame:
     """One row per section: keys, section_index, title, texts, continuation."""
     explode = F.posexplode_outer if keep_empty else F.posexplode

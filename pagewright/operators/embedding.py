@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,14 +31,11 @@ def hashed_words_encoder(dims: int = 64) -> EncoderFactory:
 
         class Buckets(dict):
             def __missing__(self, token):
-                bucket = int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % dims
-                if len(self) < 1_000_000:
-                    self[token] = bucket
+                self[token] = bucket = int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % dims
                 return bucket
 
-        bucket_of = Buckets().__getitem__
-
         def encode(texts):
+            bucket_of = Buckets().__getitem__  # of one batch: it never outgrows its texts
             vectors = []
             for text in texts:
                 buckets = list(map(bucket_of, word.findall(text.lower())))
@@ -50,21 +49,32 @@ def hashed_words_encoder(dims: int = 64) -> EncoderFactory:
     return make
 
 
+# Encoders of this process by the digest of their factory. Worker processes are reused.
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def _encoder_of(digest: str, factory: bytes) -> Encoder:
+    if digest not in _ENCODERS:
+        _ENCODERS[digest] = cloudpickle.loads(factory)()
+    return _ENCODERS[digest]
+
+
 def embed(text: Column, factory: EncoderFactory | None = None) -> Column:
     """Vector of each text as array<double>; null text gives null.
 
-    The encoder is made once per task and serves all of its batches.
+    The encoder is made once per worker process and serves all tasks that run there.
     """
-    make = factory or hashed_words_encoder()
+    packed = cloudpickle.dumps(factory or hashed_words_encoder())
+    digest = hashlib.sha256(packed).hexdigest()
 
     @F.pandas_udf("array<double>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode = make()
+        encode = _encoder_of(digest, packed)
         for batch in batches:
             present = batch.notna()
             out = pd.Series([None] * len(batch), index=batch.index, dtype=object)
             vectors = list(encode(batch[present].tolist()))
-            for position, vector in zip(batch.index[present], vectors):
+            for position, vector in zip(batch.index[present], vectors, strict=True):
                 out.at[position] = vector
             yield out
 

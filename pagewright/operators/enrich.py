@@ -69,7 +69,7 @@ def dedup_enrich(
     answers = materialize(call_for_each(distinct, content, function, threads), "answers")
     rows = df.select(*keys, digest.alias("digest"))
     hot = heavy_keys(answers, "digest", "copies")
-    joined = lookup_join(rows, answers.drop("copies"), ["digest"], hot, keys)
+    joined = lookup_join(rows, answers.drop("copies"), ["digest"], hot)
     return joined.select(*keys, "result", "error")
 
 

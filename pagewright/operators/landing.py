@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.functions import urls as U
@@ -29,6 +29,31 @@ def query_values(df: DataFrame, url: str = "url", keys: list[str] | None = None)
     return entries.select(*keys, "key", F.posexplode("values").alias("position", "value"))
 
 
+def _version(content: str, newest_by: str, *more: Column) -> Column:
+    """What tells the copies of a URL apart: the greatest is the one that counts.
+
+    A copy without a version comes before all others, and copies of one version go by the
+    digest of their content, so the choice is the same on every run.
+    """
+    return F.struct(F.col(newest_by).alias("version"), F.sha2(F.col(content).cast("binary"), 256).alias("digest"), *more)
+
+
+def newest_content(landed: DataFrame, url: str, content: str, newest_by: str) -> DataFrame:
+    """One row (url, content) per landed URL: its newest copy.
+
+    The copy is chosen from (url, version, digest) alone; only chosen contents are shuffled.
+    """
+    chosen = landed.groupBy(url).agg(F.max(_version(content, newest_by)).alias("_chosen"))
+    chosen = chosen.select(F.col(url).alias("_url"), F.col("_chosen.version").alias("_v"), F.col("_chosen.digest").alias("_d"))
+    copies = landed.select(url, F.col(content).alias("content"), _version(content, newest_by).alias("_copy"))
+    same = (
+        (F.col(url) == F.col("_url"))
+        & F.col("_copy.version").eqNullSafe(F.col("_v"))
+        & F.col("_copy.digest").eqNullSafe(F.col("_d"))
+    )
+    return copies.join(chosen, same).groupBy(url).agg(F.first("content").alias("content"))
+
+
 def resolve_content(
     manifest: DataFrame,
     landed: DataFrame,
@@ -39,17 +64,16 @@ def resolve_content(
 ) -> DataFrame:
     """Every manifest row with ``found`` and ``n_bytes``.
 
-    When a URL landed more than once the newest copy counts. Only lengths are grouped and
-    joined, the content stays in its scan. A URL listed very often is salted; see
-    ``lookup_join``.
+    When a URL landed more than once the newest copy counts; see ``newest_content`` for ties
+    and copies without a version. Only lengths are grouped and joined, the content stays in
+    its scan. A URL listed very often is salted; see ``lookup_join``.
     """
     n_bytes = F.octet_length(content).cast("bigint")
     newest = landed.groupBy(url).agg(
-        F.max_by(n_bytes, newest_by).alias("n_bytes"), F.lit(True).alias("_found")
-    )
-    joined = lookup_join(
-        manifest, newest, [url], hot_keys(manifest, url), spread_by or manifest.columns
+        F.max(_version(content, newest_by, n_bytes.alias("n_bytes")))["n_bytes"].alias("n_bytes"),
+        F.lit(True).alias("_found"),
     )
+    joined = lookup_join(manifest, newest, [url], hot_keys(manifest, url), spread_by)
     return joined.withColumn("found", F.coalesce("_found", F.lit(False))).drop("_found")
 
 
@@ -61,17 +85,6 @@ def with_content(
     newest_by: str = "modificationTime",
     spread_by: list[str] | None = None,
 ) -> DataFrame:
-    """Every manifest row with its ``content``, null when nothing landed.
-
-    ``newest_by`` tells the copies of one URL apart. The newest copy is first chosen from
-    (url, newest_by) alone, so that the content goes through one shuffle and is never
-    sorted for an aggregate.
-    """
-    newest = landed.groupBy(url).agg(F.max(newest_by).alias("_version"))
-    hot = hot_keys(manifest, url)
-    spread = spread_by or manifest.columns
-    chosen = lookup_join(manifest, newest, [url], hot, spread)
-    copies = landed.select(
-        url, F.col(newest_by).alias("_version"), F.col(content).alias("content")
-    )
-    return lookup_join(chosen, copies, [url, "_version"], hot, spread).drop("_version")
+    """Every manifest row once, with its ``content``, null when nothing landed."""
+    newest = newest_content(landed, url, content, newest_by)
+    return lookup_join(manifest, newest, [url], hot_keys(manifest, url), spread_by)

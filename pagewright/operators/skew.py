@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A key is hot when it holds more than this share of the rows, so there are fewer than
@@ -11,48 +11,46 @@ HOT_SHARE = 0.001
 
 
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
-    """Keys holding more than ``share`` of the rows of ``df``: fewer than ``1 / share``.
+    """(key, fan_out) of keys holding more than ``share`` of the rows: fewer than ``1 / share``.
 
-    Reads the key column only and counts before it shuffles.
+    ``fan_out`` is the key's share of the rows in units of ``share``, rounded up, so that all
+    of them add up to less than ``2 / share``. Reads the key column only and counts before
+    it shuffles.
     """
-    total = df.agg(F.count("*")).scalar()
     counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-    return counts.filter(F.col("_n") > total * F.lit(share)).select(key)
+    return _above(counts, key, "_n", df.agg(F.count("*")).scalar(), share)
 
 
 def heavy_keys(weighted: DataFrame, key: str, weight: str, share: float = HOT_SHARE) -> DataFrame:
     """``hot_keys`` of a table that already holds one row per key and its row count."""
-    total = weighted.agg(F.sum(weight)).scalar()
-    return weighted.filter(F.col(weight) > total * F.lit(share)).select(key)
+    return _above(weighted, key, weight, weighted.agg(F.sum(weight)).scalar(), share)
+
+
+def _above(counts: DataFrame, key: str, weight: str, total: Column, share: float) -> DataFrame:
+    unit = total * F.lit(share)
+    fan_out = F.ceil(F.col(weight) / unit).cast("int").alias("fan_out")
+    return counts.filter(F.col(weight) > unit).select(key, fan_out)
 
 
 def lookup_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: list[str],
-    hot: DataFrame,
-    spread_by: list[str],
-    fan_out: int | None = None,
+    left: DataFrame, right: DataFrame, on: list[str], hot: DataFrame, spread_by: list[str] | None = None
 ) -> DataFrame:
     """Left outer join to ``right``, which holds one row per value of ``on``.
 
-    ``hot`` lists the hot values of the first column of ``on``. Their rows are spread over
-    ``fan_out`` salts by a hash of ``spread_by`` and the matching right row is repeated once
-    per salt. All other rows keep salt 0, so only the hot keys (fewer than
-    ``1 / HOT_SHARE``) are repeated. Rows without a key match nothing and are spread too.
-    Nothing is dropped: the result equals the plain left join.
+    ``hot`` lists the hot values of the first column of ``on`` with their fan-out. Their rows
+    are spread over that many salts, and the matching right row is repeated once per salt:
+    in all less than ``2 / HOT_SHARE`` copies, however many cores there are. The salt is a
+    hash of ``spread_by``, or without it the row's place in the scan, which tells equal rows
+    apart too. Rows without a key match nothing and are spread as well. Nothing is dropped:
+    the result equals the plain left join.
     """
     key = on[0]
-    if fan_out is None:
-        fan_out = max(32, left.sparkSession.sparkContext.defaultParallelism)
-    marked = F.broadcast(hot.select(F.col(key), F.lit(True).alias("_hot")))
-    spread = F.pmod(F.xxhash64(*spread_by), F.lit(fan_out)).cast("int")
-    salted_left = left.join(marked, key, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | F.col(key).isNull(), spread).otherwise(0)
-    )
-    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(fan_out - 1)))
-    salted_right = right.join(marked, key, "left").withColumn(
-        "_salt", F.explode(F.coalesce(salts, F.array(F.lit(0))))
-    )
-    joined = salted_left.drop("_hot").join(salted_right.drop("_hot"), [*on, "_salt"], "left")
+    marked = F.broadcast(hot.select(F.col(key), F.col("fan_out").alias("_fan")))
+    place = F.xxhash64(*spread_by) if spread_by else F.monotonically_increasing_id()
+    placed = left.withColumn("_place", place)
+    fan = F.when(F.col(key).isNull(), F.lit(int(1 / HOT_SHARE))).otherwise(F.coalesce("_fan", F.lit(1)))
+    salted_left = placed.join(marked, key, "left").withColumn("_salt", F.pmod(F.col("_place"), fan).cast("int"))
+    salts = F.sequence(F.lit(0), F.coalesce("_fan", F.lit(1)) - 1)
+    salted_right = right.join(marked, key, "left").withColumn("_salt", F.explode(salts))
+    joined = salted_left.drop("_fan", "_place").join(salted_right.drop("_fan"), [*on, "_salt"], "left")
     return joined.drop("_salt")

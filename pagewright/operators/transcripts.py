@@ -8,8 +8,8 @@ from pyspark.sql import types as T
 
 from pagewright.functions import packing as P
 
-# Parts joined into one cell of the result; 4096 one-minute parts are 68 hours.
-PARTS_PER_CELL = 4096
+# Index values whose parts are sorted and joined together before the key's blocks are.
+BLOCK = 1024
 
 
 def concat_parts(
@@ -18,21 +18,24 @@ def concat_parts(
     index: str = "chunk_index",
     text: str = "speech_as_text",
     output: str = "converted_texts",
-    parts_per_cell: int = PARTS_PER_CELL,
 ) -> DataFrame:
-    """Texts of each key joined by a space in index order: (key, segment, output).
+    """Texts of each key joined by a space in index order: one row (key, output) per key.
 
-    ``index`` counts from 0 and is unique within a key. A key with up to
-    ``parts_per_cell`` parts gives one row with segment 0. A longer one gives a row per
-    ``parts_per_cell`` parts, numbered in order: no cell and no task holds more than
-    that, however large the key, and joining the segments gives the whole text. Null
-    texts are skipped.
+    Neighbouring parts are sorted and joined in blocks of index values first, by many tasks
+    for a long key; then the blocks of a key are joined in order. Indices may be sparse;
+    parts with the same index go by their text. Null texts are skipped, a key without
+    any text gives ''.
     """
-    segment = F.floor(F.col(index) / parts_per_cell)
-    ordered = F.array_sort(F.collect_list(F.struct(F.col(index).alias("i"), F.col(text).alias("t"))))
-    return parts.groupBy(key, segment.cast("bigint").alias("segment")).agg(
-        F.array_join(F.transform(ordered, lambda p: p["t"]), " ").alias(output)
+
+    def joined(position: Column, piece: Column) -> Column:
+        ordered = F.array_sort(F.collect_list(F.struct(position.alias("i"), piece.alias("t"))))
+        return F.array_join(F.transform(ordered, lambda p: p["t"]), " ")
+
+    block = F.floor(F.col(index) / BLOCK).cast("bigint")
+    blocks = parts.groupBy(key, block.alias("_block")).agg(
+        F.when(F.count(text) > 0, joined(F.col(index), F.col(text))).alias("_joined")
     )
+    return blocks.groupBy(key).agg(joined(F.col("_block"), F.col("_joined")).alias(output))
 
 
 def micros(df: DataFrame, column: str) -> Column:

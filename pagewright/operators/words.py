@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from pagewright.functions import text as X
 
 WORD_COUNTS_SQL = """
-    SELECT {who} AS who, word, count(word) AS word_count
-    FROM {words}
-    WHERE word IS NOT NULL AND word RLIKE '[a-zA-Z]+' AND NOT is_stop_word(lower(word))
-    GROUP BY word
+    WITH counted AS (SELECT word, count(*) AS n FROM {words} GROUP BY word),
+    tested AS (
+        SELECT word, CASE WHEN word RLIKE '[a-zA-Z]' AND NOT is_stop_word(lower(word)) THEN n END AS word_count
+        FROM counted
+    )
+    SELECT {who} AS who, word, word_count FROM tested WHERE word_count IS NOT NULL
 """
 
 
@@ -20,9 +22,16 @@ def word_tokens(
     text: str = "text",
     keys: list[str] | None = None,
     keep_empty: bool = True,
+    position: str | None = None,
 ) -> DataFrame:
-    """One row per word, with the empty strings between neighbouring separators or without."""
-    return df.select(*(keys or []), F.explode(X.words(F.col(text), keep_empty)).alias("word"))
+    """One row per word, with the empty strings between neighbouring separators or without.
+
+    ``position`` names a column for the word's place in its text, from 0.
+    """
+    split = X.words(F.col(text), keep_empty)
+    if position is None:
+        return df.select(*(keys or []), F.explode(split).alias("word"))
+    return df.select(*(keys or []), F.posexplode(split).alias(position, "word"))
 
 
 def word_counts(words: DataFrame, who: str) -> DataFrame:

@@ -72,7 +72,7 @@ def write_document_tables(
         return save_table(df, tables.name(table), tables.path(table))
 
     content = save(C.page_sections(pages, keys, html), "pages")
-    titles = save(C.page_titles(pages, keys, html), "document_titles")
+    titles = save(C.section_titles(content, keys), "document_titles")
     expanded = save(C.order_content(C.expand_sections(content, keys), keys), "expanded_content")
     counts = save(C.section_text_counts(expanded, keys), "section_text_counts")
     return {

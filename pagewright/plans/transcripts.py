@@ -27,7 +27,7 @@ def converted_parts(
 def transcript(
     parts: DataFrame, key: str, index: str, text: str, language: str = "en-US"
 ) -> DataFrame:
-    """Parts to (key, segment, converted_texts); see ``concat_parts`` for segments."""
+    """Parts to (key, converted_texts)."""
     return concat_parts(converted_parts(parts, key, index, text, language), key, index)
 
 
@@ -42,9 +42,9 @@ def recording_transcript(
 # The same flow as three named tables. Each function takes the table it reads.
 
 
-def nlp_urls(source: DataFrame, title: Column, url: Column) -> DataFrame:
+def nlp_urls(source: DataFrame, title: Column, url: Column, date: Column) -> DataFrame:
     """Manifest rows (title, url, date, file_name)."""
-    return manifest(source, title, url)
+    return manifest(source, title, url, date)
 
 
 def audio_raw(urls_with_content: DataFrame, content: str = "content") -> DataFrame:
@@ -92,7 +92,8 @@ def write_transcript_tables(
 
     Writes audio_raw, audio_converted_parts, audio_converted, audio_converted_v2 and
     audio_partitioned. ``urls`` has the manifest's columns, ``landed`` the content of each
-    URL. Each stage reads the table written before it.
+    URL. Each stage reads the table written before it. A URL that the manifest lists more
+    than once is one recording: its parts and texts are made once.
     """
     sink.create_database(spark, database)
 
@@ -103,7 +104,9 @@ def write_transcript_tables(
         return sink.save_table(df, f"{database}.{table}", path(table))
 
     raw = save(audio_raw(with_content(urls, landed, newest_by=newest_by)), "audio_raw")
-    spoken = raw.select("url", F.col("content").cast("string").alias("content"))
+    # All rows of a URL carry the same content.
+    recordings = raw.groupBy("url").agg(F.first("content", ignorenulls=True).alias("content"))
+    spoken = recordings.select("url", F.col("content").cast("string").alias("content"))
     chunks = pack_lines(spoken, "url", "content", budget)
     parts = save(converted_parts(chunks, "url", "chunk_index", "chunk"), "audio_converted_parts")
     whole = save(concat_parts(parts), "audio_converted")
@@ -111,7 +114,6 @@ def write_transcript_tables(
     partitioned = sink.save_partitioned(
         sink.with_partition(converted, F.col("site")),
         f"{database}.audio_partitioned",
-        ["url"],
         path=path("audio_partitioned"),
     )
     return {

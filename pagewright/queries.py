@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagewright.functions import sections as S
@@ -39,7 +39,13 @@ def query(function: Query) -> Query:
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents for heavy per-row expressions."""
-    return spread(read_table(spark, sf_dir, "documents"), by=["doc_id"])
+    return spread(read_table(spark, sf_dir, "documents"), _spread_tasks(spark), by=["doc_id"])
+
+
+def _spread_tasks(spark: SparkSession) -> int | None:
+    """Tasks for small files with few row groups, where the session asks for it."""
+    wanted = spark.conf.get("spark.pagewright.spread", None)
+    return int(wanted) if wanted else None
 
 
 def _target(spark: SparkSession, sf_dir: str, table: str) -> tuple[str, str]:
@@ -49,7 +55,7 @@ def _target(spark: SparkSession, sf_dir: str, table: str) -> tuple[str, str]:
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(read_table(spark, sf_dir, "pages"), by=["page_id"])
+    return spread(read_table(spark, sf_dir, "pages"), _spread_tasks(spark), by=["page_id"])
 
 
 def _page_content(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,22 +82,61 @@ def _words(spark: SparkSession, sf_dir: str) -> DataFrame:
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages")
     title = F.regexp_extract("html", PAGE_TITLE, 1)
-    return to_manifest(pages, title, F.col("url"), file_name=U.url_file_name(F.col("url")))
+    return to_manifest(pages, title, F.col("url"), _page_date(), U.url_file_name(F.col("url")))
+
+
+def _page_date() -> Column:
+    """A date for each page, made from its id: the pages have none."""
+    day = F.pmod("page_id", F.lit(365)).cast("int")
+    return F.date_add(F.lit("2020-01-01").cast("date"), day).cast("string")
 
 
 @query
 def binary_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = scan_binary_files(spark, sf_dir, "*.parquet")
-    return files.select(F.substring_index("path", "/", -1).alias("file_name"), "length")
+    """Landed files with their content, saved as a table, read back and compared line by line."""
+    name, path = _target(spark, sf_dir, "landed_files")
+    files = scan_binary_files(spark, _document_files(spark, sf_dir, "landed_text"), recursive=True)
+    landed = sink.save_table(files, name, path)
+    lines = F.explode(as_rows(F.split(F.col("content").cast("string"), "\n")))
+    rows = landed.select(F.regexp_extract("path", "lang=([^/]*)/", 1).alias("lang"), "length", lines.alias("line"))
+    number = F.conv(F.substring(F.md5("line"), 1, 8), 16, 10).cast("bigint")
+    counted = rows.groupBy("lang").agg(F.count("line").alias("n_lines"), F.sum(number).alias("line_sum"))
+    sizes = landed.groupBy(F.regexp_extract("path", "lang=([^/]*)/", 1).alias("lang")).agg(
+        F.sum("length").alias("n_bytes"), F.count("*").alias("n_files")
+    )
+    # Each file ends in a line break, after which the split finds an empty line.
+    empty = F.conv(F.substring(F.md5(F.lit("")), 1, 8), 16, 10).cast("bigint")
+    return counted.join(sizes, "lang").select(
+        "lang",
+        "n_bytes",
+        (F.col("n_lines") - F.col("n_files")).alias("n_lines"),
+        (F.col("line_sum") - F.col("n_files") * empty).alias("line_sum"),
+    )
 
 
-@query
-def whole_text_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents written as text files of bounded size, each then read as one row."""
-    _, path = _target(spark, sf_dir, "document_text")
+def _document_files(spark: SparkSession, sf_dir: str, table: str) -> str:
+    """Folder with the documents as text files of bounded size, one sub-folder per language."""
+    _, path = _target(spark, sf_dir, table)
     documents = read_table(spark, sf_dir, "documents").select("lang", "text")
     writer = documents.write.mode("overwrite").partitionBy("lang")
     writer.option("maxRecordsPerFile", 256).text(path)
+    return path
+
+
+@query
+def speech_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole text files to words, counts, order, and a created table of them."""
+    name, path = _target(spark, sf_dir, "speech_reference")
+    speech = scan_whole_text(spark, _document_files(spark, sf_dir, "speech_text"))
+    view = "pagewright_speech_reference"
+    transcript_flow.speech_reference_counts(speech, "speaker").createOrReplaceTempView(view)
+    return sink.create_table_as(spark, name, f"SELECT who, word, word_count FROM {view}", path)
+
+
+@query
+def whole_text_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as text files of bounded size, each then read as one row."""
+    path = _document_files(spark, sf_dir, "document_text")
     return scan_whole_text(spark, path).groupBy("lang").agg(
         F.sum(F.length("speech_text")).alias("n_chars")
     )
@@ -102,8 +147,13 @@ def whole_text_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sink_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of a database made for it, overwritten with another schema."""
     name, path = _target(spark, sf_dir, "documents")
-    return sink.save_table(read_table(spark, sf_dir, "documents"), name, path)
+    documents = read_table(spark, sf_dir, "documents")
+    sink.create_database(spark, "pagewright_db")
+    name = f"pagewright_db.{name}"
+    sink.save_table(documents.select(F.col("doc_id").cast("string").alias("doc_id")), name, path)
+    return sink.save_table(documents, name, path)
 
 
 @query
@@ -111,7 +161,7 @@ def partitioned_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     name, path = _target(spark, sf_dir, "pages_partitioned")
     pages = read_table(spark, sf_dir, "pages")
     keyed = sink.with_partition(pages, U.url_site(F.col("url")))
-    table = sink.save_partitioned(keyed, name, ["page_id"], path=path)
+    table = sink.save_partitioned(keyed, name, path=path)
     return table.select("partition", "page_id", "url", F.length("html").alias("n_chars"))
 
 
@@ -133,7 +183,7 @@ def describe_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def table_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     name, path = _target(spark, sf_dir, "events_partitioned")
     events = read_table(spark, sf_dir, "events")
-    table = sink.save_partitioned(events, name, ["event_id"], "event_type", path)
+    table = sink.save_partitioned(events, name, "event_type", path)
     return sink.table_detail(table, "event_type").select("event_type", "num_rows")
 
 
@@ -170,10 +220,12 @@ def partition_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def resolve_content(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = read_table(spark, sf_dir, "pages")
-    rows = pages.select("page_id", "url")
-    landed = pages.select("url", F.col("html").alias("content"), "page_id")
-    return landing.resolve_content(rows, landed, newest_by="page_id", spread_by=["page_id"])
+    """Documents looked up among the last turns of conversations; many have none."""
+    url = lambda c: F.concat(F.lit("item/"), F.col(c).cast("string")).alias("url")
+    rows = read_table(spark, sf_dir, "documents").select("doc_id", url("doc_id"))
+    turns = read_table(spark, sf_dir, "conversations")
+    landed = turns.select(url("conv_id"), F.col("text").alias("content"), "turn")
+    return landing.resolve_content(rows, landed, newest_by="turn")
 
 
 # Pages and sections
@@ -291,13 +343,14 @@ def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def word_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = words.word_tokens(_documents(spark, sf_dir), keys=["doc_id"])
+    tokens = words.word_tokens(_documents(spark, sf_dir), keys=["doc_id"], position="place")
     return tokens.groupBy("doc_id").agg(
         F.count("word").alias("n_tokens"),
         F.sum(F.length("word")).alias("n_chars"),
         F.count(F.when(F.col("word") == "", True)).alias("n_empty"),
         F.min("word").alias("first_word"),
         F.max("word").alias("last_word"),
+        F.sum((F.col("place") + 1) * F.length("word")).alias("places"),
     )
 
 
@@ -379,8 +432,8 @@ def flow_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _pages(spark, sf_dir)
     title = F.regexp_extract("html", PAGE_TITLE, 1)
     landed = pages.select("url", F.encode("html", "utf-8").alias("content"), "page_id")
-    urls = transcript_flow.nlp_urls(pages, title, F.col("url"))
-    fetched = landing.with_content(urls, landed, newest_by="page_id", spread_by=["url", "title"])
+    urls = transcript_flow.nlp_urls(pages, title, F.col("url"), _page_date())
+    fetched = landing.with_content(urls, landed, newest_by="page_id")
     converted = transcript_flow.nlp_converted(transcript_flow.audio_raw(fetched))
     return converted.select(
         "title",
@@ -395,6 +448,29 @@ def flow_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def flow_transcript_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flow as written tables; half of the partitions of the last one are read."""
+    pages = _pages(spark, sf_dir)
+    name, path = _target(spark, sf_dir, "audio")
+    landed = pages.select("url", F.encode("html", "utf-8").alias("content"), "page_id")
+    urls = transcript_flow.nlp_urls(pages, F.regexp_extract("html", PAGE_TITLE, 1), F.col("url"), _page_date())
+    tables = transcript_flow.write_transcript_tables(spark, urls, landed, PACK_BUDGET, name, path, "page_id")
+    half = tables["audio_partitioned"].filter(F.col("partition") < "80")
+    return half.select("partition", "url", "title", "date", "speech_as_text")
+
+
+@query
+def flow_document_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The document flow as written tables: texts of each titled section."""
+    name, path = _target(spark, sf_dir, "document_flow")
+    tables = document_flow.write_document_tables(
+        spark, _pages(spark, sf_dir), ["page_id"], document_flow.DocumentTables(name, path)
+    )
+    counts = tables["section_text_counts"]
+    return counts.withColumn("section_index", F.col("section_index").cast("bigint"))
+
+
 # Vectors
 
 
@@ -411,14 +487,14 @@ def embed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def flow_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = document_flow.text_embeddings(_pages(spark, sf_dir), ["page_id"])
-    vector = F.col("text_bert_embeddings")
-    return vectors.select(
+    value = F.posexplode(as_rows(F.col("text_bert_embeddings"))).alias("dim", "value")
+    return vectors.select("page_id", "section_index", "continuation", "text_index", value).select(
         "page_id",
         F.col("section_index").cast("bigint").alias("section_index"),
         "continuation",
         F.col("text_index").cast("bigint").alias("text_index"),
-        F.size(vector).cast("bigint").alias("n_dims"),
-        F.round(F.array_max(vector), 6).alias("largest"),
+        F.col("dim").cast("bigint").alias("dim"),
+        F.round("value", 6).alias("value"),
     )
 
 
@@ -450,9 +526,15 @@ def vector_multiply(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def vector_multiply_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    product = arithmetic.multiply_in_batches(
-        F.col("l_quantity"), F.col("l_extendedprice"), "double"
-    )
-    return read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", F.round(product, 2).alias("product")
-    )
+    """The gross part of ``price_parts``."""
+    parts = price_parts(spark, sf_dir).filter(F.col("kind") == "gross")
+    return parts.select("l_orderkey", "l_linenumber", F.round("value", 2).alias("product"))
+
+
+@query
+def price_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of every line's price from an Arrow batch function."""
+    amounts = [F.col(c) for c in ("l_quantity", "l_extendedprice", "l_discount")]
+    parts = F.explode(arithmetic.price_parts(*amounts)).alias("part")
+    rows = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", parts)
+    return rows.select("l_orderkey", "l_linenumber", "part.kind", F.round("part.value", 4).alias("value"))

@@ -2,42 +2,48 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagewright.functions.urls import partition_key
+from pagewright.operators.skew import hot_keys
 
 DEFAULT_FORMAT = "parquet"
-# Tasks that share the rows of one partition value when adaptive execution is off.
-FILES_PER_PARTITION = 32
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors can reach: ``spark.checkpoint.dir``.
+    """Folder all executors can reach: ``spark.checkpoint.dir``, else the session's warehouse.
 
-    Only a local session without that setting gets a temporary folder.
+    The same rule for every master.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="pagewright-")
+    return (configured or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+
+
+def run_folder(spark: SparkSession) -> str:
+    """Where this application's intermediate tables go."""
+    return f"{shared_folder(spark)}/pagewright/{spark.sparkContext.applicationId}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` under the shared folder and return the written table.
 
-    Cuts the lineage: what comes after reads files and never recomputes ``df``.
+    Cuts the lineage: what comes after reads files and never recomputes ``df``. The files
+    stay until ``remove_materialized``.
     """
-    path = f"{shared_folder(df.sparkSession)}/pagewright/{label}-{uuid.uuid4().hex}"
+    path = f"{run_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove_materialized(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables; their DataFrames cannot be read after."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def save_table(
     df: DataFrame,
     name: str,
@@ -62,24 +68,26 @@ def with_partition(df: DataFrame, site: Column, column: str = "partition") -> Da
 def save_partitioned(
     df: DataFrame,
     name: str,
-    spread_by: list[str],
     partition: str = "partition",
     path: str | None = None,
     fmt: str = DEFAULT_FORMAT,
-    files_per_partition: int = FILES_PER_PARTITION,
 ) -> DataFrame:
     """Overwrite a table partitioned by one column.
 
     Rows are gathered by partition value first, so a task does not open a file in every
     partition. A value with much of the rows is still written by many tasks: adaptive
     execution splits what the rebalance leaves too big, and where that is switched off
-    each value is salted by a hash of ``spread_by``.
+    a value gets as many salts as its share of the rows asks for.
     """
     if _splits_big_partitions(df.sparkSession):
         gathered = df.hint("rebalance", partition)
     else:
-        salt = F.pmod(F.xxhash64(*spread_by), F.lit(files_per_partition))
-        gathered = df.withColumn("_salt", salt).hint("rebalance", partition, "_salt").drop("_salt")
+        hot = hot_keys(df, partition).withColumnRenamed("fan_out", "_fan")
+        placed = df.withColumn("_place", F.monotonically_increasing_id())
+        fan = F.coalesce("_fan", F.lit(1))
+        salted = placed.join(F.broadcast(hot), partition, "left").withColumn("_salt", F.pmod("_place", fan))
+        gathered = salted.drop("_place", "_fan").hint("rebalance", partition, "_salt").drop("_salt")
+        gathered = gathered.select(*df.columns)
     return save_table(gathered, name, path, fmt, [partition])
 
 

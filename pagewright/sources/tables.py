@@ -10,7 +10,7 @@ MANIFEST_SCHEMA = T.StructType(
     [
         T.StructField("title", T.StringType(), False),
         T.StructField("url", T.StringType(), False),
-        T.StructField("date", T.StringType(), True),
+        T.StructField("date", T.StringType(), False),
         T.StructField("file_name", T.StringType(), True),
     ]
 )
@@ -21,22 +21,14 @@ def read_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory.rstrip('/')}/{name}.parquet")
 
 
-def spread(
-    df: DataFrame, partitions: int | None = None, by: list[str] | None = None
-) -> DataFrame:
-    """Give costly per-row work enough tasks.
+def spread(df: DataFrame, partitions: int | None, by: list[str] | None = None) -> DataFrame:
+    """Give costly per-row work ``partitions`` tasks; None leaves the scan as it is.
 
-    With ``partitions`` it is a plain ``repartition``. Without, a scan that already has a
-    task per core is left alone, so a large input gets no extra shuffle and a small file
-    with one row group still uses every core. Call it on a scan: it looks at the scan's
-    partition count. ``by`` names columns with many distinct values to hash on; dealing
-    rows out in turn sorts them first and is slower.
+    A scan of a large table has tasks enough; a small file with one row group has not.
+    ``by`` names columns with many distinct values to hash on; dealing rows out in turn
+    sorts them first and is slower.
     """
-    if partitions is None:
-        partitions = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= partitions:
-            return df
-    return df.repartition(partitions, *(by or []))
+    return df if partitions is None else df.repartition(partitions, *(by or []))
 
 
 def scan_binary_files(
@@ -61,36 +53,33 @@ def manifest(
     df: DataFrame,
     title: Column,
     url: Column,
-    date: Column | None = None,
+    date: Column,
     file_name: Column | None = None,
     on_null: str = "raise",
 ) -> DataFrame:
-    """Rows of ``MANIFEST_SCHEMA`` from any table.
+    """Rows of ``MANIFEST_SCHEMA``, nullability included, from any table.
 
-    A row without title or URL breaks the contract: ``raise`` fails the job, ``drop``
-    leaves such rows out and ``manifest_rejects`` returns them.
+    A row without title, URL or date, or with a blank one, breaks the contract: ``raise``
+    fails the job, ``drop`` leaves such rows out and ``manifest_rejects`` returns them.
     """
     if on_null not in ("raise", "drop"):
         raise ValueError(f"on_null must be 'raise' or 'drop', not {on_null!r}")
-    missing = F.lit(None).cast("string")
-    shaped = df.select(
-        title.cast("string").alias("title"),
-        url.cast("string").alias("url"),
-        (missing if date is None else date.cast("string")).alias("date"),
-        (missing if file_name is None else file_name.cast("string")).alias("file_name"),
-    )
+    required = {"title": title, "url": url, "date": date}
+    missing = F.lit(None).cast("string") if file_name is None else file_name.cast("string")
+    shaped = df.select(*(c.cast("string").alias(n) for n, c in required.items()), missing.alias("file_name"))
     if on_null == "drop":
-        return shaped.filter(F.col("title").isNotNull() & F.col("url").isNotNull())
-    return shaped.select(
-        *[
-            F.coalesce(F.col(c), F.raise_error(f"manifest row without {c}")).alias(c)
-            for c in ("title", "url")
-        ],
-        "date",
-        "file_name",
-    )
-
-
-def manifest_rejects(df: DataFrame, title: Column, url: Column) -> DataFrame:
-    """Input rows that have no title or no URL."""
-    return df.filter(title.isNull() | url.isNull())
+        for name in required:
+            shaped = shaped.filter(~_blank(F.col(name)))
+    told = {n: F.when(~_blank(F.col(n)), F.col(n)).otherwise(F.raise_error(f"manifest row without {n}")) for n in required}
+    # A coalesce that ends in a literal is not null for the optimizer; the value before it never is.
+    declared = [F.coalesce(c, F.lit("")).alias(n) for n, c in told.items()]
+    return shaped.select(*declared, "file_name").select(*MANIFEST_SCHEMA.names)
+
+
+def _blank(column: Column) -> Column:
+    return column.isNull() | (F.trim(column) == "")
+
+
+def manifest_rejects(df: DataFrame, title: Column, url: Column, date: Column) -> DataFrame:
+    """Input rows that lack a title, a URL or a date."""
+    return df.filter(_blank(title.cast("string")) | _blank(url.cast("string")) | _blank(date.cast("string")))

@@ -1,6 +1,5 @@
 import os
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -46,8 +45,8 @@ def test_lookup_join_spreads_hot_rows(spark):
     left = spark.range(8000).select("id", F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).alias("k"))
     right = spark.range(0, 4000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     hot = skew.hot_keys(left, "k")
-    assert [r.k for r in hot.collect()] == [0]
-    joined = skew.lookup_join(left, right, ["k"], hot, ["id"], fan_out=16)
+    assert [tuple(r) for r in hot.collect()] == [(0, 500)]
+    joined = skew.lookup_join(left, right, ["k"], hot, ["id"])
     plain = left.join(right, "k", "left")
     assert joined.select("id", "k", "v").exceptAll(plain.select("id", "k", "v")).isEmpty()
     assert joined.count() == plain.count() == 8000
@@ -58,25 +57,50 @@ def test_hot_keys_are_few(spark):
     assert skew.hot_keys(even, "k").isEmpty()
 
 
-def test_encoder_is_made_once_per_task(spark, tmp_path):
+def test_copies_follow_the_share_of_a_key(spark):
+    """However many hot keys there are, their fan-outs add up to less than 2 / HOT_SHARE."""
+    left = spark.range(20_000).select((F.col("id") % 900).alias("k"))
+    skewed = left.union(spark.range(30_000).select(F.lit(0).alias("k")))
+    for df, keys in ((left, 900), (skewed, 1)):
+        fans = [r.fan_out for r in skew.hot_keys(df, "k").collect()]
+        assert len(fans) == keys and sum(fans) < 2 / skew.HOT_SHARE
+        assert min(fans) >= 1
+
+
+def test_equal_rows_get_many_salts(spark):
+    """Rows of a hot key that are equal in every column still spread over tasks."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        left = spark.range(0, 4000, 1, 4).select(F.lit("u").alias("k"), F.lit("same").alias("x"))
+        right = spark.createDataFrame([("u", 1)], "k string, v int").hint("merge")
+        joined = skew.lookup_join(left, right, ["k"], skew.hot_keys(left, "k"))
+        tasks = joined.groupBy(F.spark_partition_id()).count().count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert joined.filter("v = 1").count() == 4000 and tasks > 1
+
+
+def test_encoder_is_made_once_per_process(spark, tmp_path):
     made = str(tmp_path)
 
     def factory():
+        import os
         import uuid
 
-        open(f"{made}/{uuid.uuid4().hex}", "w").close()
+        open(f"{made}/{os.getpid()}-{uuid.uuid4().hex}", "w").close()
         return lambda texts: [[float(len(t)), 1.0] for t in texts]
 
     before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     try:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
-        df = spark.range(0, 200, 1, 3).select(F.repeat(F.lit("x"), F.col("id").cast("int")).alias("text"))
+        df = spark.range(0, 200, 1, 40).select(F.repeat(F.lit("x"), F.col("id").cast("int")).alias("text"))
         out = embedding.embed_texts(df, output="v", factory=factory)
         lengths = sorted(r.v[0] for r in out.collect())
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
     assert lengths == [float(i) for i in range(200)]
-    assert len(os.listdir(made)) == 3
+    processes = [name.split("-")[0] for name in os.listdir(made)]
+    assert len(processes) == len(set(processes)) < 40
 
 
 def test_default_encoder(spark):
@@ -113,13 +137,12 @@ def test_pooling(spark):
     assert empty.select(V.cls_pool(F.col("h")).alias("c")).head().c is None
 
 
-def test_vectorized_multiply(spark):
-    x = pd.Series([1, 2, 3])
-    assert arithmetic.multiply_series(x, x).tolist() == [1, 4, 9]
-    df = spark.createDataFrame([(1,), (2,), (3,)], "x long")
-    out = df.select(arithmetic.multiply_in_batches(F.col("x"), F.col("x")).alias("y"))
-    assert [r.y for r in out.collect()] == [1, 4, 9]
-    assert out.schema["y"].dataType.simpleString() == "bigint"
+def test_price_parts(spark):
+    df = spark.createDataFrame([(4.0, 2.5, 0.1), (1.0, 8.0, 0.0)], "q double, p double, d double")
+    out = df.select(arithmetic.price_parts(F.col("q"), F.col("p"), F.col("d")).alias("parts"))
+    assert out.schema["parts"].dataType.simpleString() == arithmetic.PARTS
+    got = [[(p.kind, p.value) for p in r.parts] for r in out.collect()]
+    assert got == [[("gross", 10.0), ("discount", 1.0), ("net", 9.0)], [("gross", 8.0), ("discount", 0.0), ("net", 8.0)]]
 
 
 @pytest.mark.parametrize("name", ["lineitem"])

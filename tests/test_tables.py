@@ -10,18 +10,17 @@ from pagewright.sources import tables as A
 
 
 def test_manifest_contract(spark):
-    df = spark.createDataFrame(
-        [("t", "u", "02 Oct 2002"), (None, "v", "x"), ("w", None, "y")], "a string, b string, d string"
-    )
-    a, b = F.col("a"), F.col("b")
-    good = A.manifest(df, a, b, F.col("d"), on_null="drop")
-    assert good.columns == ["title", "url", "date", "file_name"]
+    rows = [("t", "u", "02 Oct 2002"), (None, "v", "x"), ("w", None, "y"), (" ", "b", "z"), ("n", "d", None)]
+    df = spark.createDataFrame(rows, "a string, b string, d string")
+    a, b, d = F.col("a"), F.col("b"), F.col("d")
+    good = A.manifest(df, a, b, d, on_null="drop")
+    assert [(f.name, f.nullable) for f in good.schema] == [(f.name, f.nullable) for f in A.MANIFEST_SCHEMA]
     assert [tuple(r) for r in good.collect()] == [("t", "u", "02 Oct 2002", None)]
-    assert A.manifest_rejects(df, a, b).count() == 2
-    with pytest.raises(Exception, match="manifest row without (title|url)"):
-        A.manifest(df, a, b).collect()
+    assert A.manifest_rejects(df, a, b, d).count() == 4
+    with pytest.raises(Exception, match="manifest row without (title|url|date)"):
+        A.manifest(df, a, b, d).collect()
     with pytest.raises(ValueError):
-        A.manifest(df, a, b, on_null="ignore")
+        A.manifest(df, a, b, d, on_null="ignore")
 
 
 def test_binary_scan(spark, tmp_path):
@@ -40,13 +39,11 @@ def test_whole_text(spark, tmp_path):
 
 
 def test_spread(spark):
-    assert A.spread(spark.range(10), 3).rdd.getNumPartitions() == 3
-    cores = spark.sparkContext.defaultParallelism
-    assert A.spread(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == cores
-    by_id = A.spread(spark.range(0, 10, 1, 1), by=["id"])
-    assert by_id.rdd.getNumPartitions() == cores and "hashpartitioning(id" in plan_of(by_id)
-    wide = spark.range(0, 10, 1, cores + 3)
-    assert A.spread(wide) is wide
+    one = spark.range(0, 10, 1, 1)
+    assert A.spread(one, 3).rdd.getNumPartitions() == 3
+    by_id = A.spread(one, 5, by=["id"])
+    assert by_id.rdd.getNumPartitions() == 5 and "hashpartitioning(id" in plan_of(by_id)
+    assert A.spread(one, None) is one
 
 
 def test_overwrite_replaces_rows_and_schema(spark, tmp_path):
@@ -58,7 +55,7 @@ def test_overwrite_replaces_rows_and_schema(spark, tmp_path):
 
 
 def test_create_table_as(spark):
-    made = K.create_table_as(spark, "ctas_t", "SELECT id, 'obama' AS who FROM range(4)")
+    made = K.create_table_as(spark, "ctas_t", "SELECT id, 'someone' AS who FROM range(4)")
     assert made.count() == 4
     K.create_table_as(spark, "ctas_t", "SELECT id FROM range(2)")
     assert spark.table("ctas_t").columns == ["id"]
@@ -95,7 +92,7 @@ def test_partitioned_table_with_one_big_site(spark, tmp_path):
         "id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 50)).alias("site")
     )
     keyed = K.with_partition(df, F.col("site"))
-    table = K.save_partitioned(keyed, "part_t", ["id"], path=path)
+    table = K.save_partitioned(keyed, "part_t", path=path)
     assert table.exceptAll(keyed.select(table.columns)).isEmpty() and table.count() == 3000
     one = keyed.filter("site = 'hot'").head().partition
     pruned = table.filter(F.col("partition") == one)
@@ -117,7 +114,7 @@ def test_big_partition_is_written_by_many_tasks_without_adaptive_execution(spark
     df = spark.range(2000).withColumn("partition", F.lit("aa"))
     try:
         spark.conf.set("spark.sql.adaptive.enabled", "false")
-        K.save_partitioned(df, "salted_t", ["id"], path=str(tmp_path / "s"))
+        K.save_partitioned(df, "salted_t", path=str(tmp_path / "s"))
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert len(data_files(str(tmp_path / "s"))) > 1
@@ -135,7 +132,23 @@ def test_materialize_cuts_lineage(spark):
     assert K.shared_folder(spark) in out.inputFiles()[0]
 
 
+class _Settings:
+    """As much of a session as the folder rule looks at."""
+
+    def __init__(self, master, **conf):
+        self.sparkContext = type("Context", (), {"master": master})
+        self.conf = type("Conf", (), {"get": staticmethod(lambda k, *d: conf.get(k, *d))})
+
+
+@pytest.mark.parametrize("master", ["local[4]", "spark://h:7077", "yarn"])
+def test_the_folder_rule_is_the_same_for_every_master(master):
+    both = {"spark.checkpoint.dir": "hdfs://c/shared/", "spark.sql.warehouse.dir": "hdfs://c/tables"}
+    assert K.shared_folder(_Settings(master, **both)) == "hdfs://c/shared"
+    both.pop("spark.checkpoint.dir")
+    assert K.shared_folder(_Settings(master, **both)) == "hdfs://c/tables"
+
+
 def test_shuffle_partitions():
     assert shuffle_partitions(0, 8) == 8
     assert shuffle_partitions(10 * 1024**3, 8) == 80
-    assert shuffle_partitions(100 * 1024**4, 8) == 100_000
+    assert shuffle_partitions(100 * 1024**4, 8) == 100 * 1024**4 // (128 * 1024**2)

@@ -14,23 +14,28 @@ from pagewright.plans import transcripts as flow
 def test_concat_orders_and_skips_nulls(spark):
     rows = [("a", 2, "z"), ("a", 0, "x"), ("a", 1, None), ("b", 0, "only"), ("c", 0, None)]
     df = spark.createDataFrame(rows, "url string, chunk_index int, speech_as_text string")
-    got = {r.url: (r.segment, r.converted_texts) for r in R.concat_parts(df.repartition(4)).collect()}
-    assert got == {"a": (0, "x z"), "b": (0, "only"), "c": (0, "")}
+    got = {r.url: r.converted_texts for r in R.concat_parts(df.repartition(4)).collect()}
+    assert got == {"a": "x z", "b": "only", "c": ""}
 
 
-def test_concat_splits_a_long_recording(spark):
-    n = 1000
+def test_concat_gives_one_row_for_a_long_recording(spark):
+    n = 36_000
     df = spark.range(n).select(
-        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), "id")).alias("url"),
-        F.when(F.col("id") % 3 == 0, (F.col("id") / 3).cast("int")).otherwise(0).alias("chunk_index"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 100)).alias("url"),
+        F.when(F.col("id") % 3 == 0, F.col("id") / 3).otherwise(F.col("id")).cast("int").alias("chunk_index"),
         F.col("id").cast("string").alias("speech_as_text"),
     )
-    out = R.concat_parts(df, parts_per_cell=50)
-    hot = out.filter("url = 'hot'").orderBy("segment").collect()
-    assert [r.segment for r in hot] == list(range(7))
-    assert max(len(r.converted_texts.split()) for r in hot) == 50
-    assert " ".join(r.converted_texts for r in hot).split() == [str(i) for i in range(0, n, 3)]
-    assert out.count() == 7 + 666
+    out = R.concat_parts(df.repartition(7))
+    assert out.columns == ["url", "converted_texts"] and out.count() == 101
+    hot = out.filter("url = 'hot'").collect()
+    assert [r.converted_texts.split() for r in hot] == [[str(i) for i in range(0, n, 3)]]
+
+
+def test_concat_takes_sparse_and_equal_indices(spark):
+    rows = [("a", 9000, "z"), ("a", 0, "x"), ("a", 5000, "y"), ("a", 5000, None), ("b", 3, "q"), ("b", 3, "p")]
+    df = spark.createDataFrame(rows, "url string, chunk_index int, speech_as_text string")
+    got = {r.url: r.converted_texts for r in R.concat_parts(df.repartition(3)).collect()}
+    assert got == {"a": "x y z", "b": "p q"}
 
 
 def packs(spark, lists, budget):
@@ -135,7 +140,7 @@ def test_gap_segments_hot_key(spark):
 def test_recording_flow(spark):
     df = spark.createDataFrame([("r", "aa \t b\ncc\n" + "d" * 12 + "\n e ")], "url string, content string")
     rows = flow.recording_transcript(df, "url", "content", 10).collect()
-    assert [tuple(r) for r in rows] == [("r", 0, "aa b cc " + "d" * 12 + " e")]
+    assert [tuple(r) for r in rows] == [("r", "aa b cc " + "d" * 12 + " e")]
 
 
 def test_three_tables(spark):
@@ -143,7 +148,7 @@ def test_three_tables(spark):
         [("t", "HTTP://h:1/a/f.mp3;p?x=1&x=2", b"<p>one<h1>T<p>two")],
         "name string, link string, content binary",
     )
-    urls = flow.nlp_urls(source, F.col("name"), F.col("link"))
+    urls = flow.nlp_urls(source, F.col("name"), F.col("link"), F.lit("2020-01-01"))
     raw = flow.audio_raw(urls.crossJoin(source.select("content")))
     row = flow.nlp_converted(raw).head()
     assert (row.path, row.file_name, row.site, row.scheme) == ("/a/f.mp3", "f.mp3;p", "h:1", "http")
@@ -155,16 +160,18 @@ def test_three_tables(spark):
 
 def test_transcript_tables(spark, tmp_path):
     urls = flow.nlp_urls(
-        spark.createDataFrame([("t1", "http://h/a?k=v"), ("t2", "http://g/b")], "t string, u string"),
+        spark.createDataFrame([("t1", "http://h/a?k=v"), ("t2", "http://g/b"), ("t3", "http://h/a?k=v")], "t string, u string"),
         F.col("t"),
         F.col("u"),
+        F.lit("2020-01-01"),
     )
     content = b"<h1>T<p>first line\nsecond line<p>third"
     landed = spark.createDataFrame(
         [("http://h/a?k=v", content, 1)], "url string, content binary, modificationTime int"
     )
     out = flow.write_transcript_tables(spark, urls, landed, 20, "audio_test", str(tmp_path))
-    assert out["audio_raw"].count() == 2
+    # A URL listed twice keeps both manifest rows and is one recording.
+    assert out["audio_raw"].count() == 3 and out["audio_converted"].count() == 1
     parts = [tuple(r) for r in out["audio_converted_parts"].orderBy("chunk_index").collect()]
     url = "http://h/a?k=v"
     assert parts == [(url, 0, "<h1>T<p>first line"), (url, 1, "second line<p>third")]
@@ -178,5 +185,5 @@ def test_transcript_tables(spark, tmp_path):
 
 def test_speech_reference_counts(spark):
     df = spark.createDataFrame([("Hope and hope, change. Hope!",)], "speech_text string")
-    rows = [tuple(r) for r in flow.speech_reference_counts(df, "obama").collect()]
-    assert rows == [("obama", "Hope", 2), ("obama", "change", 1), ("obama", "hope", 1)]
+    rows = [tuple(r) for r in flow.speech_reference_counts(df, "speaker").collect()]
+    assert rows == [("speaker", "Hope", 2), ("speaker", "change", 1), ("speaker", "hope", 1)]

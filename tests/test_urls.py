@@ -103,6 +103,25 @@ def test_resolve_content(spark, landed):
     assert [r.content for r in full] == [bytearray(b"newest"), bytearray(b"xy"), None, None]
 
 
+def test_newest_copy_with_ties_and_without_versions(spark):
+    """One row per manifest row, the same on every run, and bytes wherever something landed."""
+    rows = [("tie", b"aa", 5), ("tie", b"bbb", 5), ("tie", b"bbb", 5), ("none", b"cccc", None), ("mixed", b"old", 1)]
+    rows += [("mixed", b"unknown", None), ("null", None, 3)]
+    schema = "url string, content binary, modificationTime int"
+    manifest = spark.createDataFrame([(u,) for u in ("tie", "none", "mixed", "null", "gone")], "url string")
+    seen = set()
+    for parts in (1, 3, 7):
+        landed = spark.createDataFrame(rows, schema).repartition(parts)
+        found = {r.url: (r.found, r.n_bytes) for r in landing.resolve_content(manifest, landed).collect()}
+        full = landing.with_content(manifest, landed).collect()
+        assert len(full) == 5 and found["none"] == (True, 4) and found["mixed"] == (True, 3)
+        assert found["null"] == (True, None) and found["gone"] == (False, None)
+        contents = {r.url: None if r.content is None else bytes(r.content) for r in full}
+        assert {u: c and len(c) for u, c in contents.items()} == {u: n for u, (_, n) in found.items()}
+        seen.add(contents["tie"])
+    assert len(seen) == 1
+
+
 def test_resolve_content_with_a_hot_url(spark, landed):
     n = 30_000
     manifest = spark.range(n).select(
