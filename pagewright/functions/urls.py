@@ -29,6 +29,37 @@ def file_name_or_derived(file_name: Column, url: Column) -> Column:
     return F.coalesce(F.nullif(file_name, F.lit("")), url_file_name(url))
 
 
+def url_groups(url: Column) -> Column:
+    """Array of scheme, authority, path and query, from one run of the pattern.
+
+    The groups are parted by a control character; a URL that holds it takes a run per group.
+    """
+    mark = "\x01"
+    parted = F.split(F.regexp_replace(url, URL_PATTERN, mark.join(f"${k}" for k in range(1, 6))), mark)
+    each = F.array(*(F.regexp_extract(url, URL_PATTERN, k) for k in range(1, 5)))
+    return F.when(F.instr(url, mark) > 0, each).otherwise(parted)
+
+
+def url_struct(url: Column) -> Column:
+    """Struct of scheme, site, path and query_string; the same as the functions below."""
+
+    def parts(groups: Column) -> Column:
+        scheme, path = F.lower(F.get(groups, F.lit(0))), F.get(groups, F.lit(2))
+        return F.struct(
+            scheme.alias("scheme"),
+            F.get(groups, F.lit(1)).alias("site"),
+            _without_params(scheme, path).alias("path"),
+            F.get(groups, F.lit(3)).alias("query_string"),
+        )
+
+    return let(url_groups(url), parts)
+
+
+def _without_params(scheme: Column, path: Column) -> Column:
+    known = scheme.isin(PARAM_SCHEMES)
+    return F.when(known, F.regexp_replace(path, ";[^/]*$", "")).otherwise(path)
+
+
 def url_scheme(url: Column) -> Column:
     return F.lower(F.regexp_extract(url, URL_PATTERN, 1))
 
@@ -40,10 +71,7 @@ def url_site(url: Column) -> Column:
 
 def url_path(url: Column) -> Column:
     """Path without the ``;params`` of its last segment."""
-    path = F.regexp_extract(url, URL_PATTERN, 3)
-    return F.when(
-        url_scheme(url).isin(PARAM_SCHEMES), F.regexp_replace(path, ";[^/]*$", "")
-    ).otherwise(path)
+    return _without_params(url_scheme(url), F.regexp_extract(url, URL_PATTERN, 3))
 
 
 def url_query_string(url: Column) -> Column:

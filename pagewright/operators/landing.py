@@ -11,14 +11,7 @@ from pagewright.operators.skew import hot_keys, lookup_join
 
 def url_parts(df: DataFrame, url: str = "url", keys: list[str] | None = None) -> DataFrame:
     """URL split into scheme, site, path and query string, '' where a part is missing."""
-    u = F.col(url)
-    parts = F.struct(
-        U.url_scheme(u).alias("scheme"),
-        U.url_site(u).alias("site"),
-        U.url_path(u).alias("path"),
-        U.url_query_string(u).alias("query_string"),
-    )
-    return df.select(*(keys or []), url, parts.alias("p")).select(*(keys or []), url, "p.*")
+    return df.select(*(keys or []), url, U.url_struct(F.col(url)).alias("p")).select(*(keys or []), url, "p.*")
 
 
 def query_values(df: DataFrame, url: str = "url", keys: list[str] | None = None) -> DataFrame:

@@ -50,31 +50,60 @@ def micros(df: DataFrame, column: str) -> Column:
     return F.unix_micros(column)
 
 
-def gap_segments(events: DataFrame, key: str, ts: str, gap_micros: int) -> DataFrame:
+# Gap-wide slots whose events are put in order together; see ``gap_segments``.
+SLOTS_PER_BUCKET = 4096
+
+
+def gap_segments(
+    events: DataFrame, key: str, ts: str, gap_micros: int, slots_per_bucket: int = SLOTS_PER_BUCKET
+) -> DataFrame:
     """Split each key's events where the silence exceeds the gap.
 
     Result: key, segment_id from 0, n_events, start_micros, end_micros.
 
     Two events in the same gap-wide time slot are never split, so events are first
-    counted per (key, slot), most of it before the shuffle. The window then sees one row
-    per slot in use, at most time span / gap per key, no matter how many events the key
-    has. Events without a time form one segment of their own, ahead of the others.
+    counted per (key, slot), most of it before the shuffle. Slots are put in order within
+    (key, bucket of ``slots_per_bucket`` slots), so a task never sees more than that of one
+    key, however small the gap. Buckets of a key are then joined by their first and last
+    times alone: a bucket's first segment goes on with the last of the bucket before if
+    the silence between them is within the gap. Events without a time form one segment of
+    their own, ahead of the others.
     """
-    timed = events.select(key, micros(events, ts).alias("t"))
+    timed = events.select(F.col(key).alias("k"), micros(events, ts).alias("t"))
     slot_start = F.col("t") - F.pmod(F.col("t"), F.lit(gap_micros))
+    bucket = F.floor(F.col("slot") / F.lit(gap_micros * slots_per_bucket)).cast("bigint")
     slots = (
-        timed.groupBy(key, slot_start.alias("slot"))
+        timed.groupBy("k", slot_start.alias("slot"))
         .agg(F.count("*").alias("n"), F.min("t").alias("first"), F.max("t").alias("last"))
+        .withColumn("bucket", bucket)
+    )
+    within = Window.partitionBy("k", "bucket").orderBy("slot")
+    silence = F.col("first") - F.lag("last").over(within)
+    opens = F.coalesce((silence > gap_micros).cast("int"), F.lit(1))
+    pieces = (
+        slots.withColumn("opens", opens)
+        .withColumn("piece", F.sum("opens").over(within))
+        .groupBy("k", "bucket", "piece")
+        .agg(F.sum("n").alias("n"), F.min("first").alias("first"), F.max("last").alias("last"))
+    )
+    buckets = pieces.groupBy("k", "bucket").agg(
+        F.max("piece").alias("pieces"), F.min("first").alias("first"), F.max("last").alias("last")
+    )
+    across = Window.partitionBy("k").orderBy("bucket")
+    goes_on = F.coalesce(F.col("first") - F.lag("last").over(across) <= gap_micros, F.lit(False))
+    numbered = buckets.withColumn("new", F.col("pieces") - goes_on.cast("int")).withColumn(
+        "before", F.sum("new").over(across) - F.col("pieces")
     )
-    in_order = Window.partitionBy(key).orderBy("slot")
-    silence = F.col("first") - F.lag("last").over(in_order)
-    numbered = slots.withColumn(
-        "opens", F.coalesce((silence > gap_micros).cast("int"), F.lit(1))
-    ).withColumn("segment_id", F.sum("opens").over(in_order) - 1)
-    return numbered.groupBy(key, "segment_id").agg(
-        F.sum("n").alias("n_events"),
-        F.min("first").alias("start_micros"),
-        F.max("last").alias("end_micros"),
+    offsets = numbered.select(F.col("k").alias("_k"), F.col("bucket").alias("_bucket"), "before")
+    same = F.col("k").eqNullSafe(F.col("_k")) & F.col("bucket").eqNullSafe(F.col("_bucket"))
+    return (
+        pieces.join(offsets, same)
+        .groupBy(F.col("k").alias(key), (F.col("before") + F.col("piece") - 1).alias("segment_id"))
+        .agg(
+            F.sum("n").alias("n_events"),
+            F.min("first").alias("start_micros"),
+            F.max("last").alias("end_micros"),
+        )
     )
 
 

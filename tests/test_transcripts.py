@@ -99,8 +99,9 @@ def test_gap_segments_against_model(spark, offsets):
     origin = dt.datetime(1970, 1, 1)
     rows = [("k", origin + dt.timedelta(microseconds=o)) for o in offsets]
     df = spark.createDataFrame(rows, "k string, ts timestamp_ntz")
-    got = R.gap_segments(df, "k", "ts", 10).orderBy("segment_id").collect()
-    assert [tuple(r)[1:] for r in got] == model_segments(offsets, 10)
+    for slots in (1, 3, 4096):
+        got = R.gap_segments(df, "k", "ts", 10, slots).orderBy("segment_id").collect()
+        assert [tuple(r)[1:] for r in got] == model_segments(offsets, 10)
 
 
 def test_gap_segments_ignore_session_zone(spark):
