@@ -10,13 +10,13 @@ then from counts of the shingles that fall into buckets with enough documents.
 
 Texts with the same words are one class from the start, represented by one text. Each
 representative draws ``bands x rows`` weighted samples; those that agree in a band meet in a
-bucket. A bucket is a star, never all pairs: every member is compared with the bucket's leader,
-and members that are not near it choose a new leader among themselves, round after round,
-until none is left over. Links are pairs with weighted Jaccard similarity of at least
-``threshold``, computed from the whole texts. The first sweep elects the same text wherever it
-can, so that most members are compared once. Every further sweep elects other leaders, another
-one in each band, and compares only what is not yet connected; the sweeps end with the first
-that adds no link. Connected representatives are one class, named by the smallest document id.
+group. A group is a star, never all pairs: every member is compared with the group's leader.
+Members that are not near it go on to smaller groups, of those that agree in one more band, with
+other leaders, until nobody meets anybody or the bands are used up. So a group of texts that
+share a long passage but are not near falls apart by its own samples, and a text is in no more
+groups than there are combinations of its bands, whatever the size of the group. Links are
+pairs with weighted Jaccard similarity of at least ``threshold``, computed from the whole texts.
+Connected representatives are one class, named by the smallest document id in it.
 
 Defined cases: a text without words (null, empty, punctuation) is a class of its own; repeated
 rows are copies of each other; a null id is named by null only if it is alone in its class;
@@ -205,17 +205,6 @@ def _signed(raws: list[bytes], idf: Idf, settings: Settings) -> tuple[list[str |
     return members, [None if m is None else keys[known[m]] for m in members]
 
 
-def _star_pairs(members: DataFrame, sweep: int, step: int) -> DataFrame:
-    """(member, band, key, root, leader) of every member that its bucket's leader is not connected with."""
-    salt = [F.lit(0)] if sweep == 0 else [F.lit(sweep), F.col("band")]
-    rank = F.xxhash64("member", F.lit(step), *salt)
-    elected = members.groupBy("band", "key").agg(
-        F.min(F.struct(rank.alias("rank"), F.col("member").alias("leader"), F.col("root").alias("leader_root"))).alias("m")
-    )
-    leaders = elected.select("band", "key", "m.leader", "m.leader_root")
-    return members.join(leaders, ["band", "key"]).where("root <> leader_root").drop("leader_root")
-
-
 def _judged(pairs: DataFrame, texts: DataFrame, idf: Idf, threshold: float) -> DataFrame:
     """(a, b, near) for each different pair of members, from their whole texts."""
     shared_idf = pairs.sparkSession.sparkContext.broadcast(idf)
@@ -234,37 +223,31 @@ def _judged(pairs: DataFrame, texts: DataFrame, idf: Idf, threshold: float) -> D
     return written(map_texts(both, inputs, "a string, b string, near boolean", verify), "near-pairs")
 
 
-def near_links(members: DataFrame, texts: DataFrame, idf: Idf, threshold: float) -> DataFrame:
-    """``node``, ``root`` of the classes of more than one text. ``members``: member, band, key."""
+def near_links(keyed: DataFrame, texts: DataFrame, idf: Idf, settings: Settings) -> DataFrame:
+    """Verified links (a, b). ``keyed``: member, keys (one for each band); ``texts``: member, text."""
+    rows = keyed.select("member", "keys", F.posexplode("keys").alias("band", "key"))
+    rows = rows.withColumn("group", F.xxhash64("band", "key")).drop("key")
     links: DataFrame | None = None
-    classes: DataFrame | None = None
-    sweep = 0
+    depth = 0
     while True:
-        if classes is None:
-            left = members.withColumn("root", F.col("member"))
-        else:
-            left = members.join(classes.withColumnRenamed("node", "member"), "member", "left")
-            left = left.withColumn("root", F.coalesce("root", "member"))
-        added, step = 0, 0
-        while True:
-            met = written(_star_pairs(left, sweep, step), "near-met")
-            pairs = met.select(F.least("member", "leader").alias("a"), F.greatest("member", "leader").alias("b")).distinct()
-            judged = _judged(pairs, texts, idf, threshold)
-            new = judged.where("near").select("a", "b")
-            added += new.count()
-            links = new if links is None else links.union(new)
-            # Who is not near its leader stays, without the leader, for another one.
-            far = judged.where("not near").select("a", "b")
-            of_far = (F.least("member", "leader") == F.col("a")) & (F.greatest("member", "leader") == F.col("b"))
-            left = met.join(far, of_far, "left_semi").select("member", "band", "key", "root")
-            step += 1
-            if left.isEmpty():
-                break
-        if classes is None or added:
-            classes = components(links)
-        if not added:
-            return classes
-        sweep += 1
+        # The same text leads all groups it can at first, so that most members are compared once.
+        rank = F.xxhash64("member") if depth == 0 else F.xxhash64("member", "group")
+        elected = rows.groupBy("group").agg(F.min(F.struct(rank.alias("rank"), F.col("member").alias("leader"))).alias("first"), F.count("*").alias("n"))
+        leaders = elected.where("n > 1").select("group", "first.leader")
+        met = written(rows.join(leaders, "group").where("member <> leader"), "near-met")
+        pairs = met.select(F.least("member", "leader").alias("a"), F.greatest("member", "leader").alias("b")).distinct()
+        judged = _judged(pairs, texts, idf, settings.threshold)
+        new = judged.where("near").select("a", "b")
+        links = new if links is None else links.union(new)
+        far = judged.where("not near").select("a", "b")
+        of_far = (F.least("member", "leader") == F.col("a")) & (F.greatest("member", "leader") == F.col("b"))
+        left = met.where(F.col("band") < settings.bands - 1).join(far, of_far, "left_semi")
+        if left.isEmpty():
+            return links
+        more = F.explode(F.sequence(F.col("band") + 1, F.lit(settings.bands - 1))).alias("band")
+        next_rows = left.select("member", "keys", "group", more)
+        rows = next_rows.withColumn("group", F.xxhash64("group", "band", F.get("keys", F.col("band"))))
+        depth += 1
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()) -> DataFrame:
@@ -285,13 +268,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     named = written(map_texts(texts, inputs, f"id {kind}, member string, keys array<bigint>", signatures), "near-names")
     words = named.where("member is not null")
-    bands = words.select("member", F.posexplode("keys").alias("band", "key")).distinct()
+    each = words.groupBy("member").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("m"), F.first("keys").alias("keys"))
+    each = written(each.select("member", "m.id", "keys"), "near-keys")
+    bands = each.select("member", F.posexplode("keys").alias("band", "key"))
     # Texts alone in all their buckets can have no link; only the others go on.
     busy = bands.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    members = written(bands.join(busy, ["band", "key"], "left_semi"), "near-members")
-    one_row = words.groupBy("member").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("m")).select("member", "m.id")
-    meeting = one_row.join(members.select("member").distinct(), "member", "left_semi")
-    found = texts.join(meeting, texts["id"].eqNullSafe(meeting["id"])).select("member", "text")
+    meeting = each.join(bands.join(busy, ["band", "key"], "left_semi").select("member").distinct(), "member", "left_semi")
+    meeting = written(meeting, "near-meeting")
+    found = texts.join(meeting, texts["id"].eqNullSafe(meeting["id"])).select("member", "text")  # an id may have other texts too
 
     def with_that_member(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -299,7 +283,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             yield batch.filter(pa.array([shingles_of(raw)[2] == member for member, raw in pairs], pa.bool_()))
 
     checked = map_texts(found, {"member": F.col("member"), "text": F.col("text")}, "member string, text string", with_that_member)
-    classes = near_links(members, written(checked.dropDuplicates(["member"]), "near-texts"), idf, settings.threshold)
+    one_text = written(checked.dropDuplicates(["member"]), "near-texts")
+    classes = components(near_links(meeting.select("member", "keys"), one_text, idf, settings))
 
     rooted = named.join(classes.withColumnRenamed("node", "member"), "member", "left").select(
         "id", "member", F.coalesce("root", "member").alias("root")
@@ -314,7 +299,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()) -> DataFrame:
     """``docs`` with one row of each class: the one with its smallest id (one of its rows, if repeated)."""
     found = near_duplicates(docs, id_col, text_col, settings)
-    first = found.where(F.col("class_id").eqNullSafe(F.col(id_col))).select(F.col(id_col).alias("kept_id"), F.col("words_digest").alias("kept_digest")).distinct()
+    first = found.where(F.col("class_id").eqNullSafe(F.col(id_col))).groupBy(F.col(id_col).alias("kept_id"), F.col("words_digest").alias("kept_digest"))
+    first = first.agg(F.count("*").alias("rows"))
     packed = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = packed.schema["row"].dataType.simpleString()
     id_kind = id_type(docs, id_col)
@@ -327,7 +313,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", se
     inputs = {c: F.col(c) for c in ("row", "id", "text")}
     named = map_texts(packed, inputs, f"row {kind}, id {id_kind}, member string", digests)
     same = named["id"].eqNullSafe(first["kept_id"]) & named["member"].eqNullSafe(first["kept_digest"])
-    kept = named.join(first, same, "left_semi")
-    alone = kept.where("member is null").select("row")
-    one_each = kept.where("member is not null").groupBy("id", "member").agg(F.first("row").alias("row")).select("row")
-    return alone.union(one_each).select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))
+    kept = named.join(first, same).select("row", "id", "member", "rows")
+    single = (F.col("rows") == 1) | F.col("member").isNull()
+    repeated = kept.where(~single).groupBy("id", "member").agg(F.first("row").alias("row"))
+    rows = kept.where(single).select("row").union(repeated.select("row"))
+    return rows.select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))

@@ -83,6 +83,23 @@ def test_classes_equal_brute_force(spark):
     assert sorted(r.doc_id for r in kept) == sorted(wanted)
 
 
+def test_texts_around_the_threshold_that_share_a_passage(spark):
+    """Many texts that meet everywhere but are mostly not near, and a few links among them."""
+    r = random.Random(11)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(4))
+    passage = [word() for _ in range(70)]
+    docs = []
+    for k in range(60):
+        own = [word() for _ in range(r.randint(15, 60))]
+        docs.append((2 * k, " ".join(passage + own)))
+        if k % 5 == 0:
+            own[r.randrange(len(own))] = word()
+            docs.append((2 * k + 1, " ".join(passage + own)))
+    settings = minhash.Settings(common_share=0.9)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    assert classes_of(minhash.near_duplicates(df, settings=settings).collect()) == brute(docs, settings)
+
+
 def test_awkward_rows_and_empty_table(spark, check_s_like):
     rows = minhash.near_duplicates(check_s_like).collect()
     assert len(rows) == 10
