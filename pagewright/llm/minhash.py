@@ -1,9 +1,11 @@
 """Near-duplicates by improved consistent weighted sampling over TF-IDF shingles.
 
 A document is the weighted set of its shingles of five words (a shorter text is one shingle):
-weight = times in the document x idf. The idf of a shingle is log(1 / share of documents that
+weight = times in the document x idf. The idf of a shingle is 1 + log(1 / share of documents that
 hold it), where shares under ``common_share`` count as ``common_share``: rare shingles all
-weigh the same, and only shingles above that share have to be known. There are at most
+weigh the same, a shingle of a third of the documents weighs two thirds of that, one of all
+documents a third (so the edits of one copy do not outweigh the text that a large group of near
+copies has in common), and only shingles above that share have to be known. There are at most
 (mean shingles of a document) / common_share of those at any size of the corpus, so they can be
 broadcast; they are found exactly, from counts of hashed buckets over all documents first and
 then from counts of the shingles that fall into buckets with enough documents.
@@ -32,7 +34,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.llm.components import components
@@ -51,7 +53,7 @@ class Settings:
     threshold: float = 0.8
     bands: int = 12
     rows: int = 3
-    common_share: float = 0.01
+    common_share: float = 0.1
 
 
 @dataclass
@@ -146,7 +148,7 @@ def inverse_frequencies(texts: DataFrame, share: float) -> Idf:
         "shingle-buckets",
     )
     total = by_bucket.where("key = -1").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    rare = math.log(1 / share)
+    rare = 1 + math.log(1 / share)
     least = max(share * total, 1)
     heavy = np.zeros(BUCKETS, bool)
     heavy[[r.key for r in by_bucket.where((F.col("key") >= 0) & (F.col("n") > least)).select("key").collect()]] = True
@@ -164,7 +166,7 @@ def inverse_frequencies(texts: DataFrame, share: float) -> Idf:
 
     counted = map_texts(texts, {"text": F.col("text")}, "key bigint, n bigint", shingle_counts)
     common = counted.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") > least)
-    rows = sorted((r.key % (1 << 64), math.log(total / r.n)) for r in common.collect())
+    rows = sorted((r.key % (1 << 64), 1 + math.log(total / r.n)) for r in common.collect())
     return Idf(rare, np.array([r[0] for r in rows], _U64), np.array([r[1] for r in rows]))
 
 
@@ -223,29 +225,45 @@ def _judged(pairs: DataFrame, texts: DataFrame, idf: Idf, threshold: float) -> D
     return written(map_texts(both, inputs, "a string, b string, near boolean", verify), "near-pairs")
 
 
+def _pair(met: DataFrame, pairs: DataFrame) -> Column:
+    return (F.least(met["member"], met["leader"]) == pairs["a"]) & (F.greatest(met["member"], met["leader"]) == pairs["b"])
+
+
+def _star_roots(near: DataFrame) -> DataFrame:
+    """(member, root): the leader that a member is near, or the one that this leader is near."""
+    parents = near.groupBy("member").agg(F.min("leader").alias("parent"))
+    above = parents.select(F.col("member").alias("parent"), F.col("parent").alias("grandparent"))
+    roots = parents.join(above, "parent", "left").select("member", F.coalesce("grandparent", "parent").alias("root"))
+    return written(roots, "near-roots")
+
+
 def near_links(keyed: DataFrame, texts: DataFrame, idf: Idf, settings: Settings) -> DataFrame:
     """Verified links (a, b). ``keyed``: member, keys (one for each band); ``texts``: member, text."""
     rows = keyed.select("member", "keys", F.posexplode("keys").alias("band", "key"))
-    rows = rows.withColumn("group", F.xxhash64("band", "key")).drop("key")
+    rows = rows.withColumn("group", F.xxhash64("band", "key")).drop("key").withColumn("root", F.col("member"))
     links: DataFrame | None = None
     depth = 0
     while True:
         # The same text leads all groups it can at first, so that most members are compared once.
         rank = F.xxhash64("member") if depth == 0 else F.xxhash64("member", "group")
-        elected = rows.groupBy("group").agg(F.min(F.struct(rank.alias("rank"), F.col("member").alias("leader"))).alias("first"), F.count("*").alias("n"))
-        leaders = elected.where("n > 1").select("group", "first.leader")
-        met = written(rows.join(leaders, "group").where("member <> leader"), "near-met")
+        first = F.min(F.struct(rank.alias("rank"), F.col("member").alias("leader"), F.col("root").alias("leader_root")))
+        elected = rows.groupBy("group").agg(first.alias("first"), F.count("*").alias("n"))
+        leaders = elected.where("n > 1").select("group", "first.leader", "first.leader_root")
+        # Whoever is connected with the leader already belongs to its star.
+        met = written(rows.join(leaders, "group").where("root <> leader_root").drop("leader_root"), "near-met")
         pairs = met.select(F.least("member", "leader").alias("a"), F.greatest("member", "leader").alias("b")).distinct()
         judged = _judged(pairs, texts, idf, settings.threshold)
         new = judged.where("near").select("a", "b")
         links = new if links is None else links.union(new)
         far = judged.where("not near").select("a", "b")
-        of_far = (F.least("member", "leader") == F.col("a")) & (F.greatest("member", "leader") == F.col("b"))
-        left = met.where(F.col("band") < settings.bands - 1).join(far, of_far, "left_semi")
+        left = met.where(F.col("band") < settings.bands - 1).join(far, _pair(met, far), "left_semi")
         if left.isEmpty():
             return links
+        if depth == 0:
+            labels = _star_roots(met.join(new, _pair(met, new), "left_semi"))
+        left = left.drop("root").join(labels, "member", "left").withColumn("root", F.coalesce("root", "member"))
         more = F.explode(F.sequence(F.col("band") + 1, F.lit(settings.bands - 1))).alias("band")
-        next_rows = left.select("member", "keys", "group", more)
+        next_rows = left.select("member", "keys", "group", "root", more)
         rows = next_rows.withColumn("group", F.xxhash64("group", "band", F.get("keys", F.col("band"))))
         depth += 1
 

@@ -21,7 +21,7 @@ def brute(docs, settings):
     sets = [shingles(t) for _, t in docs]
     df = Counter(s for x in sets for s in x)
     least = max(settings.common_share * len(docs), 1)
-    w = lambda s: math.log(len(docs) / df[s]) if df[s] > least else math.log(1 / settings.common_share)
+    w = lambda s: 1 + math.log(len(docs) / df[s] if df[s] > least else 1 / settings.common_share)
     parent = list(range(len(docs)))
 
     def root(k):
@@ -83,6 +83,21 @@ def test_classes_equal_brute_force(spark):
     assert sorted(r.doc_id for r in kept) == sorted(wanted)
 
 
+def test_a_large_group_of_near_copies_is_one_class(spark):
+    """A third of all documents differ from one text in a word each; two of three are unlike any."""
+    r = random.Random(3)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(4))
+    base = [word() for _ in range(150)]
+    docs = []
+    for k in range(120):
+        words = list(base) if k % 3 == 0 else [word() for _ in range(80)]
+        words[r.randrange(len(words))] = word()
+        docs.append((k, " ".join(words)))
+    rows = minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in rows if r.class_id == 0} == set(range(0, 120, 3))
+    assert len({r.class_id for r in rows}) == 81
+
+
 def test_texts_around_the_threshold_that_share_a_passage(spark):
     """Many texts that meet everywhere but are mostly not near, and a few links among them."""
     r = random.Random(11)
