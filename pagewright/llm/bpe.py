@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
@@ -28,7 +29,6 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,9 +39,27 @@ LEXICON_WORDS = 50_000
 LONGEST_WORD = 64
 #: Different words that a task counts before it passes its counts on.
 COUNTED_AT_ONCE = 200_000
-
-#: Unicode's white space.
-_SPACE = regex.compile(r"\p{White_Space}+")
+#: Different words whose ids a task keeps at hand.
+REMEMBERED = 300_000
+#: Up to this many bytes a word's merges are found by looking at all of its pairs.
+SHORT_WORD = 100
+_ID = (1 << 20) - 1
+_NO_MERGE = 1 << 62
+
+
+@lru_cache(maxsize=1)
+def _classes() -> tuple[str, str]:
+    """Unicode's letters and numbers as ranges of a character class."""
+    found = {"L": [], "N": []}
+    for point in range(0x110000):
+        kind = unicodedata.category(chr(point))[0]
+        if kind in found:
+            ranges = found[kind]
+            if ranges and ranges[-1][1] == point - 1:
+                ranges[-1][1] = point
+            else:
+                ranges.append([point, point])
+    return tuple("".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in found[k]) for k in "LN")
 
 
 def _byte_letters() -> list[str]:
@@ -62,15 +80,19 @@ class Vocabulary:
         if [s["type"] for s in steps] != ["NFC", "Replace", "Lowercase"] or any(model.get(k, v) != v for k, v in plain.items()):
             raise ValueError("a tokenizer file with other steps than those implemented here")
         split = told["pre_tokenizer"]["pretokenizers"][0]
-        self.pattern = regex.compile(split["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}"))
+        spaces = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"  # Unicode's white space
+        letters, numbers = _classes()
+        pattern = split["pattern"]["Regex"].replace(r"\s", spaces)
+        self.pattern = re.compile(pattern.replace(r"\p{L}", letters).replace(r"\p{N}", numbers))
         self.ids: dict[str, int] = model["vocab"]
-        self.end = model["end_of_word_suffix"]
-        self.letters = _byte_letters()
+        self._inner = [self.ids[x] for x in _byte_letters()]
+        self._last = [self.ids[x + model["end_of_word_suffix"]] for x in _byte_letters()]
         self.special = {t["content"]: t["id"] for t in told["added_tokens"]}
-        self._special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        self._special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
+        # Both ids of a pair in one number, and the merge's rank with the new id in another.
+        self.merges: dict[int, int] = {}
         for rank, (left, right) in enumerate(model["merges"]):
-            self.merges.setdefault((self.ids[left], self.ids[right]), (rank, self.ids[left + right]))
+            self.merges.setdefault(self.ids[left] << 20 | self.ids[right], rank << 20 | self.ids[left + right])
         self.tokens = {i: t for t, i in self.ids.items()} | {i: t for t, i in self.special.items()}
 
     def parts(self, text: str) -> list[str | int]:
@@ -80,33 +102,58 @@ class Vocabulary:
             if k % 2:
                 out.append(self.special[piece])
             else:
-                piece = _SPACE.sub(" ", unicodedata.normalize("NFC", piece))
-                # Letter by letter: the final sigma of a word is a matter of its neighbours.
-                out += self.pattern.findall(piece.replace("Σ", "σ").lower())
+                if not piece.isascii():
+                    # Letter by letter: lower() alone would look at a sigma's neighbours.
+                    piece = unicodedata.normalize("NFC", piece).replace("Σ", "σ")
+                # No word holds white space, so there is no need to put it in order first.
+                out += self.pattern.findall(piece.lower())
         return out
 
     def merged(self, word: str) -> list[int]:
         """The ids of one word: always the merge that comes first, the leftmost on a tie."""
-        letters = [self.letters[b] for b in word.encode()]
-        letters[-1] += self.end
-        ids = [self.ids[x] for x in letters]
-        after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
-        pairs = ((k, self.merges.get((ids[k], ids[k + 1]))) for k in range(len(ids) - 1))
-        queue = [(m[0], k, m[1], ids[k], ids[k + 1]) for k, m in pairs if m]
-        heapq.heapify(queue)
+        raw = word.encode()
+        ids = [self._inner[b] for b in raw]
+        ids[-1] = self._last[raw[-1]]
+        if len(ids) > SHORT_WORD:
+            return self._merged_by_queue(ids)
+        get = self.merges.get
+        found = [get(a << 20 | b, _NO_MERGE) for a, b in zip(ids, ids[1:], strict=False)]
+        while found:
+            best = min(found)
+            if best == _NO_MERGE:
+                break
+            k = found.index(best)
+            ids[k : k + 2] = [best & _ID]
+            del found[k]
+            if k:
+                found[k - 1] = get(ids[k - 1] << 20 | ids[k], _NO_MERGE)
+            if k < len(found):
+                found[k] = get(ids[k] << 20 | ids[k + 1], _NO_MERGE)
+        return ids
+
+    def _merged_by_queue(self, ids: list[int]) -> list[int]:
+        """The same for long words, whose cost must not grow with the square of the length."""
+        get, n = self.merges.get, len(ids)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        queue: list[tuple[int, int, int, int]] = []
+
+        def propose(k: int) -> None:
+            if k >= 0 and after[k] < n and (m := get(ids[k] << 20 | ids[after[k]])) is not None:
+                heapq.heappush(queue, (m, k, ids[k], ids[after[k]]))
+
+        for k in range(n):
+            propose(k)
         while queue:
-            _, k, new, left, right = heapq.heappop(queue)
+            merge, k, left, right = heapq.heappop(queue)
             nxt = after[k]
-            if ids[k] != left or nxt >= len(ids) or ids[nxt] != right:
+            if ids[k] != left or nxt >= n or ids[nxt] != right:
                 continue
-            ids[k], ids[nxt] = new, -1
+            ids[k], ids[nxt] = merge & _ID, -1
             after[k] = after[nxt]
-            if after[k] < len(ids):
+            if after[k] < n:
                 before[after[k]] = k
-            for a in (before[k], k):
-                b = after[a] if a >= 0 else len(ids)
-                if a >= 0 and b < len(ids) and (m := self.merges.get((ids[a], ids[b]))):
-                    heapq.heappush(queue, (m[0], a, m[1], ids[a], ids[b]))
+            propose(before[k])
+            propose(k)
         return [i for i in ids if i >= 0]
 
     def decoded(self, ids: list[int]) -> str:
@@ -157,8 +204,10 @@ def encode(
     text_col: str = "text",
     lexicon_words: int = LEXICON_WORDS,
     longest_word: int = LONGEST_WORD,
+    with_ids: bool = True,
+    with_decoded: bool = True,
 ) -> DataFrame:
-    """Per document: id, ids (array of integers), decoded text, and the two digests of the query."""
+    """Per document: id, n_tokens, ids_sha256, decoded_sha256, ids, decoded text (the last two null unless asked for)."""
     spark: SparkSession = docs.sparkSession
     with open(vocabulary_file, encoding="utf-8") as file:
         source = file.read()
@@ -170,33 +219,41 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         source, block, name = shared.value
         vocabulary, lexicon = _vocabulary(source), _lexicon(block, name)
+        coded: dict[str | int, bytes] = {}
+        read: dict[str | int, str] = {}
         for batch in batches:
+            if len(coded) > REMEMBERED:
+                coded.clear()
+                read.clear()
             texts = [vocabulary.parts(text or "") for text in batch.column("text").to_pylist()]
-            different = list({w for parts in texts for w in parts})
-            spelled = [w for w in different if isinstance(w, str)]
-            coded = {w: np.uint32(w).tobytes() for w in different if isinstance(w, int)}
+            new = set().union(*texts).difference(coded)
+            spelled = [w for w in new if isinstance(w, str)]
+            coded.update((w, np.uint32(w).tobytes()) for w in new if isinstance(w, int))
             for word, rank in zip(spelled, lexicon.ranks([w.encode() for w in spelled]).tolist(), strict=True):
                 coded[word] = lexicon.ids_of_rank(rank) if rank >= 0 else np.array(vocabulary.merged(word), np.uint32).tobytes()
-            ids, digests, decoded = [], [], []
+            read.update((w, vocabulary.decoded(np.frombuffer(coded[w], np.uint32).tolist())) for w in new)
+            counts, digests, decoded_digests, all_ids, all_decoded = [], [], [], [], []
             for parts in texts:
                 raw = b"".join([coded[w] for w in parts])
-                ids.append(np.frombuffer(raw, "<u4"))
+                decoded = " ".join([read[w] for w in parts])
+                counts.append(len(raw) // 4)
                 digests.append(hashlib.sha256(raw).hexdigest())
-                decoded.append(vocabulary.decoded(ids[-1].tolist()))
-            offsets = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-            values = np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, np.int32)
+                decoded_digests.append(hashlib.sha256(decoded.encode()).hexdigest())
+                all_ids.append(np.frombuffer(raw, np.int32) if with_ids else None)
+                all_decoded.append(decoded if with_decoded else None)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
+                    pa.array(counts, pa.int64()),
                     pa.array(digests, pa.string()),
-                    pa.array([hashlib.sha256(d.encode()).hexdigest() for d in decoded], pa.string()),
-                    pa.array(decoded, pa.string()),
+                    pa.array(decoded_digests, pa.string()),
+                    pa.array(all_ids, pa.list_(pa.int32())),
+                    pa.array(all_decoded, pa.string()),
                 ],
-                ["id", "ids", "ids_sha256", "decoded_sha256", "decoded"],
+                ["id", "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"],
             )
 
-    schema = f"id {id_type(docs, id_col)}, ids array<int>, ids_sha256 string, decoded_sha256 string, decoded string"
+    schema = f"id {id_type(docs, id_col)}, n_tokens bigint, ids_sha256 string, decoded_sha256 string, ids array<int>, decoded string"
     inputs = {"id": F.col(id_col), "text": F.col(text_col).cast("string")}
     return map_texts(docs, inputs, schema, run).withColumnRenamed("id", id_col)
 
@@ -218,5 +275,5 @@ def decode(rows: DataFrame, vocabulary_file: str, id_col: str = "doc_id", ids_co
 
 def token_report(docs: DataFrame, vocabulary_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The result of the query: token counts and digests."""
-    found = encode(docs, vocabulary_file, id_col, text_col)
-    return found.select(F.col(id_col).alias("doc_id"), F.size("ids").cast("bigint").alias("n_tokens"), "ids_sha256", "decoded_sha256")
+    found = encode(docs, vocabulary_file, id_col, text_col, with_ids=False, with_decoded=False)
+    return found.select(F.col(id_col).alias("doc_id"), "n_tokens", "ids_sha256", "decoded_sha256")

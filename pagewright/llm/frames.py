@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.sinks.tables import shared_folder
+from pagewright.sinks import tables as sink
 
 #: Rows of an Arrow batch: long texts must fit a Python worker many at a time.
 BATCH_ROWS = 1000
@@ -36,8 +36,8 @@ def id_type(df: DataFrame, column: str) -> str:
 
 
 def run_folder(spark: SparkSession, label: str) -> str:
-    """A new folder name under the shared folder."""
-    return f"{shared_folder(spark)}/pagewright/{label}-{uuid.uuid4().hex}"
+    """A new folder name under the application's part of the shared folder."""
+    return f"{sink.run_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

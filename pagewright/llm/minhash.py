@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 from pagewright.llm.components import components
 from pagewright.llm.frames import id_type, map_texts, raw_bytes, written
 from pagewright.llm.words import Words, mixed
+from pagewright.operators.skew import heavy_keys, lookup_join
 
 SHINGLE = 5
 BUCKETS = 1 << 18
@@ -308,8 +309,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "id", "member", F.coalesce("root", "member").alias("root")
     )
     smallest = rooted.where("root is not null").groupBy("root").agg(F.min("id").alias("class_id"), F.count("*").alias("n"))
-    many = smallest.where("n > 1").drop("n")
-    return rooted.join(many, "root", "left").select(
+    many = written(smallest.where("n > 1"), "near-classes")
+    # A class may hold a third of all rows: its rows are spread over salts.
+    of_row = lookup_join(rooted, many.drop("n"), ["root"], heavy_keys(many, "root", "n"), ["id"])
+    return of_row.select(
         F.col("id").alias(id_col), F.coalesce("class_id", "id").alias("class_id"), F.col("member").alias("words_digest")
     )
 
