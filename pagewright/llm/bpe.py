@@ -47,11 +47,16 @@ _ID = (1 << 20) - 1
 _NO_MERGE = 1 << 62
 
 
-@lru_cache(maxsize=1)
-def _classes() -> tuple[str, str]:
-    """Unicode's letters and numbers as ranges of a character class."""
-    found = {"L": [], "N": []}
-    for point in range(0x110000):
+#: Points from here on are rare, and classes that hold them are slow to match.
+_RARE = 0x10000
+_HAS_RARE = re.compile("[\U00010000-\U0010ffff]")
+
+
+@lru_cache(maxsize=2)
+def _classes(end: int) -> tuple[str, str]:
+    """Unicode's letters and numbers below ``end`` as ranges of a character class."""
+    found: dict[str, list[list[int]]] = {"L": [], "N": []}
+    for point in range(end):
         kind = unicodedata.category(chr(point))[0]
         if kind in found:
             ranges = found[kind]
@@ -81,9 +86,13 @@ class Vocabulary:
             raise ValueError("a tokenizer file with other steps than those implemented here")
         split = told["pre_tokenizer"]["pretokenizers"][0]
         spaces = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"  # Unicode's white space
-        letters, numbers = _classes()
         pattern = split["pattern"]["Regex"].replace(r"\s", spaces)
-        self.pattern = re.compile(pattern.replace(r"\p{L}", letters).replace(r"\p{N}", numbers))
+
+        def compiled_for(end: int) -> re.Pattern[str]:
+            letters, numbers = _classes(end)
+            return re.compile(pattern.replace(r"\p{L}", letters).replace(r"\p{N}", numbers))
+
+        self.pattern, self._full_pattern = compiled_for(_RARE), compiled_for(0x110000)
         self.ids: dict[str, int] = model["vocab"]
         self._inner = [self.ids[x] for x in _byte_letters()]
         self._last = [self.ids[x + model["end_of_word_suffix"]] for x in _byte_letters()]
@@ -105,8 +114,10 @@ class Vocabulary:
                 if not piece.isascii():
                     # Letter by letter: lower() alone would look at a sigma's neighbours.
                     piece = unicodedata.normalize("NFC", piece).replace("Σ", "σ")
+                piece = piece.lower()
+                plain = piece.isascii() or not _HAS_RARE.search(piece)
                 # No word holds white space, so there is no need to put it in order first.
-                out += self.pattern.findall(piece.lower())
+                out += (self.pattern if plain else self._full_pattern).findall(piece)
         return out
 
     def merged(self, word: str) -> list[int]:
