@@ -12,12 +12,14 @@ then from counts of the shingles that fall into buckets with enough documents.
 
 Texts with the same words are one class from the start, represented by one text. Each
 representative draws ``bands x rows`` weighted samples; those that agree in a band meet in a
-group. A group is a star, never all pairs: every member is compared with the group's leader.
-Members that are not near it go on to smaller groups, of those that agree in one more band, with
-other leaders, until nobody meets anybody or the bands are used up. So a group of texts that
-share a long passage but are not near falls apart by its own samples, and a text is in no more
-groups than there are combinations of its bands, whatever the size of the group. Links are
-pairs with weighted Jaccard similarity of at least ``threshold``, computed from the whole texts.
+group. Links are pairs that meet and have weighted Jaccard similarity of at least ``threshold``,
+computed from the whole texts. First every member is compared with its group's leader, which
+settles the groups whose members are one component. In all other groups every pair of members of
+different components is compared: members go to cells of bounded size, and each pair of cells is
+one sparse product of its members' shingles. Two cells are skipped only where no pair can be a
+new link: if both hold one and the same component, or if their members' total weights are too far
+apart for the threshold. The pairs of a large group of texts that are unlike in all but a passage
+grow with the square of the group; they are never rows, but they are work.
 Connected representatives are one class, named by the smallest document id in it.
 
 Defined cases: a text without words (null, empty, punctuation) is a class of its own; repeated
@@ -34,7 +36,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.llm.components import components
@@ -44,6 +46,8 @@ from pagewright.operators.skew import heavy_keys, lookup_join
 
 SHINGLE = 5
 BUCKETS = 1 << 18
+#: Most members and bytes of text that a cell of a group should hold.
+CELL_ROWS, CELL_BYTES = 2000, 8 << 20
 _U64 = np.uint64
 
 
@@ -171,9 +175,10 @@ def inverse_frequencies(texts: DataFrame, share: float) -> Idf:
     return Idf(rare, np.array([r[0] for r in rows], _U64), np.array([r[1] for r in rows]))
 
 
-def _signed(raws: list[bytes], idf: Idf, settings: Settings) -> tuple[list[str | None], list[list[int] | None]]:
-    """Digest and band keys of each text; texts are signed together, some ten thousand shingles at a time."""
+def _signed(raws: list[bytes], idf: Idf, settings: Settings) -> tuple[list[str | None], list[list[int] | None], list[float]]:
+    """Digest, band keys and total weight of each text; texts are signed together, some ten thousand shingles at a time."""
     members: list[str | None] = []
+    totals: list[float] = []
     keys: list[list[int] | None] = []
     known: dict[str, int] = {}
     sets: list[tuple[int, np.ndarray, np.ndarray]] = []
@@ -191,10 +196,11 @@ def _signed(raws: list[bytes], idf: Idf, settings: Settings) -> tuple[list[str |
         found, counts, member = shingles_of(raw)
         members.append(member)
         keys.append(None)
+        weights = counts * idf.of(found)
+        totals.append(float(weights.sum()))
         if member is None or member in known:
             continue
         known[member] = row
-        weights = counts * idf.of(found)
         if (weights > 0).any():
             sets.append((row, found[weights > 0], weights[weights > 0]))
         else:
@@ -205,7 +211,7 @@ def _signed(raws: list[bytes], idf: Idf, settings: Settings) -> tuple[list[str |
             sets, size = [], 0
     if sets:
         sign()
-    return members, [None if m is None else keys[known[m]] for m in members]
+    return members, [None if m is None else keys[known[m]] for m in members], totals
 
 
 def _judged(pairs: DataFrame, texts: DataFrame, idf: Idf, threshold: float) -> DataFrame:
@@ -226,47 +232,158 @@ def _judged(pairs: DataFrame, texts: DataFrame, idf: Idf, threshold: float) -> D
     return written(map_texts(both, inputs, "a string, b string, near boolean", verify), "near-pairs")
 
 
-def _pair(met: DataFrame, pairs: DataFrame) -> Column:
-    return (F.least(met["member"], met["leader"]) == pairs["a"]) & (F.greatest(met["member"], met["leader"]) == pairs["b"])
-
+def _shared_weights(sets: list[tuple[np.ndarray, np.ndarray]], idf: Idf) -> Iterator[tuple[int, np.ndarray]]:
+    """For each set but the last: its number and the weight that it shares with each later one.
 
-def _star_roots(near: DataFrame) -> DataFrame:
-    """(member, root): the leader that a member is near, or the one that this leader is near."""
-    parents = near.groupBy("member").agg(F.min("leader").alias("parent"))
-    above = parents.select(F.col("member").alias("parent"), F.col("parent").alias("grandparent"))
-    roots = parents.join(above, "parent", "left").select("member", F.coalesce("grandparent", "parent").alias("root"))
-    return written(roots, "near-roots")
+    Shingles of many sets are multiplied as a matrix, all others by their postings. A shingle
+    that two sets hold several times counts as often as both do.
+    """
+    sizes = [len(found) for found, _ in sets]
+    row = np.repeat(np.arange(len(sets)), sizes)
+    every, column, holders = np.unique(np.concatenate([f for f, _ in sets]), return_inverse=True, return_counts=True)
+    times = np.concatenate([c for _, c in sets])
+    weights = idf.of(every)
+    kept = (holders[column] > 1) & (weights[column] > 0)
+    row, column, times = row[kept], column[kept], times[kept]
+    common = np.flatnonzero((holders > max(16, len(sets) // 16)) & (weights > 0))
+    place = np.full(len(every), -1)
+    place[common] = np.arange(len(common))
+    dense = np.zeros((len(sets), len(common)), np.float32)
+    in_dense = place[column] >= 0
+    dense[row[in_dense], place[column[in_dense]]] = 1
+    scaled = dense * weights[common].astype(np.float32)
+    # The matrix counts each shingle once; the postings hold what it leaves out.
+    times = times - in_dense
+    row, column, times = row[times > 0], column[times > 0], times[times > 0]
+    by_column = np.lexsort([row, column])
+    row, column, times = row[by_column], column[by_column], times[by_column]
+    ends = np.searchsorted(column, column, "right")
+    by_row = np.argsort(row, kind="stable")
+    starts = np.searchsorted(row[by_row], np.arange(len(sets) + 1))
+    for k in range(len(sets) - 1):
+        shared = (dense[k + 1 :] @ scaled[k]).astype(np.float64)
+        own = by_row[starts[k] : starts[k + 1]]
+        counts = ends[own] - own - 1
+        if counts.sum():
+            first = np.repeat(own + 1, counts)
+            at = first + np.arange(len(first)) - np.repeat(np.cumsum(counts) - counts, counts)
+            least = np.minimum(times[at], np.repeat(times[own], counts)) * weights[column[at]]
+            shared += np.bincount(row[at] - k - 1, least, minlength=len(shared))
+        yield k, shared
+
+
+def links_within(members: list[str], roots: list[str], sides: list[int], raws: list[bytes], idf: Idf, threshold: float) -> list[tuple[str, str]]:
+    """Links that connect the components of ``members`` as all near pairs do.
+
+    Pairs within one component are left out; so are those of one side, if there are two sides.
+    """
+    sets = [shingles_of(raw)[:2] for raw in raws]
+    totals = np.array([float((c * idf.of(f)).sum()) for f, c in sets])
+    names = {name: k for k, name in enumerate(sorted(set(roots)))}
+    label = np.array([names[r] for r in roots])
+    side = np.array(sides)
+    both = len(set(sides)) > 1
+    links = []
+    for k, shared in _shared_weights(sets, idf):
+        union = totals[k] + totals[k + 1 :] - shared
+        # A little below the threshold, as products are rounded; ``similarity`` decides.
+        likely = (shared >= (threshold - 1e-3) * union) & (label[k + 1 :] != label[k])
+        if both:
+            likely &= side[k + 1 :] != side[k]
+        for j in np.flatnonzero(likely) + k + 1:
+            if label[j] != label[k] and similarity(sets[k], sets[j], idf) >= threshold:
+                links.append((min(members[k], members[j]), max(members[k], members[j])))
+                label[label == label[j]] = label[k]
+    return links
+
+
+def _star_links(rows: DataFrame, texts: DataFrame, idf: Idf, threshold: float) -> DataFrame:
+    """Links of members with their groups' leaders."""
+    # The same text leads all groups it can, so that most members are compared once.
+    first = F.min(F.struct(F.xxhash64("member").alias("rank"), F.col("member").alias("leader")))
+    leaders = rows.groupBy("group").agg(first.alias("first"), F.count("*").alias("n")).where("n > 1").select("group", "first.leader")
+    met = rows.join(leaders, "group").where("member <> leader")
+    pairs = met.select(F.least("member", "leader").alias("a"), F.greatest("member", "leader").alias("b")).distinct()
+    return _judged(pairs, texts, idf, threshold).where("near").select("a", "b")
+
+
+def _cell_pairs(rows: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(member, root, group, cell) and the pairs (task, group, cell, other) to compare, of groups with several components."""
+    # Of groups with the same members one is enough; in a group of two the pair is judged already.
+    of_group = rows.groupBy("group").agg(
+        F.count("*").alias("n"), F.sum("bytes").alias("size"), F.min("root").alias("low"), F.max("root").alias("high"),
+        F.sum(F.xxhash64("member").cast("decimal(38,0)")).alias("all"),
+    )
+    open_groups = of_group.where("n > 2 and low <> high").groupBy("n", "size", "all").agg(F.min("group").alias("group"))
+    small = (F.col("n") <= CELL_ROWS) & (F.col("size") <= CELL_BYTES)
+    placed = rows.join(open_groups.select("group", small.alias("small")), "group")
+    # Totals of near texts are at most a factor 1 / threshold apart, so their classes are at most one apart.
+    step = -math.log(threshold) * (1 + 1e-6)
+    weight_class = F.when(F.col("total") > 0, F.floor(F.log("total") / step)).otherwise(F.lit(-(1 << 20))).cast("int")
+    placed = placed.withColumn("class", F.when(F.col("small"), 0).otherwise(weight_class))
+    by_root = placed.groupBy("group", "class", "root").agg(F.count("*").alias("n"))
+    own = by_root.where(F.col("n") >= CELL_ROWS // 4)
+    placed = placed.join(own.select("group", "class", "root", F.col("root").alias("only")), ["group", "class", "root"], "left")
+    placed = placed.withColumn("only", F.when(~F.col("small"), F.col("only")))
+    part = ["group", "class", "only"]
+    cells = placed.groupBy(*part).agg(F.count("*").alias("n"), F.sum("bytes").alias("size"), F.first("small").alias("small"))
+    salts = F.when(F.col("small"), 1).otherwise(F.greatest(F.ceil(F.col("n") / CELL_ROWS), F.ceil(F.col("size") / CELL_BYTES))).cast("int")
+    cells = written(cells.select(*part, salts.alias("salts")), "near-cells")
+    name = F.xxhash64("class", F.coalesce("only", F.lit("")), "salt")
+    same = (placed["group"] == cells["group"]) & (placed["class"] == cells["class"]) & placed["only"].eqNullSafe(cells["only"])
+    located = placed.join(cells, same).select(placed["member"], placed["root"], *(placed[c] for c in part), "salts")
+    located = located.withColumn("salt", F.pmod(F.xxhash64("member", F.lit(7)), F.col("salts")).cast("int"))
+    located = written(located.select("member", "root", "group", name.alias("cell")), "near-located")
+    each = cells.select(*part, F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")).select("group", "class", "only", name.alias("cell"))
+    others = each.select("group", F.col("class").alias("class_b"), F.col("only").alias("only_b"), F.col("cell").alias("other"))
+    apart = (F.abs(F.col("class") - F.col("class_b")) > 1) | F.coalesce(F.col("only") == F.col("only_b"), F.lit(False))
+    pairs = each.join(others, "group").where((F.col("cell") <= F.col("other")) & ~apart)
+    return located, pairs.select(F.xxhash64("group", "cell", "other").alias("task"), "group", "cell", "other")
 
 
 def near_links(keyed: DataFrame, texts: DataFrame, idf: Idf, settings: Settings) -> DataFrame:
-    """Verified links (a, b). ``keyed``: member, keys (one for each band); ``texts``: member, text."""
-    rows = keyed.select("member", "keys", F.posexplode("keys").alias("band", "key"))
-    rows = rows.withColumn("group", F.xxhash64("band", "key")).drop("key").withColumn("root", F.col("member"))
-    links: DataFrame | None = None
-    depth = 0
-    while True:
-        # The same text leads all groups it can at first, so that most members are compared once.
-        rank = F.xxhash64("member") if depth == 0 else F.xxhash64("member", "group")
-        first = F.min(F.struct(rank.alias("rank"), F.col("member").alias("leader"), F.col("root").alias("leader_root")))
-        elected = rows.groupBy("group").agg(first.alias("first"), F.count("*").alias("n"))
-        leaders = elected.where("n > 1").select("group", "first.leader", "first.leader_root")
-        # Whoever is connected with the leader already belongs to its star.
-        met = written(rows.join(leaders, "group").where("root <> leader_root").drop("leader_root"), "near-met")
-        pairs = met.select(F.least("member", "leader").alias("a"), F.greatest("member", "leader").alias("b")).distinct()
-        judged = _judged(pairs, texts, idf, settings.threshold)
-        new = judged.where("near").select("a", "b")
-        links = new if links is None else links.union(new)
-        far = judged.where("not near").select("a", "b")
-        left = met.where(F.col("band") < settings.bands - 1).join(far, _pair(met, far), "left_semi")
-        if left.isEmpty():
-            return links
-        if depth == 0:
-            labels = _star_roots(met.join(new, _pair(met, new), "left_semi"))
-        left = left.drop("root").join(labels, "member", "left").withColumn("root", F.coalesce("root", "member"))
-        more = F.explode(F.sequence(F.col("band") + 1, F.lit(settings.bands - 1))).alias("band")
-        next_rows = left.select("member", "keys", "group", "root", more)
-        rows = next_rows.withColumn("group", F.xxhash64("group", "band", F.get("keys", F.col("band"))))
-        depth += 1
+    """Verified links (a, b) that connect what all near pairs that meet in a band connect.
+
+    ``keyed``: member, keys (one for each band), total (its weight), bytes (of its text); ``texts``: member, text.
+    """
+    rows = keyed.select("member", "total", "bytes", F.posexplode("keys").alias("band", "key"))
+    rows = rows.withColumn("group", F.xxhash64("band", "key")).drop("band", "key")
+    stars = _star_links(rows, texts, idf, settings.threshold)
+    roots = components(stars).withColumnRenamed("node", "member")
+    rows = rows.join(roots, "member", "left").withColumn("root", F.coalesce("root", "member"))
+    located, pairs = _cell_pairs(written(rows, "near-rows"), settings.threshold)
+    sent = F.explode(F.when(F.col("cell") == F.col("other"), F.array(F.struct(F.col("cell").alias("cell"), F.lit(0).alias("side")))).otherwise(
+        F.array(F.struct(F.col("cell").alias("cell"), F.lit(0).alias("side")), F.struct(F.col("other").alias("cell"), F.lit(1).alias("side")))
+    ))
+    wanted = pairs.select("task", "group", sent.alias("sent")).select("task", "group", "sent.cell", "sent.side")
+    dealt = located.join(wanted, ["group", "cell"]).select("task", "side", "member", "root").join(texts, "member")
+    dealt = dealt.repartition("task").sortWithinPartitions("task")
+    shared_idf = keyed.sparkSession.sparkContext.broadcast(idf)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task: int | None = None
+        held: tuple[list, list, list, list] = ([], [], [], [])
+
+        def found() -> pa.RecordBatch:
+            members, roots, sides, raws = held
+            several = len(set(roots)) > 1
+            links = links_within(members, roots, sides, raws, shared_idf.value, settings.threshold) if several else []
+            return pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.string()), pa.array([b for _, b in links], pa.string())], ["a", "b"])
+
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("task", "member", "root", "side")] + [raw_bytes(batch.column("text"))]
+            for at, *values in zip(*columns, strict=True):
+                if at != task and held[0]:
+                    yield found()
+                    held = ([], [], [], [])
+                task = at
+                for column, value in zip(held, values, strict=True):
+                    column.append(value)
+        if held[0]:
+            yield found()
+
+    inputs = {c: F.col(c) for c in ("task", "member", "root", "side", "text")}
+    return stars.union(written(map_texts(dealt, inputs, "a string, b string", compare), "near-links"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()) -> DataFrame:
@@ -280,15 +397,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            members, keys = _signed(raw_bytes(batch.column("text")), shared_idf.value, settings)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(members, pa.string()), pa.array(keys, pa.list_(pa.int64()))], ["id", "member", "keys"]
-            )
+            members, keys, totals = _signed(raw_bytes(batch.column("text")), shared_idf.value, settings)
+            columns = [pa.array(members, pa.string()), pa.array(keys, pa.list_(pa.int64())), pa.array(totals, pa.float64())]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], ["id", "member", "keys", "total"])
 
-    named = written(map_texts(texts, inputs, f"id {kind}, member string, keys array<bigint>", signatures), "near-names")
+    named = written(map_texts(texts, inputs, f"id {kind}, member string, keys array<bigint>, total double", signatures), "near-names")
     words = named.where("member is not null")
-    each = words.groupBy("member").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("m"), F.first("keys").alias("keys"))
-    each = written(each.select("member", "m.id", "keys"), "near-keys")
+    each = words.groupBy("member").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("m"), F.first("keys").alias("keys"), F.first("total").alias("total"))
+    each = written(each.select("member", "m.id", "keys", "total"), "near-keys")
     bands = each.select("member", F.posexplode("keys").alias("band", "key"))
     # Texts alone in all their buckets can have no link; only the others go on.
     busy = bands.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1").drop("n")
@@ -303,7 +419,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     checked = map_texts(found, {"member": F.col("member"), "text": F.col("text")}, "member string, text string", with_that_member)
     one_text = written(checked.dropDuplicates(["member"]), "near-texts")
-    classes = components(near_links(meeting.select("member", "keys"), one_text, idf, settings))
+    sized = one_text.select("member", F.octet_length("text").alias("bytes"))
+    classes = components(near_links(meeting.select("member", "keys", "total").join(sized, "member"), one_text, idf, settings))
 
     rooted = named.join(classes.withColumnRenamed("node", "member"), "member", "left").select(
         "id", "member", F.coalesce("root", "member").alias("root")
