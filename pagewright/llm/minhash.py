@@ -3,9 +3,8 @@
 A document is the weighted set of its shingles of five words (a shorter text is one shingle):
 weight = times in the document x idf. The idf of a shingle is 1 + log(1 / share of documents that
 hold it), where shares under ``common_share`` count as ``common_share``: rare shingles all
-weigh the same, a shingle of a third of the documents weighs two thirds of that, one of all
-documents a third (so the edits of one copy do not outweigh the text that a large group of near
-copies has in common), and only shingles above that share have to be known. There are at most
+weigh the same, a shingle of a third of the documents weighs 0.37 of that, one of all documents
+0.18, and only shingles above that share have to be known. There are at most
 (mean shingles of a document) / common_share of those at any size of the corpus, so they can be
 broadcast; they are found exactly, from counts of hashed buckets over all documents first and
 then from counts of the shingles that fall into buckets with enough documents.
@@ -58,7 +57,7 @@ class Settings:
     threshold: float = 0.8
     bands: int = 12
     rows: int = 3
-    common_share: float = 0.1
+    common_share: float = 0.01
 
 
 @dataclass

@@ -194,3 +194,14 @@ def test_shared_weights_equal_brute_force():
             a, b = (dict(zip(f.tolist(), c.tolist())) for f, c in (sets[k], sets[j]))
             want = sum(min(n, b[s]) * idf.of(np.array([s], np.uint64))[0] for s, n in a.items() if s in b)
             assert abs(got - want) < 1e-3
+
+
+def test_boilerplate_of_a_twentieth_of_the_documents_does_not_make_texts_near(spark):
+    """Texts of which 90 % is boilerplate held by 5 % of the documents, with production parameters."""
+    r = random.Random(8)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(5))
+    boilerplate = [word() for _ in range(184)]
+    docs = [(k, " ".join(boilerplate + [word() for _ in range(20)])) for k in range(10)]
+    docs += [(k, " ".join(word() for _ in range(20))) for k in range(10, 200)]
+    rows = minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert all(row.class_id == row.doc_id for row in rows)
