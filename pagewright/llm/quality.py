@@ -7,8 +7,10 @@ their limits. Short documents say little about a distribution, so each test has
 passes below a least number of characters or words.
 
 One pass over the texts writes the histograms to the shared folder; the references and the
-verdict read that small table. References are taken of languages with at least
-``reference_share`` of the documents, so there are never more than its inverse.
+verdict read that small table. Every language has a reference, whatever its share of the
+documents, if its documents have at least ``reference_words`` words together: fewer say as
+little about a distribution as a short document does. The references are one small aggregated
+row, one entry for each language, which is broadcast.
 
 Defined cases: a null, empty or blank text has no words and fails the base rules; documents
 without a language do not add to a reference but are compared with all; without any
@@ -50,7 +52,7 @@ class Limits:
     word_distance: float = 0.3
     least_chars: int = 400
     least_words: int = 100
-    reference_share: float = 0.01
+    reference_words: int = 100
 
 
 def _repeat_words(words: Column) -> Column:
@@ -125,20 +127,20 @@ def histograms(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> Da
     )
 
 
-def references(counted: DataFrame, share: float) -> list[tuple[str, list[float], list[float]]]:
-    """(language, character shares, word shares) of each language that is frequent enough."""
+def references(counted: DataFrame, least_words: int) -> DataFrame:
+    """One row with ``refs``: (lang, character shares, word shares) of each language with enough words."""
+
+    def shares(prefix: str, size: int) -> Column:
+        total = F.aggregate(F.array(*(F.col(f"{prefix}{k}") for k in range(size))), F.lit(0).cast("bigint"), lambda a, x: a + x)
+        return F.array(*(F.col(f"{prefix}{k}") / total for k in range(size)))
+
     n_chars, n_words = 7, len(COMMON_WORDS) + 1
     sums = [F.sum(F.get("chars", F.lit(k))).alias(f"c{k}") for k in range(n_chars)]
     sums += [F.sum(F.get("common", F.lit(k))).alias(f"w{k}") for k in range(n_words)]
-    total = counted.count()
-    rows = counted.where("lang is not null").groupBy("lang").agg(F.count("*").alias("n"), *sums)
-    found = []
-    for row in rows.where(F.col("n") >= share * total).orderBy("lang").collect():
-        chars = [row[f"c{k}"] for k in range(n_chars)]
-        words = [row[f"w{k}"] for k in range(n_words)]
-        if sum(chars) and sum(words):
-            found.append((row.lang, [x / sum(chars) for x in chars], [x / sum(words) for x in words]))
-    return found
+    rows = counted.where("lang is not null").groupBy("lang").agg(F.sum("n_words").alias("n"), *sums)
+    enough = rows.where(F.col("n") >= max(least_words, 1))
+    entry = F.struct("lang", shares("c", n_chars).alias("chars"), shares("w", n_words).alias("words"))
+    return enough.agg(F.sort_array(F.collect_list(entry)).alias("refs"))
 
 
 def js_distance(counts: Column, total: Column, reference: Column) -> Column:
@@ -160,34 +162,21 @@ def judged(
     on a tie); null for a document without words or where there is no reference.
     """
     counted = written(histograms(docs, id_col, text_col, lang_col), "quality")
-    found = references(counted, limits.reference_share)
+    refs = written(references(counted, limits.reference_words), "quality-references")
     base_failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     shape = "array<struct<word:double,char:double,lang:string>>"
-    if not found:
-        measured = counted.withColumn("distances", F.array().cast(shape))
-    else:
-        refs = F.array(
-            *(
-                F.struct(
-                    F.lit(lang).alias("lang"),
-                    F.array(*map(F.lit, chars)).alias("chars"),
-                    F.array(*map(F.lit, words)).alias("words"),
-                )
-                for lang, chars, words in found
-            )
-        )
-        all_chars = F.aggregate("chars", F.lit(0).cast("bigint"), lambda a, x: a + x)
-        to_each = F.transform(
-            refs,
-            lambda r: F.struct(
-                js_distance(F.col("common"), F.col("n_words"), r["words"]).alias("word"),
-                js_distance(F.col("chars"), F.col("all_chars"), r["chars"]).alias("char"),
-                r["lang"].alias("lang"),
-            ),
-        )
-        measured = counted.withColumn("all_chars", all_chars).withColumn(
-            "distances", F.when(F.col("n_words") > 0, to_each).otherwise(F.array().cast(shape))
-        )
+    all_chars = F.aggregate("chars", F.lit(0).cast("bigint"), lambda a, x: a + x)
+    to_each = F.transform(
+        "refs",
+        lambda r: F.struct(
+            js_distance(F.col("common"), F.col("n_words"), r["words"]).alias("word"),
+            js_distance(F.col("chars"), F.col("all_chars"), r["chars"]).alias("char"),
+            r["lang"].alias("lang"),
+        ),
+    )
+    measured = counted.crossJoin(F.broadcast(refs)).withColumn("all_chars", all_chars).withColumn(
+        "distances", F.when(F.col("n_words") > 0, to_each).otherwise(F.array().cast(shape))
+    )
     near_chars = lambda d: (F.col("word_chars") < limits.least_chars) | (d["char"] <= limits.char_distance)
     near_words = lambda d: (F.col("n_words") < limits.least_words) | (d["word"] <= limits.word_distance)
     near = F.exists("distances", lambda d: near_chars(d) & near_words(d)) | (F.size("distances") == 0)

@@ -56,3 +56,21 @@ def test_distance_between_zero_and_one(spark, p):
     far = F.array(F.lit(0.0), F.lit(1.0))
     row = spark.range(1).select(quality.js_distance(counts, total, same).alias("a"), quality.js_distance(counts, total, far).alias("b")).first()
     assert row.a == 0 and 0 < row.b <= 1
+
+
+def prose_of(rare, common, n=40):
+    return " ".join(f"{common} {rare}{chr(97 + i % 26)}{chr(97 + i // 26)} {common} {rare}{chr(98 + i % 25)}" for i in range(n))
+
+
+def test_a_small_language_has_its_own_reference(spark):
+    """One document of 250 is in a language without any of the function words of the others."""
+    rows = [(i, prose_of("word", "the"), "en") for i in range(249)] + [(900, prose_of("sana", "ja"), "fi")]
+    got = {r.doc_id: r for r in quality.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert not got[900].base_failed and got[900].kept and got[900].word_distance == 0
+
+
+def test_many_even_languages_do_not_switch_the_test_off(spark):
+    rows = [(i, prose_of("word", "the"), f"l{i:03}") for i in range(120)]
+    rows.append((900, " ".join(f"w{i}#%&$#{i * 7}%%" for i in range(240)), None))
+    got = {r.doc_id: r for r in quality.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert got[0].kept and not got[900].base_failed and not got[900].kept
