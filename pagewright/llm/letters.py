@@ -79,34 +79,40 @@ class LetterModel:
         A state is the last three letters. Every character may be its own letter, a letter
         that it is written for, a repetition of the letter before, or a filler.
         """
-        paths: dict[int, tuple[float, str]] = {0: (0.0, "")}
+        # A path is its last letter and the path before, so that a step costs the same at any length.
+        paths: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}
         for character in written:
-            after: dict[int, tuple[float, str]] = {}
+            after: dict[int, tuple[float, tuple | None]] = {}
             choices: list[tuple[str, float]] = []
             if character.isalpha():
                 choices.append((character, PLAIN))
             choices += [(letter, SWAPPED) for letter in LEET.get(character, "")]
             filler = FILLER if character in FILLERS or character in "!|+(" else None
-            for state, (score, text) in paths.items():
+            for state, (score, path) in paths.items():
                 row = self.logs[state]
                 for letter, cost in choices:
                     symbol = ord(letter) - 96 if "a" <= letter <= "z" else 27
                     value = score + cost + row[symbol]
                     target = (state * SYMBOLS + symbol) % STATES
                     if target not in after or after[target][0] < value:
-                        after[target] = (value, text + letter)
-                if text and any(letter == text[-1] for letter, _ in choices):
+                        after[target] = (value, (letter, path))
+                if path is not None and any(letter == path[0] for letter, _ in choices):
                     value = score + REPEATED
                     if state not in after or after[state][0] < value:
-                        after[state] = (value, text)
+                        after[state] = (value, path)
                 if filler is not None:
                     value = score + filler
                     if state not in after or after[state][0] < value:
-                        after[state] = (value, text)
+                        after[state] = (value, path)
             paths = after
             if not paths:
                 return written
-        return max((score + self.logs[state][0], text) for state, (score, text) in paths.items())[1]
+        _, path = max(((score + self.logs[state][0], path) for state, (score, path) in paths.items()), key=lambda x: x[0])
+        text = []
+        while path is not None:
+            text.append(path[0])
+            path = path[1]
+        return "".join(reversed(text))
 
 
 _SPACED = re.compile(r"(?<!\S)(?:[^\W_][ .\-_*]{1,3}){2,}[^\W_](?![^\s.,!?;:])")
@@ -138,9 +144,45 @@ def restored(token: str, decode: Callable[[str], str]) -> str:
     return decode(core) if core and is_disguised(core) else core
 
 
+_LONG_RUN = re.compile(r"(.)\1{3,}", re.DOTALL)
+_DOUBLE = re.compile(r"([^\W\d_])\1")
+_NO_LETTER = re.compile(r"[\W_]+")
+_NO_WRITING = re.compile(rf"[^\w{re.escape(''.join(c for c in LEET if not c.isalnum()))}]+|_+")
+
+
+def _lattice(core: str) -> str | None:
+    """What to decode of a part; None for plain words, numbers and addresses.
+
+    Long runs are cut to three, which mean the same, so the length of a part is no limit.
+    """
+    plain = core.isalpha()
+    if len(core) < 3 or (plain and not _DOUBLE.search(core)) or (not plain and _ADDRESS.search(core)):
+        return None
+    return _LONG_RUN.sub(r"\1\1\1", core)
+
+
+def readings(token: str, decode: Callable[[str], str]) -> set[str]:
+    """All words that a token of lowered text may be: as one lattice, and split at its signs.
+
+    A sign may stand for a letter, between letters or between words, so the token is also split
+    at all signs, and at those that are not written for letters.
+    """
+    if token.isalpha():
+        parts = {token}
+    else:
+        parts = {_EDGES.sub("", token), token, *_NO_WRITING.split(token), *_NO_LETTER.split(token)}
+    found = {restored(token, decode)}
+    for part in parts - {""}:
+        found.add(part)
+        written = _lattice(part)
+        if written is not None:
+            found.add(decode(written))
+    return found - {""}
+
+
 def words_restored(text: str, decode: Callable[[str], str]) -> set[str]:
     """The different words of a text, disguised ones decoded."""
     lowered = text.lower()
-    found = {restored(token, decode) for token in set(lowered.split())}
+    found = {word for token in set(lowered.split()) for word in readings(token, decode)}
     found |= {decode(word) for word in spaced_words(lowered)}
     return found - {""}

@@ -3,7 +3,10 @@
 Channel: a letter may be written as a digit or sign, repeated, or followed by a filler, and the
 letters of a word may stand apart. A word with such writings is a lattice of letters, and the
 likeliest path under a character model of order four is its reading (see ``letters``). The
-character model counts the letters of all documents, labelled or not.
+character model counts the letters of all documents, labelled or not. A token is read as one
+lattice and split at its signs, and the most toxic reading counts. In text without spaces, of over
+30 letters in a row, whole toxic words are looked for at every place. Numbers, addresses, and a
+toxic word that is joined to another in a shorter run of letters are not decoded.
 
 Score: toxic words and word beginnings are those that labelled toxic documents hold far more
 often than labelled clean ones. A logistic regression over a document's share of them gives
@@ -58,6 +61,7 @@ class Scorer:
     constant: float = 0.0
     _readings: dict[str, str] = field(default_factory=dict)
     _known: dict[str, float] = field(default_factory=dict)
+    _sizes: list[int] | None = None
 
     def decode(self, word: str) -> str:
         if len(self._readings) > REMEMBERED:
@@ -71,13 +75,21 @@ class Scorer:
             self._known.clear()
         found = self._known.get(token)
         if found is None:
-            word = letters.restored(token, self.decode)
-            found = self._known[token] = self.word_lift(word)
+            words = letters.readings(token, self.decode)
+            found = self._known[token] = max((max(self.word_lift(w), self.inner_lift(w)) for w in words), default=0.0)
         return found
 
     def word_lift(self, word: str) -> float:
         return max((self.lifts.get(f, 0.0) for f in features(word)), default=0.0)
 
+    def inner_lift(self, word: str) -> float:
+        """The greatest lift of a whole toxic word inside text that is written without spaces."""
+        if len(word) <= letters.LONGEST:
+            return 0.0
+        if self._sizes is None:
+            self._sizes = sorted({len(f) - 1 for f in self.lifts if f.endswith("$") and len(f) > 4})
+        return max((self.lifts.get(word[k : k + n] + "$", 0.0) for n in self._sizes for k in range(len(word) - n + 1)), default=0.0)
+
     def summary(self, text: str) -> list[float]:
         """Of the different toxic words: summed lifts, greatest lift, number; and the text's size."""
         lowered = text.lower()

@@ -126,3 +126,23 @@ def test_awkward_rows_and_missing_labels(spark, check_s_like):
     assert toxicity.toxicity_report(docs, twice).orderBy("doc_id").collect() == toxicity.toxicity_report(docs, labels).orderBy("doc_id").collect()
     empty = spark.createDataFrame([(9999, None), (9998, "")], "doc_id long, text string")
     assert all(r.predicted == 0 for r in toxicity.toxicity_report(docs.select("doc_id", "text").union(empty), labels).where("doc_id > 9000").collect())
+
+
+@pytest.mark.parametrize(
+    "written",
+    ["idi" + 30 * "o" + "t", "1d!07", "i...d...i...o...t", "iddiot", "you\u2014idiot", "you,idiot", "so\u2026idiot", "no?idiot", "no!1d10t", "i" + 5000 * "d" + "iot"],
+)
+def test_every_writing_is_read(model, written):
+    assert "idiot" in letters.readings(written, model.decode)
+
+
+def test_signs_for_most_letters(model):
+    counts = np.zeros(letters.SYMBOLS**letters.ORDER, np.int64)
+    letters.gram_counts(["the asshole and the other people"] * 50, counts)
+    assert "asshole" in letters.readings("4$$h0l3", letters.LetterModel(counts).decode)
+
+
+def test_toxic_word_in_text_without_spaces(model):
+    scorer = toxicity.Scorer(model, {"idiot$": 3.0})
+    assert scorer.lift("thepeoplewere" + "talkingabout" * 3 + "idiot" + "thetree" * 4) == 3.0
+    assert scorer.lift("talkingabout" * 6) == 0.0
