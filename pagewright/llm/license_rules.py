@@ -54,8 +54,8 @@ bsd-0-clause | 92 | bsd | (?:zero clause bsd|bsd zero clause)(?: licen[sc]e)?
 bsd | 75 | redistribution and use | redistribution and use in source and binary forms with or without modification are permitted
 bsd | 74 | redistributions of source code | redistributions of source code must retain the above copyright notice
 bsd | 73 | redistributions in binary form | redistributions in binary form must reproduce the above copyright notice
-bsd | 65 | bsd license | (?:the |a )?bsd(?: style)? license
-bsd | 65 | bsd licence | bsd(?: style)? licence
+bsd | 65 | bsd | (?:the |a )?bsd(?: style)? license
+bsd | 65 | bsd | bsd(?: style)? licence
 bsd | 62 | bsd style | bsd style
 gpl-1 | 95 | gnu general public license | gnu general public license(?: as published by the free software foundation)?(?: either)? version 1
 gpl-1 | 94 | gpl | spdx license identifier gpl 1 0(?: only| or later)?
@@ -253,7 +253,7 @@ realnetworks | 86 | realnetworks public source license | realnetworks public sou
 sun-isl | 86 | sun industry standards source license | sun industry standards source license
 proprietary | 80 | all rights reserved | copyright(?: \S+){1,8} all rights reserved
 proprietary | 82 | proprietary and confidential | proprietary and confidential
-proprietary | 82 | unauthorized copying | unauthorized (?:copying|distribution|reproduction) of this (?:file|software|document|work)
+proprietary | 82 | unauthorized | unauthorized (?:copying|distribution|reproduction) of this (?:file|software|document|work)
 proprietary | 80 | commercial license | (?:under|requires|purchase) (?:a |an |the )?commercial license
 proprietary | 78 | end user license agreement | end user license agreement
 other | 40 | spdx license identifier | spdx license identifier \S+

@@ -77,3 +77,37 @@ def test_specific_answers(spark):
 def test_awkward_rows(spark, check_s_like):
     assert licenses.license_report(check_s_like).count() == 10
     assert licenses.license_report(check_s_like.limit(0)).count() == 0
+
+
+def alternatives(parsed):
+    """Texts of all branches of a pattern; what may repeat comes as seldom as it may, and once."""
+    texts = [""]
+    for op, value in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            ways = [chr(value)]
+        elif name == "IN":
+            ways = [chr(v) if str(o) == "LITERAL" else {"CATEGORY_DIGIT": "1"}.get(str(v), "x") for o, v in value]
+        elif name == "SUBPATTERN":
+            ways = alternatives(value[-1])
+        elif name == "BRANCH":
+            ways = [text for branch in value[1] for text in alternatives(branch)]
+        elif name in ("MAX_REPEAT", "MIN_REPEAT"):
+            once = alternatives(value[2])
+            ways = list(dict.fromkeys(text * n for n in {value[0], max(value[0], 1)} for text in once))
+        else:
+            assert name in ("AT", "ASSERT", "ASSERT_NOT"), name
+            ways = [""]
+        texts = [a + b for a in texts for b in ways]
+    return texts
+
+
+def test_each_alternative_holds_its_keyword():
+    from re import _parser
+
+    from pagewright.llm.license_rules import RULES
+
+    for line in RULES.strip().splitlines():
+        label, _, keyword, pattern = (part.strip() for part in line.split(" | ", 3))
+        for text in alternatives(_parser.parse(pattern)):
+            assert f" {keyword} " in f" {text} ", (label, keyword, text)
