@@ -7,7 +7,8 @@ occurrence is hit.
 
 The set is broadcast in blocks of at most ``block_bytes`` of item text. A benchmark beyond
 one block is scanned block after block, each in a narrow step that adds to the spans found
-before; there is no shuffle, and no block grows with the data.
+before. Its result is written to the shared folder before the next block is collected, so the
+driver and the executors hold one block at a time; there is no shuffle.
 
 Defined cases: a null or word-less text has no words and no hits; null or word-less items
 have no windows; items sharing a window are all reported; a repeated item id counts once;
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.frames import id_type, map_texts, raw_bytes
+from pagewright.llm.frames import id_type, map_texts, raw_bytes, written
 from pagewright.llm.words import Words
 
 WINDOW = 10
@@ -88,15 +89,16 @@ def _without(raw: bytes, words: Words, marks: np.ndarray) -> bytes:
     return np.frombuffer(raw, np.uint8)[kept].tobytes()
 
 
-def _blocks(items: DataFrame, item_id: str, item_text: str, block_bytes: int) -> Iterator[list[tuple[str, bytes]]]:
+def _blocks(items: DataFrame, item_id: str, item_text: str, block_bytes: int) -> Iterator[tuple[bool, list[tuple[str, bytes]]]]:
+    """Whether it is the last, and the items of each block; a single empty one without items."""
     rows = items.select(
         F.col(item_id).cast("string").alias("item_id"), F.col(item_text).cast("binary").alias("raw")
     ).where("item_id is not null and raw is not null")
     total = rows.agg(F.coalesce(F.sum(F.length("raw") + 64), F.lit(0))).first()[0]
-    count = -(-total // block_bytes)
+    count = max(-(-total // block_bytes), 1)
     for block in range(count):
         part = rows.where(F.pmod(F.xxhash64("item_id", "raw"), F.lit(count)) == block)
-        yield [(row.item_id, bytes(row.raw)) for row in part.collect()]
+        yield block == count - 1, [(row.item_id, bytes(row.raw)) for row in part.collect()]
 
 
 def find_contamination(
@@ -122,9 +124,7 @@ def find_contamination(
         F.array().cast("array<string>").alias("items"),
         F.lit(None).cast("string").alias("cleaned"),
     )
-    blocks = [block for block in _blocks(items, item_id_col, item_text_col, block_bytes)] or [[]]
-    for k, block in enumerate(blocks):
-        last = k == len(blocks) - 1
+    for last, block in _blocks(items, item_id_col, item_text_col, block_bytes):
         shared = spark.sparkContext.broadcast(WindowSet(block, window))
 
         def work(batches: Iterator[pa.RecordBatch], shared=shared, last=last) -> Iterator[pa.RecordBatch]:
@@ -158,6 +158,9 @@ def find_contamination(
                 )
 
         found = map_texts(found, {name: F.col(name) for name in found.columns}, schema, work)
+        if not last:
+            found = written(found, "contamination-spans")
+            shared.unpersist()
     return found.drop("text").withColumnRenamed("id", id_col)
 
 

@@ -69,3 +69,24 @@ def test_removal_keeps_clean_rows_and_columns(spark, check_s_like):
     assert (None, "a ") in rows and (3, None) in rows and (8, "!!! ??? ...") in rows
     assert all("river bank" not in (text or "") for _, text in rows)
     assert kept.count() == 10
+
+
+def test_a_block_is_used_before_the_next_is_collected(spark, check_s_like, monkeypatch):
+    steps = []
+    blocks, written = decontam._blocks, decontam.written
+
+    def collected(*args):
+        for block in blocks(*args):
+            steps.append("collect")
+            yield block
+
+    def noted(df, label):
+        steps.append("write")
+        return written(df, label)
+
+    monkeypatch.setattr(decontam, "_blocks", collected)
+    monkeypatch.setattr(decontam, "written", noted)
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    docs = check_s_like.select("doc_id", "text")
+    decontam.find_contamination(docs, items, block_bytes=250)
+    assert steps == ["collect", "write"] * (len(steps) // 2) + ["collect"] and len(steps) > 1
