@@ -8,9 +8,9 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from pagewright.llm import minhash
-from test_decontam import words_of
-from test_minhash import brute as near_classes
-from test_suffixes import brute as repeats
+from llm.test_decontam import words_of
+from llm.test_minhash import brute as near_classes
+from llm.test_suffixes import brute as repeats
 
 LABELS = "doc_id long, quality int, toxic int"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
