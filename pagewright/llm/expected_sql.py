@@ -135,8 +135,104 @@ select c.page_id, strlen(c.payload)::bigint as payload_bytes, c.digest as payloa
 from coded c left join firsts f using (payload)
 """
 
+OP11 = rf"""
+with pieces as (
+    select coalesce(lang, 'und') as lang,
+           unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '[.,;:!?\x0A-\x0D]')) as piece
+    from documents
+), words as (
+    select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces
+), totals as (
+    select lang, sum(len(w))::bigint as n from words group by lang
+), phrases as (
+    select lang, k, array_to_string(w[i : i + k - 1], ' ') as phrase, count(*)::hugeint as f
+    from (select lang, w, k, unnest(range(1, len(w) - k + 2)) as i from words, (select unnest([1, 2, 3]) as k) where len(w) >= k)
+    group by lang, k, phrase
+), candidates as (
+    select lang, k as size, phrase, string_split(phrase, ' ') as w, f as a from phrases where k > 1 and f >= 10
+), cuts as (
+    select c.*, x.f as l, y.f as r, 1000000::hugeint * a * a // (x.f * y.f) as score
+    from (select lang, size, phrase, w, a, unnest(range(1, size)) as c_k from candidates) c
+    join phrases x on x.lang = c.lang and x.phrase = array_to_string(w[1 : c_k], ' ')
+    join phrases y on y.lang = c.lang and y.phrase = array_to_string(w[c_k + 1 :], ' ')
+), scored as (
+    select * from cuts qualify row_number() over (partition by lang, phrase order by score, c_k) = 1
+), covered as (
+    select lang, phrase, max(a) as longer
+    from (select lang, a, array_to_string(w[i : i + 1], ' ') as phrase from candidates, (select unnest([1, 2]) as i) where size = 3)
+    group by lang, phrase
+)
+select s.lang, row_number() over (partition by s.lang order by score desc, a desc, s.phrase)::bigint as rank,
+       s.phrase, a::bigint as a, l::bigint as l, r::bigint as r, n, score::bigint as score
+from scored s left join covered c using (lang, phrase) join totals using (lang)
+where s.size = 3 or c.longer is null or 100 * c.longer < 50 * a
+qualify rank <= 2000
+"""
+
+OP12 = r"""
+with texts as (
+    select doc_id, row_number() over () as row_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+), windows as (
+    select row_id, doc_id, i, array_to_string(w[i : i + 49], ' ') as run
+    from (select *, unnest(range(1, len(w) - 48)) as i from texts where len(w) >= 50)
+), firsts as (
+    select run, min(doc_id) as first from windows group by run
+), gone as (
+    select distinct row_id, p from (
+        select row_id, unnest(range(i, i + 50)) as p from windows join firsts using (run) where first < doc_id
+    )
+), removed as (
+    select row_id, count(*)::bigint as n from gone group by row_id
+), kept as (
+    select row_id, string_agg(word, ' ' order by p) as rest
+    from (select row_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as p from texts) anti join gone using (row_id, p)
+    group by row_id
+)
+select doc_id, len(w)::bigint as n_words, coalesce(n, 0)::bigint as n_removed, sha256(coalesce(rest, '')) as kept_sha256
+from texts left join removed using (row_id) left join kept using (row_id)
+"""
+
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+OP13 = f"""
+with held as (
+    select * from (
+        select doc_id, row_number() over () as row_id,
+               regexp_extract_all(translate(text, '{UPPER}', '{UPPER.lower()}'), '{TERM}') as terms
+        from documents where text is not null
+    ) where len(terms) > 0
+), totals as (
+    select count(*)::bigint as all_docs, sum(len(terms))::bigint as all_terms from held
+), items as (
+    select item_id, row_number() over () as item_row, regexp_extract_all(translate(text, '{UPPER}', '{UPPER.lower()}'), '{TERM}') as terms
+    from benchmark where text is not null
+), wanted as (
+    select distinct item_row, unnest(terms) as term from items
+), postings as (
+    select row_id, term, count(*)::bigint as tf
+    from (select row_id, unnest(terms) as term from held) where term in (select term from wanted)
+    group by row_id, term
+), weights as (
+    select term, floor(1000 * ln((2 * any_value(all_docs) + 2) / (2 * count(*) + 1)))::bigint as w
+    from postings, totals group by term
+), factors as (
+    select row_id, doc_id, 100 - 90 + (90 * len(terms) * all_docs) // all_terms as m from held, totals
+), scores as (
+    select item_row, row_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::bigint as score
+    from wanted join postings using (term) join weights using (term) join factors using (row_id)
+    group by item_row, row_id
+)
+select item_id, row_number() over (partition by item_row order by score desc, doc_id)::int as rank, doc_id, score
+from scores join factors using (row_id) join items using (item_row)
+where score > 0
+qualify rank <= 10
+"""
+
 EXPECTED_SQL: dict[str, str] = {
     "op1_quality": OP1,
     "op3_warc": OP3,
     "op7_decontaminate": OP7,
+    "op11_collocations": OP11,
+    "op12_span_dedup": OP12,
+    "op13_search": OP13,
 }

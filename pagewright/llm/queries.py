@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pagewright.llm import bpe, decontam, langid, licenses, minhash, quality, ring, suffixes, toxicity, warc
+from pagewright.llm import bpe, collocations, debruijn, decontam, langid, lexical, licenses, minhash, quality, ring, suffixes, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,6 +56,18 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op12_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return debruijn.span_report(_table(spark, sf_dir, "documents"))
+
+
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_bpe": op2_bpe,
@@ -67,4 +79,7 @@ QUERIES: dict[str, Query] = {
     "op8_language": op8_language,
     "op9_shards": op9_shards,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_collocations": op11_collocations,
+    "op12_span_dedup": op12_span_dedup,
+    "op13_search": op13_search,
 }

@@ -19,6 +19,8 @@ WORD_BYTES = bytes(
     b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else SPACE
     for b in range(256)
 )
+#: The same for words that white space alone separates, which stay as they are.
+PLAIN_BYTES = bytes(SPACE if b == SPACE or 0x09 <= b <= 0x0D else b for b in range(256))
 
 
 class _Powers:
@@ -68,14 +70,14 @@ class Prefix:
 
 
 class Words:
-    """The words of one text, joined by single spaces.
+    """The words of one text, joined by single spaces; ``word_bytes`` makes separators a space.
 
     ``data`` holds the joined bytes, ``starts``/``ends`` the words in it, and
     ``text_starts``/``text_ends`` the same words in the bytes of the text.
     """
 
-    def __init__(self, raw: bytes) -> None:
-        lowered = np.frombuffer(raw.translate(WORD_BYTES), np.uint8)
+    def __init__(self, raw: bytes, word_bytes: bytes = WORD_BYTES) -> None:
+        lowered = np.frombuffer(raw.translate(word_bytes), np.uint8)
         inside = lowered != SPACE
         edges = np.diff(inside.view(np.int8), prepend=np.int8(0), append=np.int8(0))
         self.text_starts = np.flatnonzero(edges == 1)

@@ -18,13 +18,16 @@ COLUMNS = {
     8: "doc_id held_out lang_pred score",
     9: "doc_id size text_crc32 law shard slot grown_shard",
     10: "doc_id class_id",
+    11: "lang rank phrase a l r n score",
+    12: "doc_id n_words n_removed kept_sha256",
+    13: "item_id rank doc_id score",
 }
 
 
 def test_all_are_registered():
     assert set(QUERIES) < set(entry_points.queries()) and "pipeline" in entry_points.queries()
     assert set(EXPECTED_SQL) <= set(entry_points.oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -33,7 +36,8 @@ def test_query(name, spark, tiny):
     assert set(COLUMNS[int(name[2:].split("_")[0])].split()) <= set(df.columns)
     rows = [r.asDict() for r in df.collect()]
     table = "pages" if name == "op3_warc" else "documents"
-    assert len(rows) == spark.read.parquet(f"{tiny}/{table}.parquet").count()
+    if name not in ("op11_collocations", "op13_search"):
+        assert len(rows) == spark.read.parquet(f"{tiny}/{table}.parquet").count()
     if name in EXPECTED_SQL:
         connection = duckdb.connect()
         for t in ("documents", "pages", "benchmark"):
