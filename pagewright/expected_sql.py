@@ -49,6 +49,17 @@ expanded AS (
          txt AS text
   FROM sectioned WHERE t = 'X')"""
 
+SECTIONS_BY_HEIGHT = f"""{BLOCKS},
+heights AS (SELECT *, (pos * 5 + length(txt)) % 7 AS y FROM blocks),
+running AS (
+  SELECT *, sum((t = 'T')::INT) OVER (PARTITION BY page_id ORDER BY y, pos) AS g
+  FROM heights WHERE t IN ('T', 'X') AND txt <> ''),
+sectioned AS (
+  SELECT *, dense_rank() OVER (PARTITION BY page_id ORDER BY g) - 1 AS section_index,
+         max(CASE WHEN t = 'T' THEN txt END) OVER (PARTITION BY page_id, g) AS title,
+         CASE WHEN g = 0 THEN true END AS continuation
+  FROM running)"""
+
 EXPANDED = f"""WITH {SECTIONS}
 SELECT page_id, section_index, title, continuation, text_index, text FROM expanded"""
 
@@ -107,6 +118,31 @@ URL_COLUMNS = rf"""lower(regexp_extract(url, {URL}, 1)) AS scheme,
   regexp_replace(regexp_extract(url, {URL}, 3), ';[^/]*$', '') AS path"""
 
 
+def _packed(rows: str, key: str, budget: int) -> str:
+    """Chunk of each row of ``rows`` (key, rn from 1, n, and more), by carrying the running size along."""
+    return f"""
+carried AS (
+  SELECT *, n AS total, 0 AS chunk_index FROM {rows} WHERE rn = 1
+  UNION ALL
+  SELECT r.*, CASE WHEN c.total + r.n >= {budget} THEN r.n ELSE c.total + r.n END,
+         CASE WHEN c.total + r.n >= {budget} THEN c.chunk_index + 1 ELSE c.chunk_index END
+  FROM carried c JOIN {rows} r ON r.{key} = c.{key} AND r.rn = c.rn + 1)"""
+
+
+SEGMENTS = """
+timed AS (
+  SELECT user_id, event_id, epoch_us(ts) AS t,
+         epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS gap FROM events),
+numbered AS (
+  SELECT user_id, t, sum((gap IS NULL OR gap > 21600000000)::INT)
+    OVER (PARTITION BY user_id ORDER BY t, event_id) - 1 AS segment_id FROM timed)"""
+
+TURNS = """
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY place) AS rn
+  FROM (SELECT {key}, {place} AS place, text, length(text) AS n FROM conversations))"""
+
+
 def _vectors(source: str, keys: str) -> str:
     """Word counts in 64 md5 buckets, scaled to length 1, as (keys, dim, value)."""
     return f"""
@@ -140,7 +176,16 @@ def expected_sql() -> dict[str, str]:
         "describe_table": """SELECT * FROM (VALUES ('page_id', 'bigint'),
             ('section_index', 'int'), ('title', 'string'), ('continuation', 'boolean'),
             ('text_index', 'int'), ('text', 'string')) AS v(col_name, data_type)""",
-        "table_detail": "SELECT event_type, count(*) AS num_rows FROM events GROUP BY event_type",
+        "table_detail": """SELECT event_type, count(*) AS num_rows, true AS files_as_listed, true AS bytes_as_listed
+            FROM events GROUP BY event_type""",
+        "pruned_read": rf"""WITH sited AS (SELECT *, regexp_extract(url, {URL}, 2) AS site,
+              regexp_extract(url, {URL}, 4) AS query FROM pages)
+            SELECT md5(site)[1:2] AS partition, site, page_id, url, length(html) AS n_chars FROM sited
+            WHERE site IN (SELECT site FROM sited WHERE contains(query, 'page=2'))""",
+        "repartition_rows": """SELECT count(*) AS n_rows, sum(n_chars)::BIGINT AS n_chars, 16::BIGINT AS n_tasks FROM documents""",
+        "local_rows": """SELECT lang, language, count(*) AS n_documents
+            FROM documents LEFT JOIN (VALUES ('de', 'German'), ('en', 'English'), ('es', 'Spanish'), ('fr', 'French'))
+              AS names(lang, language) USING (lang) GROUP BY ALL""",
         "url_parts": rf"""SELECT page_id, url, {URL_COLUMNS},
             regexp_extract(url, {URL}, 4) AS query_string FROM pages""",
         "url_query_map": f"""WITH {QUERY_PAIRS}
@@ -167,6 +212,10 @@ def expected_sql() -> dict[str, str]:
             count(*) FILTER (t = 'X') AS n_texts,
             coalesce(string_agg(txt, chr(10) ORDER BY pos) FILTER (t = 'X'), '') AS joined
             FROM sectioned GROUP BY page_id, section_index, title, continuation""",
+        "sections_by_height": f"""WITH {SECTIONS_BY_HEIGHT} SELECT page_id, section_index, title, continuation,
+            count(*) FILTER (t = 'X') AS n_texts,
+            coalesce(string_agg(txt, chr(10) ORDER BY y, pos) FILTER (t = 'X'), '') AS joined
+            FROM sectioned GROUP BY page_id, section_index, title, continuation""",
         "expand_sections": EXPANDED,
         "ordered_content": EXPANDED + " ORDER BY page_id, section_index, text_index",
         "sections_json_roundtrip": EXPANDED,
@@ -200,18 +249,36 @@ def expected_sql() -> dict[str, str]:
             list_resize([]::VARCHAR[], 16, '[PAD]'))[1:16], ' ') AS tokens FROM documents""",
         "concat_parts": """SELECT conv_id, string_agg(text, ' ' ORDER BY turn) AS converted_texts
             FROM conversations GROUP BY ALL""",
-        "gap_segments": """WITH timed AS (
-              SELECT user_id, event_id, epoch_us(ts) AS t,
-                     epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id)
-                       AS gap FROM events),
-            numbered AS (
-              SELECT user_id, t, sum((gap IS NULL OR gap > 21600000000)::INT)
-                OVER (PARTITION BY user_id ORDER BY t, event_id) - 1 AS segment_id FROM timed)
+        "gap_segments": f"""WITH {SEGMENTS}
             SELECT user_id, segment_id::BIGINT AS segment_id, count(*) AS n_events,
                    min(t) AS start_micros, max(t) AS end_micros
             FROM numbered GROUP BY user_id, segment_id""",
         "pack_segments": f"""WITH RECURSIVE {CHUNKS}
             SELECT doc_id, chunk_index, chunk, n_chars, n_lines FROM chunks""",
+        "pad_batches": """WITH sized AS (
+              SELECT doc_id, regexp_extract_all(lower(text), '[0-9a-z_]+')[1:512] AS tokens FROM documents),
+            batched AS (SELECT *, (row_number() OVER (ORDER BY len(tokens), doc_id) - 1) // 32 AS batch FROM sized),
+            padded AS (SELECT *, max(len(tokens)) OVER (PARTITION BY batch) AS padded_length FROM batched)
+            SELECT doc_id, batch, len(tokens) AS n_tokens, padded_length,
+              md5(array_to_string(list_resize(tokens, padded_length, '[PAD]'), ' ')) AS tokens_md5 FROM padded""",
+        "pack_turns": f"""WITH RECURSIVE {TURNS.format(key="conv_id", place="turn")}, {_packed("placed", "conv_id", 400)}
+            SELECT conv_id, chunk_index::BIGINT AS chunk_index, string_agg(text, chr(10) ORDER BY rn) AS chunk,
+              sum(n)::BIGINT AS n_chars, count(*) AS n_segments FROM carried GROUP BY conv_id, chunk_index""",
+        "pack_long_recording": f"""WITH RECURSIVE {TURNS.format(key="role", place="conv_id * 1000 + turn")},
+            {_packed("placed", "role", 4000)}
+            SELECT role, chunk_index::BIGINT AS chunk_index, md5(string_agg(text, chr(10) ORDER BY rn)) AS chunk_md5,
+              sum(n)::BIGINT AS n_chars, count(*) AS n_segments FROM carried GROUP BY role, chunk_index""",
+        "pack_gap_segments": f"""WITH RECURSIVE {SEGMENTS},
+            segments AS (SELECT user_id, segment_id + 1 AS rn, max(t) - min(t) AS n, min(t) AS a, max(t) AS z
+                         FROM numbered GROUP BY user_id, segment_id),
+            {_packed("segments", "user_id", 12 * 3600 * 1_000_000)}
+            SELECT user_id, chunk_index::BIGINT AS chunk_index, count(*) AS n_segments, sum(n)::BIGINT AS length,
+              min(a) AS start_micros, max(z) AS end_micros FROM carried GROUP BY user_id, chunk_index""",
+        "resume_enrich": r"""WITH counted AS (
+              SELECT doc_id, len(string_split_regex(text, '[ \t\n\r\f]+')) AS n FROM documents)
+            SELECT doc_id, CASE WHEN n % 6 <> 0 THEN n::VARCHAR END AS result,
+              CASE WHEN n % 6 = 0 THEN 'ValueError: no answer for ' || n || ' words' END AS error,
+              CASE WHEN n % 3 = 0 THEN 2 ELSE 1 END AS attempts FROM counted""",
         "dedup_enrich": r"""SELECT doc_id,
             len(string_split_regex(text, '[ \t\n\r\f]+'))::VARCHAR AS result,
             NULL::VARCHAR AS error FROM documents""",
@@ -233,7 +300,7 @@ def expected_sql() -> dict[str, str]:
               regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, {PAGE_DATE} AS date,
               coalesce((SELECT string_agg(text, ' ' ORDER BY section_index, text_index)
                         FROM expanded e WHERE e.page_id = p.page_id), '') AS speech_as_text
-            FROM pages p WHERE md5(regexp_extract(url, {URL}, 2))[1:2] < '80'""",
+            FROM pages p""",
         "flow_document_tables": SECTION_COUNTS,
         "embed_text": f"""WITH {_vectors("documents", "doc_id")}
             SELECT d.doc_id, d.dim, round(coalesce(s.value, 0), 6) AS value

@@ -32,6 +32,28 @@ def page_sections(pages: DataFrame, keys: list[str], html: str = "html") -> Data
     return pages.select(*keys, sections.alias("image_content"))
 
 
+def blocks_by_page(
+    blocks: DataFrame, keys: list[str], y: str = "y", arrival: str = "block_index", kind: str = "kind", text: str = "text"
+) -> DataFrame:
+    """Block rows, arriving in any order, to one row per page: keys, blocks from top to bottom.
+
+    Blocks level with each other keep the order of ``arrival``, and a block without a ``y`` comes
+    first. A page is one row, so nothing is held together but its own blocks.
+    """
+    height = F.coalesce(F.col(y).cast("double"), F.lit(float("-inf")))
+    found = F.collect_list(F.struct(F.col(arrival).alias("arrival"), height.alias("y"), F.col(kind).alias("kind"), F.col(text).alias("text")))
+    pages = blocks.groupBy(*keys).agg(F.sort_array(found).alias("blocks"))
+    return pages.withColumn("blocks", S.order_blocks(F.col("blocks"), by="y"))
+
+
+def sections_from_blocks(
+    blocks: DataFrame, keys: list[str], y: str = "y", arrival: str = "block_index", kind: str = "kind", text: str = "text"
+) -> DataFrame:
+    """``page_sections`` from the blocks that a layout detector found: keys, image_content."""
+    pages = blocks_by_page(blocks, keys, y, arrival, kind, text)
+    return pages.select(*keys, S.assemble_sections(F.col("blocks")).alias("image_content"))
+
+
 def section_titles(page_content: DataFrame, keys: list[str]) -> DataFrame:
     """``page_titles`` from page content: every non-blank title has opened a section."""
     titles = F.filter(F.transform("image_content", lambda s: s["title"]), lambda t: t.isNotNull())

@@ -59,17 +59,23 @@ def _encoder_of(digest: str, factory: bytes) -> Encoder:
     return _ENCODERS[digest]
 
 
+def made_encoder(factory: EncoderFactory) -> Callable[[], Encoder]:
+    """What gives the factory's encoder on a worker: made by the first call in a process, reused by all others."""
+    packed = cloudpickle.dumps(factory)
+    digest = hashlib.sha256(packed).hexdigest()
+    return lambda: _encoder_of(digest, packed)
+
+
 def embed(text: Column, factory: EncoderFactory | None = None) -> Column:
     """Vector of each text as array<double>; null text gives null.
 
     The encoder is made once per worker process and serves all tasks that run there.
     """
-    packed = cloudpickle.dumps(factory or hashed_words_encoder())
-    digest = hashlib.sha256(packed).hexdigest()
+    encoder = made_encoder(factory or hashed_words_encoder())
 
     @F.pandas_udf("array<double>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode = _encoder_of(digest, packed)
+        encode = encoder()
         for batch in batches:
             present = batch.notna()
             out = pd.Series([None] * len(batch), index=batch.index, dtype=object)

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagewright.operators.skew import heavy_keys, lookup_join
-from pagewright.sinks.tables import materialize
+from pagewright.sinks.tables import materialize, path_exists
 
 DEFAULT_THREADS = 20
 
@@ -73,6 +73,78 @@ def dedup_enrich(
     return joined.select(*keys, "result", "error")
 
 
+#: Rows of an answer store: the last attempt at a content says what is known of it.
+STORE_SCHEMA = "digest string, result string, error string, attempt int"
+
+
+def stored_answers(spark: SparkSession, store: str) -> DataFrame:
+    """What a store knows: one row per digest, its answer or else its last error, and the attempts made."""
+    if not path_exists(spark, store):
+        return spark.createDataFrame([], STORE_SCHEMA)
+    rows = spark.read.schema(STORE_SCHEMA).parquet(store)
+    # An answer comes before any error, and then the latest attempt; equal ones go by their text.
+    best = F.max(F.struct(F.col("error").isNull().alias("ok"), "attempt", "result", "error"))
+    return rows.groupBy("digest").agg(best.alias("b"), F.max("attempt").alias("attempt")).select("digest", "b.result", "b.error", "attempt")
+
+
+def resume_enrich(
+    df: DataFrame,
+    content: str,
+    function: Callable[[str], str],
+    keys: list[str],
+    store: str,
+    retries: int = 0,
+    slices: int = 1,
+    threads: int = DEFAULT_THREADS,
+) -> DataFrame:
+    """``dedup_enrich`` that goes on where an earlier run stopped.
+
+    ``store`` is a folder of answers keyed by the content's digest, in the shared storage. Contents
+    it has an answer for are not sent again; those it has only errors for are tried once more,
+    and up to ``retries`` times more in this run. The contents to send are taken in ``slices``,
+    by digest, and each slice's answers are committed before the next one starts, so a run that
+    dies repeats one slice at most. Two runs at a time on one store may send a content twice.
+
+    Result: keys, result, error, attempts (calls made for the row's content so far). Null
+    content is not sent and gets nulls.
+    """
+    spark = df.sparkSession
+    digest = F.sha2(F.col(content), 256)
+    # One copy of each content and its number of copies; the contents to send are read from here.
+    distinct = (
+        df.filter(F.col(content).isNotNull()).groupBy(content).agg(F.count("*").alias("copies")).select(digest.alias("digest"), content, "copies")
+    )
+    distinct = materialize(distinct, "contents")
+    for attempt in range(retries + 1):
+        known = materialize(stored_answers(spark, store), "known-answers")
+        open_ = distinct.drop("copies").join(known.filter("error is null").select("digest"), "digest", "left_anti")
+        sent = open_.join(known.select("digest", "attempt"), "digest", "left")
+        if attempt and known.filter("error is not null").isEmpty():
+            break
+        for number in range(slices):
+            part = sent.filter(F.pmod(F.xxhash64("digest"), F.lit(slices)) == number)
+            answers = call_for_each(part, content, function, threads)
+            told = answers.select("digest", "result", "error", (F.coalesce("attempt", F.lit(0)) + 1).alias("attempt"))
+            told.write.mode("append").parquet(store)
+    answers = stored_answers(spark, store)
+    rows = df.select(*keys, digest.alias("digest"))
+    joined = lookup_join(rows, answers, ["digest"], heavy_keys(distinct, "digest", "copies"))
+    return joined.select(*keys, "result", "error", F.col("attempt").alias("attempts"))
+
+
+def flaky_word_counter(fails_on: int) -> Callable[[str], str]:
+    """``word_counter`` that fails for texts whose number of pieces ``fails_on`` divides, as a service may."""
+    count = word_counter()
+
+    def run(value):
+        found = count(value)
+        if int(found) % fails_on == 0:
+            raise ValueError(f"no answer for {found} words")
+        return found
+
+    return run
+
+
 def word_counter() -> Callable[[str], str]:
     """Deterministic stand-in for an outside service: pieces between runs of whitespace.
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.functions import urls as U
-from pagewright.operators.skew import hot_keys, lookup_join
+from pagewright.operators.skew import hot_keys, lookup_join, salted_matches, salted_rows
 
 
 def url_parts(df: DataFrame, url: str = "url", keys: list[str] | None = None) -> DataFrame:
@@ -31,20 +31,15 @@ def _version(content: str, newest_by: str, *more: Column) -> Column:
     return F.struct(F.col(newest_by).alias("version"), F.sha2(F.col(content).cast("binary"), 256).alias("digest"), *more)
 
 
-def newest_content(landed: DataFrame, url: str, content: str, newest_by: str) -> DataFrame:
-    """One row (url, content) per landed URL: its newest copy.
+def newest_content(landed: DataFrame, url: str, content: str, newest_by: str, by: list[str] | None = None) -> DataFrame:
+    """One row (url, content) per landed URL: its newest copy. ``by`` are more columns to group by.
 
-    The copy is chosen from (url, version, digest) alone; only chosen contents are shuffled.
+    Each task keeps the newest of the copies it reads, so contents are shuffled once and older
+    copies mostly not at all.
     """
-    chosen = landed.groupBy(url).agg(F.max(_version(content, newest_by)).alias("_chosen"))
-    chosen = chosen.select(F.col(url).alias("_url"), F.col("_chosen.version").alias("_v"), F.col("_chosen.digest").alias("_d"))
-    copies = landed.select(url, F.col(content).alias("content"), _version(content, newest_by).alias("_copy"))
-    same = (
-        (F.col(url) == F.col("_url"))
-        & F.col("_copy.version").eqNullSafe(F.col("_v"))
-        & F.col("_copy.digest").eqNullSafe(F.col("_d"))
-    )
-    return copies.join(chosen, same).groupBy(url).agg(F.first("content").alias("content"))
+    keys = [url, *(by or [])]
+    copies = landed.select(*keys, F.col(content).alias("content"), _version(content, newest_by).alias("_copy"))
+    return copies.groupBy(*keys).agg(F.max_by("content", "_copy").alias("content"))
 
 
 def resolve_content(
@@ -78,6 +73,16 @@ def with_content(
     newest_by: str = "modificationTime",
     spread_by: list[str] | None = None,
 ) -> DataFrame:
-    """Every manifest row once, with its ``content``, null when nothing landed."""
-    newest = newest_content(landed, url, content, newest_by)
+    """Every manifest row once, with its ``content``, null when nothing landed.
+
+    The copies of a URL that is listed very often get its salts before the newest is chosen, so
+    what chooses them also deals them out for the join: content goes through one exchange.
+    """
+    hot = hot_keys(manifest, url)
+    newest = newest_content(salted_matches(landed, url, hot), url, content, newest_by, ["_salt"])
+    return salted_rows(manifest, url, hot, spread_by).join(newest, [url, "_salt"], "left").drop("_salt")
+
+
+def attach_content(manifest: DataFrame, newest: DataFrame, url: str = "url", spread_by: list[str] | None = None) -> DataFrame:
+    """``with_content`` from a table that holds one row (url, content) per URL."""
     return lookup_join(manifest, newest, [url], hot_keys(manifest, url), spread_by)

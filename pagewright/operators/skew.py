@@ -44,13 +44,24 @@ def lookup_join(
     apart too. Rows without a key match nothing and are spread as well. Nothing is dropped:
     the result equals the plain left join.
     """
-    key = on[0]
-    marked = F.broadcast(hot.select(F.col(key), F.col("fan_out").alias("_fan")))
+    salted_left, salted_right = salted_rows(left, on[0], hot, spread_by), salted_matches(right, on[0], hot)
+    return salted_left.join(salted_right, [*on, "_salt"], "left").drop("_salt")
+
+
+def _marked(hot: DataFrame, key: str) -> DataFrame:
+    return F.broadcast(hot.select(F.col(key), F.col("fan_out").alias("_fan")))
+
+
+def salted_rows(left: DataFrame, key: str, hot: DataFrame, spread_by: list[str] | None = None) -> DataFrame:
+    """The many side of ``lookup_join``: each row with one ``_salt`` of its key."""
     place = F.xxhash64(*spread_by) if spread_by else F.monotonically_increasing_id()
     placed = left.withColumn("_place", place)
     fan = F.when(F.col(key).isNull(), F.lit(int(1 / HOT_SHARE))).otherwise(F.coalesce("_fan", F.lit(1)))
-    salted_left = placed.join(marked, key, "left").withColumn("_salt", F.pmod(F.col("_place"), fan).cast("int"))
+    salted = placed.join(_marked(hot, key), key, "left").withColumn("_salt", F.pmod(F.col("_place"), fan).cast("int"))
+    return salted.drop("_fan", "_place")
+
+
+def salted_matches(right: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """The other side: each row once for every ``_salt`` of its key."""
     salts = F.sequence(F.lit(0), F.coalesce("_fan", F.lit(1)) - 1)
-    salted_right = right.join(marked, key, "left").withColumn("_salt", F.explode(salts))
-    joined = salted_left.drop("_fan", "_place").join(salted_right.drop("_fan"), [*on, "_salt"], "left")
-    return joined.drop("_salt")
+    return right.join(_marked(hot, key), key, "left").withColumn("_salt", F.explode(salts)).drop("_fan")

@@ -9,7 +9,7 @@ from pagewright.functions import sections as S
 from pagewright.functions import text as X
 from pagewright.functions import urls as U
 from pagewright.operators.content import joined_texts
-from pagewright.operators.landing import with_content
+from pagewright.operators.landing import attach_content, newest_content
 from pagewright.operators.transcripts import concat_parts, pack_lines
 from pagewright.operators.words import top_words, word_counts, word_tokens
 from pagewright.sinks import tables as sink
@@ -93,7 +93,8 @@ def write_transcript_tables(
     Writes audio_raw, audio_converted_parts, audio_converted, audio_converted_v2 and
     audio_partitioned. ``urls`` has the manifest's columns, ``landed`` the content of each
     URL. Each stage reads the table written before it. A URL that the manifest lists more
-    than once is one recording: its parts and texts are made once.
+    than once is one recording: its parts and texts are made once, from the newest copy of its
+    content, which is chosen once for all stages.
     """
     sink.create_database(spark, database)
 
@@ -103,9 +104,10 @@ def write_transcript_tables(
     def save(df: DataFrame, table: str) -> DataFrame:
         return sink.save_table(df, f"{database}.{table}", path(table))
 
-    raw = save(audio_raw(with_content(urls, landed, newest_by=newest_by)), "audio_raw")
-    # All rows of a URL carry the same content.
-    recordings = raw.groupBy("url").agg(F.first("content", ignorenulls=True).alias("content"))
+    # The semi-join deals contents out by URL, and the choice of the newest needs no other exchange.
+    listed = landed.join(urls.select("url").distinct(), "url", "left_semi")
+    recordings = sink.materialize(newest_content(listed, "url", "content", newest_by), "recordings")
+    raw = save(audio_raw(attach_content(urls, recordings)), "audio_raw")
     spoken = recordings.select("url", F.col("content").cast("string").alias("content"))
     chunks = pack_lines(spoken, "url", "content", budget)
     parts = save(converted_parts(chunks, "url", "chunk_index", "chunk"), "audio_converted_parts")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +14,7 @@ from pagewright.functions import text as X
 from pagewright.functions import urls as U
 from pagewright.functions import vectors as V
 from pagewright.functions.binding import as_rows
-from pagewright.operators import arithmetic, content, enrich, landing, paging, transcripts, words
+from pagewright.operators import arithmetic, batching, content, enrich, landing, packing, paging, transcripts, words
 from pagewright.operators.embedding import cosine_to_row, embed_texts
 from pagewright.plans import documents as document_flow
 from pagewright.plans import transcripts as transcript_flow
@@ -26,6 +27,9 @@ PACK_BUDGET = 400
 PAD_LENGTH = 16
 EMBEDDING_DIMS = 64
 GAP_MICROS = 6 * 3600 * 1_000_000
+CHUNK_MICROS = 12 * 3600 * 1_000_000
+LONG_BUDGET = 4000
+SPREAD = 16
 PAGE_TITLE = "<title>([^<]*)</title>"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -174,17 +178,44 @@ def ctas_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def describe_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name, path = _target(spark, sf_dir, "expanded_content")
-    sink.save_table(_expanded(spark, sf_dir), name, path)
-    return sink.describe_table(spark, name)
+    """Columns of a table that ``flow_document_tables`` writes; it is written here only if it is not there yet."""
+    tables = _document_tables(spark, sf_dir)
+    if not spark.catalog.tableExists(tables.name("expanded_content")):
+        flow_document_tables(spark, sf_dir)
+    return sink.describe_table(spark, tables.name("expanded_content"))
+
+
+def _document_tables(spark: SparkSession, sf_dir: str) -> document_flow.DocumentTables:
+    return document_flow.DocumentTables(*_target(spark, sf_dir, "document_flow"))
 
 
 @query
 def table_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, files and bytes of each partition; files and bytes are held against the folder's listing."""
     name, path = _target(spark, sf_dir, "events_partitioned")
     events = read_table(spark, sf_dir, "events")
     table = sink.save_partitioned(events, name, "event_type", path)
-    return sink.table_detail(table, "event_type").select("event_type", "num_rows")
+    listed = sink.listed_files(spark, path, "event_type").withColumnsRenamed({"num_files": "listed", "size_in_bytes": "listed_bytes"})
+    # An outer join: a partition that only one side knows is a row with null or false.
+    both = sink.table_detail(table, "event_type").join(listed, "event_type", "full")
+    return both.select(
+        "event_type",
+        "num_rows",
+        ((F.col("num_files") == F.col("listed")) & (F.col("listed") > 0)).alias("files_as_listed"),
+        ((F.col("size_in_bytes") == F.col("listed_bytes")) & (F.col("listed_bytes") > 0)).alias("bytes_as_listed"),
+    )
+
+
+@query
+def pruned_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of all sites that have a second page of something, read from those sites' partitions alone."""
+    name, path = _target(spark, sf_dir, "pages_by_site")
+    pages = read_table(spark, sf_dir, "pages").withColumn("site", U.url_site(F.col("url")))
+    table = sink.save_partitioned(sink.with_partition(pages, F.col("site")), name, path=path)
+    paged = pages.filter(F.contains(U.url_query_string(F.col("url")), F.lit("page=2")))
+    wanted = sink.with_partition(paged.select("site"), F.col("site"))
+    found = sink.read_partitions_of(table, wanted, "partition", ["site"])
+    return found.select("partition", "site", "page_id", "url", F.length("html").alias("n_chars"))
 
 
 # URLs and content
@@ -231,6 +262,23 @@ def resolve_content(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Pages and sections
 
 
+@query
+def repartition_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents dealt out over a fixed number of tasks."""
+    dealt = spread(read_table(spark, sf_dir, "documents"), SPREAD).withColumn("task", F.spark_partition_id())
+    return dealt.agg(F.count("*").alias("n_rows"), F.sum("n_chars").alias("n_chars"), F.count_distinct("task").alias("n_tasks"))
+
+
+@query
+def local_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the program, with a declared schema, joined with a table."""
+    names = spark.createDataFrame(
+        [("de", "German"), ("en", "English"), ("es", "Spanish"), ("fr", "French")], "lang string, language string"
+    )
+    documents = read_table(spark, sf_dir, "documents").join(F.broadcast(names), "lang", "left")
+    return documents.groupBy("lang", "language").agg(F.count("*").alias("n_documents"))
+
+
 @query
 def layout_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = content.layout_blocks(_pages(spark, sf_dir), ["page_id"])
@@ -255,6 +303,22 @@ def assemble_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def sections_by_height(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sections of blocks that arrive out of order, several at one height, as from a layout detector."""
+    blocks = content.layout_blocks(_pages(spark, sf_dir), ["page_id"])
+    placed = blocks.withColumn("y", F.pmod(F.col("block_index") * 5 + F.length("text"), F.lit(7)))
+    found = content.sections_from_blocks(placed.repartition("text"), ["page_id"])
+    return content.sections(found, ["page_id"]).select(
+        "page_id",
+        F.col("section_index").cast("bigint").alias("section_index"),
+        "title",
+        "continuation",
+        F.size("texts").cast("bigint").alias("n_texts"),
+        F.array_join("texts", "\n").alias("joined"),
+    )
+
+
 def _positions_as_long(expanded: DataFrame) -> DataFrame:
     return expanded.withColumns(
         {c: F.col(c).cast("bigint") for c in ("section_index", "text_index")}
@@ -382,6 +446,19 @@ def pad_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.select("doc_id", F.array_join(padded, " ").alias("tokens"))
 
 
+@query
+def pad_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of all documents in batches of like length, each padded to its longest."""
+    padded = batching.padded_batches(_documents(spark, sf_dir), ["doc_id"])
+    return padded.select(
+        "doc_id",
+        "batch",
+        F.col("n_tokens").cast("bigint").alias("n_tokens"),
+        F.col("padded_length").cast("bigint").alias("padded_length"),
+        F.md5(F.array_join("tokens", " ")).alias("tokens_md5"),
+    )
+
+
 # Transcripts
 
 
@@ -409,6 +486,38 @@ def pack_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def pack_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns, which are rows, packed into chunks of their conversation."""
+    turns = read_table(spark, sf_dir, "conversations")
+    return packing.pack_texts(turns, "conv_id", "turn", "text", PACK_BUDGET)
+
+
+@query
+def pack_long_recording(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All that a role says as one long recording, whose segments are many blocks of rows."""
+    place = (F.col("conv_id") * 1000 + F.col("turn")).alias("place")
+    turns = read_table(spark, sf_dir, "conversations").select("role", place, "text")
+    chunks = packing.pack_texts(turns, "role", "place", "text", LONG_BUDGET)
+    return chunks.select("role", "chunk_index", F.md5("chunk").alias("chunk_md5"), "n_chars", "n_segments")
+
+
+@query
+def pack_gap_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stretches of activity packed into chunks by their durations."""
+    segments = gap_segments(spark, sf_dir)
+    return packing.pack_timed(segments, "user_id", "segment_id", "start_micros", "end_micros", CHUNK_MICROS)
+
+
+@query
+def resume_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs on one answer store: a service that fails for some texts, then one that fails for fewer."""
+    documents = _documents(spark, sf_dir)
+    store = f"{sink.run_folder(spark)}/answer-store-{uuid.uuid4().hex}"
+    enrich.resume_enrich(documents, "text", enrich.flaky_word_counter(3), ["doc_id"], store, slices=2)
+    return enrich.resume_enrich(documents, "text", enrich.flaky_word_counter(6), ["doc_id"], store)
+
+
 @query
 def dedup_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _documents(spark, sf_dir)
@@ -450,23 +559,19 @@ def flow_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def flow_transcript_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The flow as written tables; half of the partitions of the last one are read."""
+    """The flow as written tables: the rows of the last one."""
     pages = _pages(spark, sf_dir)
     name, path = _target(spark, sf_dir, "audio")
     landed = pages.select("url", F.encode("html", "utf-8").alias("content"), "page_id")
     urls = transcript_flow.nlp_urls(pages, F.regexp_extract("html", PAGE_TITLE, 1), F.col("url"), _page_date())
     tables = transcript_flow.write_transcript_tables(spark, urls, landed, PACK_BUDGET, name, path, "page_id")
-    half = tables["audio_partitioned"].filter(F.col("partition") < "80")
-    return half.select("partition", "url", "title", "date", "speech_as_text")
+    return tables["audio_partitioned"].select("partition", "url", "title", "date", "speech_as_text")
 
 
 @query
 def flow_document_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The document flow as written tables: texts of each titled section."""
-    name, path = _target(spark, sf_dir, "document_flow")
-    tables = document_flow.write_document_tables(
-        spark, _pages(spark, sf_dir), ["page_id"], document_flow.DocumentTables(name, path)
-    )
+    tables = document_flow.write_document_tables(spark, _pages(spark, sf_dir), ["page_id"], _document_tables(spark, sf_dir))
     counts = tables["section_text_counts"]
     return counts.withColumn("section_index", F.col("section_index").cast("bigint"))
 
@@ -526,9 +631,10 @@ def vector_multiply(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def vector_multiply_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The gross part of ``price_parts``."""
-    parts = price_parts(spark, sf_dir).filter(F.col("kind") == "gross")
-    return parts.select("l_orderkey", "l_linenumber", F.round("value", 2).alias("product"))
+    """``vector_multiply`` by a function over Arrow batches."""
+    product = arithmetic.multiply_batches(F.col("l_quantity"), F.col("l_extendedprice"))
+    rows = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", product.alias("product"))
+    return rows.withColumn("product", F.round("product", 2))
 
 
 @query

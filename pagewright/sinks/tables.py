@@ -44,6 +44,12 @@ def remove_materialized(spark: SparkSession) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is something at ``path``, in whatever file system it names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def save_table(
     df: DataFrame,
     name: str,
@@ -163,5 +169,25 @@ def table_detail(table: DataFrame, partition: str | None = None) -> DataFrame:
     )
 
 
+def listed_files(spark: SparkSession, folder: str, partition: str | None = None) -> DataFrame:
+    """Files and bytes of a table's folder, per partition value if there is one, from the listing alone."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(folder)
+    keys = [F.regexp_extract("path", f"/{partition}=([^/]*)/", 1).alias(partition)] if partition else []
+    return files.groupBy(*keys).agg(F.count("*").alias("num_files"), F.sum("length").alias("size_in_bytes"))
+
+
+def read_partitions_of(table: DataFrame, wanted: DataFrame, partition: str, on: list[str]) -> DataFrame:
+    """Rows of a partitioned table whose values of ``on`` are among ``wanted``, from their partitions alone.
+
+    ``wanted`` holds ``on`` and the partition column, and may have been filtered by anything. Its
+    different partition values, which are at most as many as the table's partitions, are broadcast
+    and prune the scan while the query runs; a plain semi-join then keeps the rows that are asked for.
+    """
+    values = wanted.select(partition).distinct()
+    pruned = table.join(F.broadcast(values), partition, "left_semi")
+    keys = wanted.select(partition, *on).distinct()
+    return pruned.join(keys, [partition, *on], "left_semi")
+
+
 def partitions_of(spark: SparkSession, name: str) -> DataFrame:
     return spark.sql(f"SHOW PARTITIONS {name}")

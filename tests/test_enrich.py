@@ -31,6 +31,77 @@ def test_one_call_per_distinct_content(spark, tmp_path):
     assert sorted(f.split("-")[0] for f in os.listdir(calls)) == ["a", "b", "bad"]
 
 
+def logged_calls(folder, fails):
+    """A service that notes each call and fails for the contents in ``fails``."""
+
+    def shout(value):
+        import uuid
+
+        open(f"{folder}/{value}-{uuid.uuid4().hex}", "w").close()
+        if value in fails:
+            raise ValueError("no")
+        return value.upper()
+
+    return shout
+
+
+def calls_in(folder):
+    return sorted(f.split("-")[0] for f in os.listdir(folder))
+
+
+def test_a_second_run_calls_nothing_that_was_answered(spark, tmp_path):
+    store, (one, two, three) = str(tmp_path / "store"), [tmp_path / n for n in ("one", "two", "three")]
+    for folder in (one, two, three):
+        folder.mkdir()
+    rows = [(i, v) for i, v in enumerate(["a", "b", "a", "bad", None, "a", "bad", "worse"])]
+    df = spark.createDataFrame(rows, "id int, text string").repartition(3)
+    first = enrich.resume_enrich(df, "text", logged_calls(str(one), {"bad", "worse"}), ["id"], store, slices=3)
+    no = (None, "ValueError: no", 1)
+    assert {r.id: (r.result, r.error, r.attempts) for r in first.collect()} == {
+        0: ("A", None, 1), 1: ("B", None, 1), 2: ("A", None, 1), 3: no, 4: (None, None, None), 5: ("A", None, 1), 6: no, 7: no
+    }
+    assert calls_in(one) == ["a", "b", "bad", "worse"]
+
+    more = df.union(spark.createDataFrame([(8, "c"), (9, "b")], df.schema))
+    second = enrich.resume_enrich(more, "text", logged_calls(str(two), {"worse"}), ["id"], store, retries=2)
+    got = {r.id: (r.result, r.error, r.attempts) for r in second.collect()}
+    assert got[3] == got[6] == ("BAD", None, 2) and got[7] == (None, "ValueError: no", 4)
+    assert got[8] == ("C", None, 1) and got[9] == ("B", None, 1)
+    assert calls_in(two) == ["bad", "c", "worse", "worse", "worse"]
+
+    spared = df.filter("text <> 'worse'")
+    third = enrich.resume_enrich(spared, "text", logged_calls(str(three), {"a"}), ["id"], store)
+    assert sorted(r.result for r in third.collect()) == ["A", "A", "A", "B", "BAD", "BAD"]
+    assert calls_in(three) == []
+
+
+def test_slices_that_were_committed_are_kept_when_a_run_dies(spark, tmp_path, monkeypatch):
+    store, calls = str(tmp_path / "store"), tmp_path / "calls"
+    calls.mkdir()
+    df = spark.createDataFrame([(i, f"t{i}") for i in range(40)], "id int, text string")
+    real, seen = enrich.call_for_each, []
+
+    def dies_in_the_third(*args):
+        seen.append(1)
+        if len(seen) == 3:
+            raise RuntimeError("the run dies")
+        return real(*args)
+
+    monkeypatch.setattr(enrich, "call_for_each", dies_in_the_third)
+    with pytest.raises(RuntimeError):
+        enrich.resume_enrich(df, "text", logged_calls(str(calls), set()), ["id"], store, slices=4)
+    done = len(calls_in(calls))
+    assert 0 < done < 40
+    out = enrich.resume_enrich(df, "text", logged_calls(str(calls), set()), ["id"], store, slices=4)
+    assert sorted(r.result for r in out.collect()) == sorted(f"T{i}" for i in range(40))
+    assert calls_in(calls) == sorted(f"t{i}" for i in range(40))
+
+
+def test_no_row_is_lost_on_an_empty_table(spark, tmp_path):
+    df = spark.createDataFrame([], "id int, text string")
+    assert enrich.resume_enrich(df, "text", enrich.word_counter(), ["id"], str(tmp_path / "s")).count() == 0
+
+
 def test_hot_content_is_spread(spark):
     n = 9000
     df = spark.range(n).select(

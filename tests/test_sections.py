@@ -78,6 +78,19 @@ def test_order_blocks_is_stable(spark):
     assert [b.text for b in ordered] == ["d", "a", "b", "c"]
 
 
+def test_sections_from_blocks_that_arrive_unsorted(spark):
+    rows = [
+        ("p", 0, 30.0, "Text", "below"), ("p", 1, 10.0, "Title", " Top "), ("p", 2, 20.0, "Text", "first"), ("p", 3, 20.0, "Text", "second"),
+        ("p", 4, None, "Text", "no height"), ("p", 5, 40.0, "Title", " "), ("q", 9, 5.0, "Text", "alone"), ("r", 0, 1.0, "List", "none"),
+    ]
+    df = spark.createDataFrame(rows, "path string, at int, y double, kind string, text string").repartition(5)
+    blocks = {r.path: [b.text for b in r.blocks] for r in content.blocks_by_page(df, ["path"], arrival="at").collect()}
+    assert blocks["p"] == ["no height", " Top ", "first", "second", "below", " "]
+    got = {r.path: [(s.title, s.texts, s.continuation) for s in r.image_content] for r in content.sections_from_blocks(df, ["path"], arrival="at").collect()}
+    assert got == {"p": [(None, ["no height"], True), ("Top", ["first", "second", "below"], None)], "q": [(None, ["alone"], True)], "r": []}
+    assert content.sections_from_blocks(df.limit(0), ["path"], arrival="at").count() == 0
+
+
 def test_html_blocks(spark):
     html = 'x<li>i</li><div class="ad">ad</div><h1>T <b>u</h1><p>one<br>two<p> <footer>f&copy;'
     df = spark.createDataFrame([(html,), ("no blocks",), ("",), ("h1>x<p>y",), (None,)], "html string")

@@ -121,6 +121,28 @@ def test_big_partition_is_written_by_many_tasks_without_adaptive_execution(spark
     K.drop_table(spark, "salted_t")
 
 
+def test_detail_and_listing_agree(spark, tmp_path):
+    df = spark.range(3000).select("id", (F.col("id") % 3).cast("string").alias("partition"))
+    table = K.save_partitioned(df, "listed_table", path=str(tmp_path / "t"))
+    detail = {r.partition: (r.num_files, r.size_in_bytes) for r in K.table_detail(table, "partition").collect()}
+    listed = {r.partition: (r.num_files, r.size_in_bytes) for r in K.listed_files(spark, str(tmp_path / "t"), "partition").collect()}
+    assert detail == listed and set(detail) == {"0", "1", "2"}
+    on_disk = sum(f.stat().st_size for f in (tmp_path / "t").rglob("part-*"))
+    assert K.listed_files(spark, str(tmp_path / "t")).first().size_in_bytes == on_disk
+
+
+def test_only_wanted_partitions_are_read(spark, tmp_path):
+    df = spark.range(2000).select("id", (F.col("id") % 40).cast("string").alias("site"))
+    table = K.save_partitioned(K.with_partition(df, F.col("site")), "pruned_table", path=str(tmp_path / "p"))
+    sites = spark.createDataFrame([("3", 1), ("17", 0), ("17", 1), ("99", 1)], "site string, wanted int").filter("wanted = 1")
+    found = K.read_partitions_of(table, K.with_partition(sites.select("site"), F.col("site")), "partition", ["site"])
+    assert "dynamicpruning" in plan_of(found)
+    rows = found.collect()
+    assert sorted(r.id for r in rows) == [i for i in range(2000) if i % 40 in (3, 17)]
+    files = found.select(F.input_file_name()).distinct().count()
+    assert files <= 2 < table.select(F.input_file_name()).distinct().count()
+
+
 def test_table_detail_reads_no_column(spark, tiny):
     detail = K.table_detail(A.read_table(spark, tiny, "documents"))
     assert "ReadSchema: struct<>" in plan_of(detail)

@@ -1,3 +1,5 @@
+import hashlib
+import re
 from urllib.parse import parse_qs, urlparse
 
 import pytest
@@ -137,3 +139,27 @@ def test_resolve_content_with_a_hot_url(spark, landed):
         assert resolved.count() == n
     found = landing.resolve_content(manifest, landed, spread_by=["id"]).groupBy("found").count()
     assert {r.found: r["count"] for r in found.collect()} == {True: 10_000, False: 20_000}
+
+
+def test_content_goes_through_one_exchange(spark, tmp_path):
+    """Also that of a URL which fills the manifest, and with copies in many files."""
+    manifest = spark.range(3000).select("id", F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("u"), "id")).alias("url"))
+    manifest.write.parquet(f"{tmp_path}/manifest")
+    landed = spark.range(0, 4000, 1, 8).select(
+        F.when(F.col("id") % 4 == 0, "hot").otherwise(F.concat(F.lit("u"), F.col("id") % 1500)).alias("url"),
+        F.concat(F.lit("body "), "id").cast("binary").alias("content"),
+        F.when(F.col("id") % 7 > 0, F.col("id")).alias("version"),
+    )
+    landed.write.parquet(f"{tmp_path}/landed")
+    manifest, landed = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("manifest", "landed"))
+    out = landing.with_content(manifest, landed, newest_by="version")
+    rows = {r.id: r.content for r in out.collect()}
+    told = {}
+    for r in landed.collect():
+        key = (r.version is not None, r.version or 0, hashlib.sha256(bytes(r.content)).hexdigest(), bytes(r.content))
+        told[r.url] = max(told.get(r.url, key), key)
+    assert rows == {r.id: told[r.url][3] if r.url in told else None for r in manifest.collect()}
+    plan = out._jdf.queryExecution().explainString(out.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    exchanges = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", plan)
+    # The plan is told twice, as it began and as it ran; what chooses the newest is passed on in the place of content.
+    assert len({x for x in exchanges if "content" in x or "ExtremumOrdering" in x}) == 1
