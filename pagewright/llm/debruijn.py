@@ -5,9 +5,10 @@ with a smaller id. Windows are the edges of a De Bruijn graph whose nodes are th
 ``window - 1`` words between them; a path of the graph is a longer text.
 
 1. *Edges.* Neighbouring windows that share their anchor (the run of ``window // 4`` words with the
-   smallest hash) form one row. Anchors that all stand in documents of one id hold no repeated
-   edge. Where all rows of an anchor are equal, the row is a path already; where they differ, the
-   anchor's windows become edges of their own. No window is left out of this.
+   smallest hash) form one row, which is a path already. Anchors that all stand in documents of
+   one id hold no repeated edge. A row that equals one of a smaller id is a copy in full. Where an
+   anchor has different rows, the first document of each also gives its windows as edges of their
+   own, since one row may share a part with another. No window is left out of this.
 2. *Compaction.* An edge or path that always goes on into the same next one, which occurs as
    often, has a nonbranching node behind it: both become one path. Joins find these links, and
    further joins double their reach until every path has its whole length. All copies of a path
@@ -32,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagewright.llm.frames import id_type, map_texts, raw_bytes, written
@@ -90,17 +91,14 @@ class Edges:
         whole = mixed(self._hashes.ranges(self.first, ends) + self.offset.astype(_U64))
         return self.core[self.first], whole, (self.first << 2 * _BITS) | (self.count << _BITS) | self.offset
 
-    def pieces(self, places: np.ndarray, single: np.ndarray) -> list[np.ndarray]:
-        """Paths and edges of the wanted rows: core, key, own edge, next core, next edge, first, size; -1 for no next."""
-        rows = np.searchsorted(self.first, places >> 2 * _BITS)
-        whole = self.rows()[1][rows]
-        size = np.where(single, 1, self.count[rows])
-        number = np.where(single, self.count[rows], 1)
-        first = np.repeat(self.first[rows], number) + np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
-        size, single = np.repeat(size, number), np.repeat(single, number)
-        key = np.where(single, self.edge[first], np.repeat(whole, number))
-        after = np.minimum(first + size, len(self.edge) - 1)
-        return [self.core[first], key, self.edge[first], self.core[after], self.edge[after], first, size, first + size < len(self.edge)]
+    def single(self, places: np.ndarray) -> list[np.ndarray]:
+        """Each edge of the wanted rows: core, edge, next core, next edge, first, and whether the next one is wanted too."""
+        wanted = np.zeros(len(self.first), bool)
+        wanted[np.searchsorted(self.first, places >> 2 * _BITS)] = True
+        each = np.append(np.repeat(wanted, self.count), False)
+        first = np.flatnonzero(each)
+        after = np.minimum(first + 1, len(self.edge) - 1)
+        return [self.core[first], self.edge[first], self.core[after], self.edge[after], first, each[first + 1]]
 
 
 def _long(values: np.ndarray) -> pa.Array:
@@ -115,9 +113,10 @@ def _texts(docs: DataFrame, id_col: str, text_col: str, row: Column | None = Non
 
 
 def _repeated_rows(texts: DataFrame, window: int, seed: int) -> DataFrame:
-    """id, twin, places: packed rows of edges whose anchor also stands in a document of another id.
+    """Rows whose anchor also stands in a document of another id: id, twin, core, whole, place, path, split.
 
-    A row that is not equal to all others of its anchor comes as ``-1 - place``.
+    ``path``: an equal row stands in a document of another id. ``split``: the anchor has other
+    rows too, and this is one of the first document with such a row.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,45 +136,60 @@ def _repeated_rows(texts: DataFrame, window: int, seed: int) -> DataFrame:
         F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high"), (F.min("whole") == F.max("whole")).alias("equal")
     )
     anchors = written(anchors.where("low < high").select("core", "n", "equal"), "graph-anchors")
-    met = lookup_join(named.drop("whole"), anchors.drop("n"), ["core"], heavy_keys(anchors, "core", "n")).where("equal is not null")
-    place = F.when(F.col("equal"), F.col("place")).otherwise(-1 - F.col("place"))
-    return met.groupBy("id", "twin").agg(F.collect_set(place).alias("places"))
-
-
-def _pieces(texts: DataFrame, wanted: DataFrame, window: int, seed: int) -> DataFrame:
-    """Occurrences of paths and edges: id, twin, core, edge (their key), own, next_core, next_edge, first, size."""
+    hot = heavy_keys(anchors, "core", "n")
+    met = written(lookup_join(named, anchors.drop("n"), ["core"], hot).where("equal is not null"), "graph-repeated")
+    wholes = met.where("not equal").groupBy("core", "whole").agg(F.min("id").alias("low"), F.max("id").alias("high"))
+    told = lookup_join(met.where("not equal"), wholes, ["core", "whole"], hot)
+    columns = ["id", "twin", "core", "whole", "place"]
+    some = told.select(*columns, (F.col("low") < F.col("high")).alias("path"), (F.col("id") == F.col("low")).alias("split"))
+    return some.union(met.where("equal").select(*columns, F.lit(True), F.lit(False)))
+
+
+def _pieces(texts: DataFrame, window: int, seed: int) -> DataFrame:
+    """Occurrences of paths and edges: id, twin, core, edge (their key), next_core, next_edge, first, size."""
+    repeated = written(_repeated_rows(texts, window, seed), "graph-told")
+    names = ["core", "edge", "next_core", "next_edge", "first"]
+
+    # Dealt out by document, where repeated rows of the table are dropped and neighbours meet.
+    by_place = Window.partitionBy("id", "twin").orderBy("place")
+    paths = repeated.where("path").repartition("id", "twin").dropDuplicates(["id", "twin", "place"])
+    first, count = F.shiftright("place", 2 * _BITS), F.shiftright("place", _BITS).bitwiseAND((1 << _BITS) - 1)
+    follows = F.lead(first).over(by_place) == first + count
+    paths = paths.select(
+        "id", "twin", "core", F.col("whole").alias("edge"), *(F.when(follows, F.lead(c).over(by_place)).alias(n) for c, n in (("core", "next_core"), ("whole", "next_edge"))), first.alias("first"), count.alias("size")
+    )
+
+    wanted = repeated.where("split").groupBy("id", "twin").agg(F.collect_set("place").alias("places"))
     same = (texts["id"] == wanted["id"]) & (texts["twin"] == wanted["twin"])
     joined = texts.join(wanted, same).select(texts["id"], texts["twin"], "text", "places")
-    names = ["core", "edge", "own", "next_core", "next_edge", "first", "size"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = []
-            for raw, places in zip(raw_bytes(batch.column("text")), batch.column("places").to_pylist(), strict=True):
-                told = np.sort(np.array(places, np.int64))
-                parts.append(Edges(raw, window, seed).pieces(np.where(told < 0, -1 - told, told), told < 0))
+            told = zip(raw_bytes(batch.column("text")), batch.column("places").to_pylist(), strict=True)
+            parts = [Edges(raw, window, seed).single(np.array(places, np.int64)) for raw, places in told]
             at = pa.array(np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts]))
             columns = [np.concatenate(p) for p in zip(*parts, strict=True)]
             goes_on = pa.array(columns.pop())
             arrays = [_long(c) for c in columns]
-            for k in (3, 4):
+            for k in (2, 3):
                 arrays[k] = pc.if_else(goes_on, arrays[k], pa.scalar(None, pa.int64()))
             yield pa.RecordBatch.from_arrays([batch.column("id").take(at), batch.column("twin").take(at), *arrays], ["id", "twin", *names])
 
     schema = f"id {id_type(texts, 'id')}, twin bigint, " + ", ".join(f"{n} bigint" for n in names)
-    inputs = {c: F.col(c) for c in ("id", "twin", "text", "places")}
-    return written(map_texts(joined, inputs, schema, cut), "graph-pieces")
+    edges = map_texts(joined, {c: F.col(c) for c in ("id", "twin", "text", "places")}, schema, cut)
+    return written(paths.union(edges.withColumn("size", F.lit(1).cast("bigint"))), "graph-pieces")
 
 
 def compacted(graph: DataFrame) -> DataFrame:
     """Whole paths of a graph: the key (core, edge) of the first piece, its source, n, and all edges in ``size``.
 
-    ``graph`` holds each different piece once: core, edge, own, source, n (occurrences), size,
-    next_core and next_edge (null unless every occurrence goes on into that edge). A link leads to
-    the piece that starts with that edge, if it occurs as often.
+    ``graph`` holds each different piece once: core, edge, source, n (occurrences), size, next_core
+    and next_edge (null unless every occurrence goes on into that piece). A link leads to the next
+    piece if that occurs as often.
     """
-    after = graph.select(F.col("core").alias("next_core"), F.col("own").alias("next_edge"), "n", F.col("edge").alias("to_edge"))
-    links = written(graph.join(after, ["next_core", "next_edge", "n"]).select("core", "edge", F.col("next_core").alias("to_core"), "to_edge"), "graph-links")
+    after = graph.select(F.col("core").alias("next_core"), F.col("edge").alias("next_edge"), "n")
+    met = graph.join(after, ["next_core", "next_edge", "n"], "left_semi")
+    links = written(met.select("core", "edge", F.col("next_core").alias("to_core"), F.col("next_edge").alias("to_edge")), "graph-links")
     heads = graph.join(links.select(F.col("to_core").alias("core"), F.col("to_edge").alias("edge")), ["core", "edge"], "left_anti")
     # Of each linked piece: the edges from it to the piece it points to, which is not counted;
     # and of each piece whose end is known, the edges up to there. A round doubles the reach.
@@ -198,19 +212,18 @@ def compacted(graph: DataFrame) -> DataFrame:
 
 def _paths(texts: DataFrame, window: int, seed: int) -> DataFrame:
     """Copies and sources of all repeated paths: id, twin, core, edge, start, end (in words), source."""
-    pieces = _pieces(texts, _repeated_rows(texts, window, seed), window, seed)
+    pieces = _pieces(texts, window, seed)
     each = pieces.groupBy("core", "edge").agg(
         F.min("id").alias("source"),
         F.max("id").alias("last"),
         F.count("*").alias("n"),
         F.count("next_edge").alias("followed"),
         *(f("next_" + c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("core", "edge")),
-        F.min("own").alias("own"),
         F.min("size").alias("size"),
     )
     always = (F.col("followed") == F.col("n")) & (F.col("min_core") == F.col("max_core")) & (F.col("min_edge") == F.col("max_edge"))
     graph = each.where("source < last").select(
-        "core", "edge", "own", "source", "n", "size", *(F.when(always, F.col(f"min_{c}")).alias(f"next_{c}") for c in ("core", "edge"))
+        "core", "edge", "source", "n", "size", *(F.when(always, F.col(f"min_{c}")).alias(f"next_{c}") for c in ("core", "edge"))
     )
     paths = written(compacted(written(graph, "graph")), "graph-paths")
     hot = heavy_keys(paths.groupBy("core").agg(F.sum("n").alias("n")), "core", "n")

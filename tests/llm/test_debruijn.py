@@ -86,16 +86,16 @@ def test_copies_are_compacted_to_one_path(spark):
 
 def test_branches_end_paths(spark):
     graph = [("A", "B", 2), ("B", "C", 2), ("C", None, 2), ("D", "E", 3), ("E", "F", 2), ("F", None, 2), ("G", None, 5)]
-    rows = [(ord(a), ord(a), ord(a), 1, n, 2, b and ord(b), b and ord(b)) for a, b, n in graph]
-    schema = "core long, edge long, own long, source long, n long, size long, next_core long, next_edge long"
+    rows = [(ord(a), ord(a), 1, n, 2, b and ord(b), b and ord(b)) for a, b, n in graph]
+    schema = "core long, edge long, source long, n long, size long, next_core long, next_edge long"
     found = debruijn.compacted(spark.createDataFrame(rows, schema)).collect()
     assert sorted((chr(x.core), x.size) for x in found) == [("A", 6), ("D", 2), ("E", 4), ("G", 2)]
 
 
 def test_long_chains_have_their_whole_length(spark):
-    rows = [(c * 100 + k, 7, c * 100 + k, c, 2, k + 1, None if k == n - 1 else c * 100 + k + 1, None) for c, n in ((1, 1), (2, 2), (3, 7), (4, 8), (5, 37)) for k in range(n)]
-    schema = "core long, edge long, own long, source long, n long, size long, next_core long, next_edge long"
-    graph = spark.createDataFrame(rows, schema).withColumns({"own": F.lit(7), "next_edge": F.when(F.col("next_core").isNotNull(), 7)})
+    rows = [(c * 100 + k, 7, c, 2, k + 1, None if k == n - 1 else c * 100 + k + 1, None) for c, n in ((1, 1), (2, 2), (3, 7), (4, 8), (5, 37)) for k in range(n)]
+    schema = "core long, edge long, source long, n long, size long, next_core long, next_edge long"
+    graph = spark.createDataFrame(rows, schema).withColumn("next_edge", F.when(F.col("next_core").isNotNull(), 7))
     found = debruijn.compacted(graph.select(*(F.col(c).cast("long") for c in graph.columns))).collect()
     assert sorted((x.core, x.size) for x in found) == [(c * 100, n * (n + 1) // 2) for c, n in ((1, 1), (2, 2), (3, 7), (4, 8), (5, 37))]
 
