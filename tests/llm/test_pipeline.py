@@ -62,7 +62,7 @@ def test_pipeline_equals_brute_force_stage_by_stage(spark, tmp_path):
     assert sorted(results["near_duplicates"]) == sorted(c[0] for c in classes)
     assert 200 not in results["near_duplicates"] and 201 not in results["near_duplicates"]
 
-    want = {i: digest for i, _, _, _, digest in repeats(sorted(results["near_duplicates"].items()), 400)}
+    want = {i: digest for i, _, _, _, digest in repeats(sorted(results["near_duplicates"].items()), corpus_pipeline.REPEAT_BYTES)}
     got = {i: hashlib.sha256((t or "").encode()).hexdigest() for i, t in results["repeats"].items()}
     assert got == want
     assert all(passage not in (t or "") for t in results["repeats"].values())
