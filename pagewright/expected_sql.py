@@ -2,7 +2,26 @@
 
 from __future__ import annotations
 
-from pagewright.functions.text import STOP_WORDS, WHITESPACE
+# Fixed values, stated here a second time on purpose, in their usual order: an error in the
+# library's own lists shows as a difference.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x20\x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+STOP_WORDS = """
+i me my myself we our ours ourselves you you're you've you'll you'd your yours yourself
+yourselves he him his himself she she's her hers herself it it's its itself they them
+their theirs themselves what which who whom this that that'll these those am is are was
+were be been being have has had having do does did doing a an the and but if or because
+as until while of at by for with about against between into through during before after
+above below to from up down in out on off over under again further then once here there
+when where why how all any both each few more most other some such no nor not only own
+same so than too very s t can will just don don't should should've now d ll m o re ve y
+ain aren aren't couldn couldn't didn didn't doesn doesn't hadn hadn't hasn hasn't haven
+haven't isn isn't ma mightn mightn't mustn mustn't needn needn't shan shan't shouldn
+shouldn't wasn wasn't weren weren't won won't wouldn wouldn't
+""".split()
 
 PAGE_DATE = "strftime(DATE '2020-01-01' + (page_id % 365)::INT, '%Y-%m-%d')"
 

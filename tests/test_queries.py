@@ -71,6 +71,30 @@ def test_entry_imports_without_the_optional_parts(tmp_path):
     assert out.stdout.split() == [str(len(QUERIES)), str(len(EXPECTED))]
 
 
+@pytest.mark.parametrize("library", ["ahocorasick", "xxhash", "public_tokenizers"])
+def test_entry_imports_without_a_library_of_the_optional_parts(library):
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.abspath(entry_points.__file__))
+    told = f"import sys; sys.modules['{library}'] = None; import __spark_entry__ as e; assert e.queries().keys() >= set(e.QUERIES)"
+    subprocess.run([sys.executable, "-c", told], cwd=root, check=True)
+
+
+def test_a_missing_part_of_the_core_is_an_error(tmp_path):
+    import os
+    import shutil
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.abspath(entry_points.__file__))
+    shutil.copy(f"{root}/__spark_entry__.py", tmp_path)
+    shutil.copytree(f"{root}/pagewright", tmp_path / "pagewright", ignore=shutil.ignore_patterns("skew.py", "__pycache__"))
+    out = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; e.queries()"], cwd=tmp_path, capture_output=True, text=True)
+    assert out.returncode and "pagewright.operators.skew" in out.stderr
+
+
 @pytest.mark.parametrize(
     "name, keys",
     [
