@@ -86,29 +86,32 @@ with texts as (
     select row_id, i from (select *, count(*) over (partition by row_id, run) as n from runs) where n > 1
 ), repeated as (
     select row_id, count(distinct p) as n from (select row_id, unnest(range(i, i + 8)) as p from twice) group by row_id
+), base as (
+    select c.*, coalesce(r.n, 0)::bigint as n_repeat_words,
+           c.n_words < 20 or 100 * coalesce(r.n, 0) > 30 * c.n_words as base_failed
+    from counted c left join repeated r using (row_id)
+), sound as (
+    select * from base where lang is not null and not base_failed
+), sizes as (
+    select lang, count(*) >= 20 as counts from sound group by lang having sum(n_words) >= 100
 ), refs as (
     select lang, list(s order by k) as words
-    from (select lang, k, sum(common[k]) as s from (select lang, common, unnest(range(1, len(common) + 1)) as k from counted) where lang is not null group by lang, k) group by lang
+    from (select lang, k, sum(common[k]) as s from (select lang, common, unnest(range(1, len(common) + 1)) as k from sound) group by lang, k) group by lang
 ), char_refs as (
     select lang, list(s order by k) as chars
-    from (select lang, k, sum(chars[k]) as s from (select lang, chars, unnest(range(1, 8)) as k from counted) where lang is not null group by lang, k) group by lang
-), shares as (
-    select lang from documents where lang is not null group by lang having count(*) >= 0.01 * (select count(*) from documents)
+    from (select lang, k, sum(chars[k]) as s from (select lang, chars, unnest(range(1, 8)) as k from sound) group by lang, k) group by lang
 ), distances as (
-    select c.row_id, c.word_chars, c.n_words, r.lang,
+    select c.row_id, c.word_chars, c.n_words, c.lang as own, r.lang, s.counts, (select bool_or(counts) from sizes) as any_counts,
            {_js("c.chars", "h.chars")} as by_char, {_js("c.common", "r.words")} as by_word
-    from counted c, refs r join char_refs h using (lang) join shares using (lang) where c.n_words > 0
+    from counted c, refs r join char_refs h using (lang) join sizes s using (lang) where c.n_words > 0
 ), verdicts as (
-    select row_id, bool_or((word_chars < 400 or by_char <= 0.25) and (n_words < 100 or by_word <= 0.3)) as near,
+    select row_id, bool_or(near_char and near_word and (counts or not any_counts))
+               or (any_value(own) is not null and not bool_or(counts and lang is not distinct from own) and bool_or(near_char and counts)) as near,
            min(by_char + by_word) as least
-    from distances group by row_id
+    from (select *, word_chars < 400 or by_char <= 0.25 as near_char, n_words < 100 or by_word <= 0.3 as near_word from distances) group by row_id
 ), nearest as (
     select d.row_id, arg_min(d.by_char, d.lang) as by_char, arg_min(d.by_word, d.lang) as by_word
     from distances d join verdicts v on d.row_id = v.row_id and d.by_char + d.by_word = v.least group by d.row_id
-), base as (
-    select c.*, coalesce(r.n, 0)::bigint as n_repeat_words,
-           c.n_words < 20 or 100 * coalesce(r.n, 0) > 30 * c.n_words as base_failed
-    from counted c left join repeated r using (row_id)
 )
 select b.doc_id, b.n_words, b.word_chars, b.n_symbols, b.n_dup_lines, b.n_repeat_words, b.base_failed,
        not b.base_failed and coalesce(v.near, true) as kept,

@@ -7,10 +7,15 @@ their limits. Short documents say little about a distribution, so each test has
 passes below a least number of characters or words.
 
 One pass over the texts writes the histograms to the shared folder; the references and the
-verdict read that small table. Every language has a reference, whatever its share of the
-documents, if its documents have at least ``reference_words`` words together: fewer say as
-little about a distribution as a short document does. The references are one small aggregated
-row, one entry for each language, which is broadcast.
+verdict read that small table. A reference is made of the documents of a language that pass the
+base rules, whatever their share of all documents, if they have at least ``reference_words`` words
+together: fewer say as little about a distribution as a short document does. The references are
+one small aggregated row, one entry for each language, which is broadcast.
+
+A document must not vouch for itself. So only references of at least ``reference_docs`` documents
+count for a verdict. A document of a language with fewer is judged by its characters alone, next
+to any reference that counts, as nothing is known of its words. Where no reference has as many
+documents, all of them count.
 
 Defined cases: a null, empty or blank text has no words and fails the base rules; documents
 without a language do not add to a reference but are compared with all; without any
@@ -53,6 +58,7 @@ class Limits:
     least_chars: int = 400
     least_words: int = 100
     reference_words: int = 100
+    reference_docs: int = 20
 
 
 def _repeat_words(words: Column) -> Column:
@@ -127,8 +133,8 @@ def histograms(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> Da
     )
 
 
-def references(counted: DataFrame, least_words: int) -> DataFrame:
-    """One row with ``refs``: (lang, character shares, word shares) of each language with enough words."""
+def references(counted: DataFrame, least_words: int, least_docs: int) -> DataFrame:
+    """One row with ``refs``: (lang, character shares, word shares, whether it counts) of each language with enough words."""
 
     def shares(prefix: str, size: int) -> Column:
         total = F.aggregate(F.array(*(F.col(f"{prefix}{k}") for k in range(size))), F.lit(0).cast("bigint"), lambda a, x: a + x)
@@ -137,12 +143,18 @@ def references(counted: DataFrame, least_words: int) -> DataFrame:
     n_chars, n_words = 7, len(COMMON_WORDS) + 1
     sums = [F.sum(F.get("chars", F.lit(k))).alias(f"c{k}") for k in range(n_chars)]
     sums += [F.sum(F.get("common", F.lit(k))).alias(f"w{k}") for k in range(n_words)]
-    rows = counted.where("lang is not null").groupBy("lang").agg(F.sum("n_words").alias("n"), *sums)
+    sound = counted.where(F.col("lang").isNotNull() & ~_base_failed())
+    rows = sound.groupBy("lang").agg(F.sum("n_words").alias("n"), F.count("*").alias("docs"), *sums)
     enough = rows.where(F.col("n") >= max(least_words, 1))
-    entry = F.struct("lang", shares("c", n_chars).alias("chars"), shares("w", n_words).alias("words"))
+    counts = (F.col("docs") >= least_docs).alias("counts")
+    entry = F.struct("lang", shares("c", n_chars).alias("chars"), shares("w", n_words).alias("words"), counts)
     return enough.agg(F.sort_array(F.collect_list(entry)).alias("refs"))
 
 
+def _base_failed() -> Column:
+    return (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+
+
 def js_distance(counts: Column, total: Column, reference: Column) -> Column:
     """Jensen-Shannon distance, base 2, of counts from a reference distribution."""
 
@@ -162,9 +174,9 @@ def judged(
     on a tie); null for a document without words or where there is no reference.
     """
     counted = written(histograms(docs, id_col, text_col, lang_col), "quality")
-    refs = written(references(counted, limits.reference_words), "quality-references")
-    base_failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    shape = "array<struct<word:double,char:double,lang:string>>"
+    refs = written(references(counted, limits.reference_words, limits.reference_docs), "quality-references")
+    base_failed = _base_failed()
+    shape = "array<struct<word:double,char:double,lang:string,counts:boolean>>"
     all_chars = F.aggregate("chars", F.lit(0).cast("bigint"), lambda a, x: a + x)
     to_each = F.transform(
         "refs",
@@ -172,6 +184,7 @@ def judged(
             js_distance(F.col("common"), F.col("n_words"), r["words"]).alias("word"),
             js_distance(F.col("chars"), F.col("all_chars"), r["chars"]).alias("char"),
             r["lang"].alias("lang"),
+            r["counts"].alias("counts"),
         ),
     )
     measured = counted.crossJoin(F.broadcast(refs)).withColumn("all_chars", all_chars).withColumn(
@@ -179,7 +192,12 @@ def judged(
     )
     near_chars = lambda d: (F.col("word_chars") < limits.least_chars) | (d["char"] <= limits.char_distance)
     near_words = lambda d: (F.col("n_words") < limits.least_words) | (d["word"] <= limits.word_distance)
-    near = F.exists("distances", lambda d: near_chars(d) & near_words(d)) | (F.size("distances") == 0)
+    any_counts = F.exists("refs", lambda r: r["counts"])
+    own_counts = F.exists("refs", lambda r: r["counts"] & (r["lang"] == F.col("lang")))
+    near = F.exists("distances", lambda d: near_chars(d) & near_words(d) & (d["counts"] | ~any_counts)) | (F.size("distances") == 0)
+    # F.exists is null where nothing matches and the language is null.
+    unknown = F.col("lang").isNotNull() & ~F.coalesce(own_counts, F.lit(False))
+    near = near | (unknown & F.exists("distances", lambda d: near_chars(d) & d["counts"]))
     nearest = F.get(
         F.sort_array(
             F.transform("distances", lambda d: F.struct((d["word"] + d["char"]).alias("sum"), d["lang"].alias("lang"), d["char"].alias("char"), d["word"].alias("word")))

@@ -74,3 +74,20 @@ def test_many_even_languages_do_not_switch_the_test_off(spark):
     rows.append((900, " ".join(f"w{i}#%&$#{i * 7}%%" for i in range(240)), None))
     got = {r.doc_id: r for r in quality.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
     assert got[0].kept and not got[900].base_failed and not got[900].kept
+
+
+def test_junk_does_not_vouch_for_itself(spark):
+    """Neither a junk row under a language of its own nor one that finds that row next to it."""
+    junk = " ".join(f"w{i}#%&$#{i * 7}%%" for i in range(300))
+    prose = [(i, prose_of("word", "the"), "en") for i in range(60)]
+    schema = "doc_id long, text string, lang string"
+    for more in ([(900, junk, "en")], [(900, junk, "en"), (901, junk + " more", "zz")]):
+        got = {r.doc_id: r for r in quality.judged(spark.createDataFrame(prose + more, schema)).collect()}
+        assert got[0].kept and not any(got[k].kept or got[k].base_failed for k, _, _ in more)
+
+
+def test_rows_that_fail_the_base_rules_make_no_reference(spark):
+    junk = "buy now # " * 60
+    rows = [(i, prose_of("word", "the"), "en") for i in range(30)] + [(100 + i, junk, "zz") for i in range(40)] + [(200, " ".join(f"#{i} now" for i in range(150)), None)]
+    got = {r.doc_id: r for r in quality.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert got[100].base_failed and not got[200].base_failed and not got[200].kept and got[0].kept
