@@ -4,9 +4,14 @@ A text's n-grams of one to three characters, in lower case, with digits and sign
 are hashed into ``1 << BITS`` features; their weights are 1 + log(count) times idf, scaled to
 length one. Document frequencies are counted over all training documents. The weights of the
 classes are learned by follow-the-regularised-leader with an elastic-net penalty, whose l1
-part leaves most of them at zero, from at most ``train_docs`` training documents taken by a
-hash of their id. Other ``calibration_docs`` documents then give the temperature that makes
-the scores honest probabilities.
+part leaves most of them at zero, from a sample of training documents: of each language at most
+``language_docs``, and fewer where all languages together would have more than ``sample_docs``,
+taken by a hash of their id. So a rare language is learned from what there is of it, however
+large the others are. One document in ``calibration_part`` of each language's sample is not learned
+from but gives the temperature that makes the scores honest probabilities.
+
+A language is learned if it is among the ``most_languages`` with the most training documents
+(ties by name); a warning tells if there are more.
 
 Learned from rows that are not held out and have a language; a held-out row's language is
 never read. Texts are scored whole.
@@ -20,13 +25,15 @@ empty tables give empty results; columns other than id, text and language are no
 from __future__ import annotations
 
 import math
+import warnings
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagewright.llm.frames import held_out, id_type, map_texts
@@ -37,15 +44,17 @@ FOLDS, HELD = 3, 1
 BITS = 16
 SIZE = 1 << BITS
 UNDETERMINED = "und"
+SAMPLE_PARTS = 32
 
 
 @dataclass(frozen=True)
 class Settings:
     """Production parameters."""
 
-    train_docs: int = 4000
-    calibration_docs: int = 1000
-    most_languages: int = 200
+    language_docs: int = 1250
+    sample_docs: int = 40_000
+    calibration_part: int = 5
+    most_languages: int = 1000
     epochs: int = 2
     alpha: float = 0.5
     beta: float = 1.0
@@ -90,9 +99,9 @@ def _weighted(at: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray
 class Ftrl:
     """Per-coordinate follow-the-regularised-leader for a softmax over classes."""
 
-    def __init__(self, classes: int, settings: Settings) -> None:
-        self.z = np.zeros((SIZE + 1, classes))
-        self.n = np.zeros((SIZE + 1, classes))
+    def __init__(self, size: int, classes: int, settings: Settings) -> None:
+        self.z = np.zeros((size, classes))
+        self.n = np.zeros((size, classes))
         self.settings = settings
 
     def weights(self, at: np.ndarray | slice) -> np.ndarray:
@@ -114,13 +123,25 @@ class Ftrl:
 
 @dataclass
 class Model:
+    """``rows`` are the features that have a weight for some language, ``values`` their weights; the last row is the constant."""
+
     languages: list[str]
     idf: np.ndarray
-    weights: np.ndarray
+    rows: np.ndarray
+    values: np.ndarray
     temperature: float = 1.0
 
+    @property
+    def weights(self) -> np.ndarray:
+        """Weights of all features, and of the constant at ``SIZE``."""
+        dense = np.zeros((SIZE + 1, len(self.languages)))
+        dense[np.append(self.rows, SIZE)] = self.values
+        return dense
+
     def logits(self, at: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        return _weighted(at, counts, self.idf) @ self.weights[at] + self.weights[SIZE]
+        place = np.searchsorted(self.rows, at)
+        known = np.flatnonzero(np.append(self.rows, -1)[place] == at)
+        return _weighted(at, counts, self.idf)[known] @ self.values[place[known]] + self.values[-1]
 
     def predict(self, text: str | None) -> tuple[str, float]:
         found = feature_counts(text) if text else None
@@ -185,29 +206,55 @@ def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, settings:
             yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(ats, pa.binary()), pa.array(values, pa.binary())], ["lang", "at", "counts"])
 
     # A document has at most SIZE features, so what comes to the driver is bounded by the parameters.
-    most = settings.train_docs + settings.calibration_docs
-    keys = rows.select(F.col("id").alias("of_id"), F.xxhash64("text").alias("of_text"), F.col("lang").alias("of_lang")).distinct()
-    chosen = keys.orderBy(F.xxhash64("of_id"), "of_id", "of_text", "of_lang").limit(most)
-    same = F.col("id").eqNullSafe(F.col("of_id")) & (F.xxhash64("text") == F.col("of_text")) & (F.col("lang") == F.col("of_lang"))
-    taken = rows.join(F.broadcast(chosen), same)
+    taken = rows.join(F.broadcast(_chosen(rows, settings)), F.col("id").eqNullSafe(F.col("of_id")) & (F.xxhash64("text") == F.col("of_text")) & (F.col("lang") == F.col("of_lang")))
     made = map_texts(taken, {"text": F.col("text"), "lang": F.col("lang")}, "lang string, at binary, counts binary", vectors)
     sample = made.distinct().toArrow().to_pylist()
     # An order that follows neither language nor id.
     sample.sort(key=lambda r: (xxhash.xxh3_64_intdigest(r["at"] + r["counts"]), r["lang"]))
-    languages = sorted({r["lang"] for r in sample})[: settings.most_languages]
+    return learned([(np.frombuffer(r["at"], np.int32), np.frombuffer(r["counts"], np.int32), r["lang"]) for r in sample], idf, settings)
+
+
+def _chosen(rows: DataFrame, settings: Settings) -> DataFrame:
+    """(of_id, of_text, of_lang): the sample, at most ``language_docs`` of each language."""
+    by_count = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(settings.most_languages + 1)
+    languages = [r.lang for r in by_count.collect()]
+    if len(languages) > settings.most_languages:
+        warnings.warn(f"only the {settings.most_languages} languages with the most documents are learned", stacklevel=2)
+        languages.pop()
+    quota = max(1, min(settings.language_docs, settings.sample_docs // max(1, len(languages))))
+    known = rows.sparkSession.createDataFrame([(x,) for x in languages], "of_lang string")
+    keys = rows.select(F.col("id").alias("of_id"), F.xxhash64("text").alias("of_text"), F.col("lang").alias("of_lang")).distinct()
+    keys = keys.join(F.broadcast(known), "of_lang")
+    # A language may hold most documents: it is thinned out in parts first.
+    order = [F.xxhash64("of_id"), "of_id", "of_text"]
+    parts = keys.withColumn("part", F.pmod(F.xxhash64("of_text"), F.lit(SAMPLE_PARTS)))
+    some = parts.withColumn("place", F.row_number().over(Window.partitionBy("of_lang", "part").orderBy(*order))).where(F.col("place") <= quota)
+    ranked = some.withColumn("place", F.row_number().over(Window.partitionBy("of_lang").orderBy(*order))).where(F.col("place") <= quota)
+    return ranked.select("of_id", "of_text", "of_lang")
+
+
+def learned(sample: list[tuple[np.ndarray, np.ndarray, str]], idf: np.ndarray, settings: Settings) -> Model:
+    """The model of (features, counts, language) rows; the first ones of each language are for calibration."""
+    languages = sorted({lang for _, _, lang in sample})
     number = {lang: k for k, lang in enumerate(languages)}
-    data = [(np.frombuffer(r["at"], np.int32), np.frombuffer(r["counts"], np.int32), number[r["lang"]]) for r in sample if r["lang"] in number]
-    if not data:
-        return Model([], idf, np.zeros((SIZE + 1, 0)))
-    held = min(settings.calibration_docs, len(data) // 5)
-    learner = Ftrl(len(languages), settings)
+    if not sample:
+        return Model([], idf, np.zeros(0, np.int64), np.zeros((1, 0)))
+    left = {lang: n // settings.calibration_part for lang, n in Counter(lang for _, _, lang in sample).items()}
+    training, held = [], []
+    for row in sample:
+        (held if left[row[2]] else training).append(row)
+        left[row[2]] = max(0, left[row[2]] - 1)
+    used = np.unique(np.concatenate([at for at, _, _ in sample]))
+    learner = Ftrl(len(used) + 1, len(languages), settings)
     for _ in range(settings.epochs):
-        for at, counts, label in data[held:]:
-            learner.learn(np.append(at, SIZE), np.append(_weighted(at, counts, idf), 1.0), label)
-    model = Model(languages, idf, learner.weights(slice(None)))
+        for at, counts, lang in training:
+            learner.learn(np.append(np.searchsorted(used, at), len(used)), np.append(_weighted(at, counts, idf), 1.0), number[lang])
+    weights = learner.weights(slice(None))
+    some = np.flatnonzero((weights[:-1] != 0).any(1))
+    model = Model(languages, idf, used[some], weights[np.append(some, len(used))])
     if held and len(languages) > 1:
-        logits = np.array([model.logits(at, counts) for at, counts, _ in data[:held]])
-        model.temperature = temperature_for(logits, np.array([label for _, _, label in data[:held]]))
+        logits = np.array([model.logits(at, counts) for at, counts, _ in held])
+        model.temperature = temperature_for(logits, np.array([number[lang] for _, _, lang in held]))
     return model
 
 
