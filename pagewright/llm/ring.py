@@ -100,30 +100,27 @@ def ring_shards(rows: DataFrame, key: str, shards: int, points: int = POINTS, ce
     position = F.xxhash64(F.col(f"row.`{key}`")).bitwiseAND(F.lit(0xFFFFFFFF))
     salted = named.select("row", position.alias("position"), F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).alias("salt"))
     # Which salt an equal row gets may change when a lost task runs again; the written table fixes it.
-    counted = written(salted.groupBy("row", "position", "salt").agg(F.count("*").alias("copies")), "ring")
-    total = counted.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
-    cells = max(1, -(-total // (len(ring.owners) * cell_rows)))
+    counted = salted.groupBy("row", "position", "salt").agg(F.count("*").alias("copies"))
 
     shape = f"struct<{', '.join(f'`{c}`:{t}' for c, t in rows.dtypes)}>"
-    schema = f"row {shape}, position bigint, salt bigint, copies bigint, arc int, cell bigint"
-    inputs = {name: F.col(name) for name in ("row", "position", "salt", "copies")}
-    inputs["cell"] = F.pmod(F.xxhash64("row", "salt"), F.lit(cells))
+    names = ["row", "position", "salt", "copies"]
 
     def with_arcs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             arcs = ring.arcs(batch.column("position").to_numpy())
-            arrays = [batch.column(name) for name in ("row", "position", "salt", "copies")]
-            yield pa.RecordBatch.from_arrays(
-                [*arrays, pa.array(arcs, pa.int32()), batch.column("cell")],
-                ["row", "position", "salt", "copies", "arc", "cell"],
-            )
+            yield pa.RecordBatch.from_arrays([*(batch.column(name) for name in names), pa.array(arcs, pa.int32())], [*names, "arc"])
 
-    placed = map_texts(counted, inputs, schema, with_arcs)
-    per_cell = placed.groupBy("arc", "cell").agg(F.sum("copies").alias("n"))
-    per_cell = written(per_cell, "ring-cells")
+    schema = f"row {shape}, position bigint, salt bigint, copies bigint, arc int"
+    located = written(map_texts(counted, {name: F.col(name) for name in names}, schema, with_arcs), "ring")
     totals = [0] * len(ring.owners)
-    for row in per_cell.groupBy("arc").agg(F.sum("n").alias("n")).collect():
+    cells = []
+    for row in located.groupBy("arc").agg(F.sum("copies").alias("n"), F.count("*").alias("rows")).collect():
         totals[row.arc] = row.n
+        cells.append((row.arc, -(-row["rows"] // cell_rows)))
+    # A row for each arc at most. The arc of a key that has a third of all rows gets as many more cells.
+    of_arc = F.broadcast(spark.createDataFrame(cells, "arc int, cells bigint"))
+    placed = located.join(of_arc, "arc").withColumn("cell", F.pmod(F.xxhash64("row", "salt"), F.col("cells"))).drop("cells")
+    per_cell = written(placed.groupBy("arc", "cell").agg(F.sum("copies").alias("n")), "ring-cells")
     pieces = fill(ring.owners, totals, shards)
 
     in_arc = Window.partitionBy("arc").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)

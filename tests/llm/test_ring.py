@@ -53,3 +53,59 @@ def test_fill_follows_the_ring():
     pieces = ring.fill(owners, totals, 3)
     assert pieces[0] == [(0, 0, 0, 0), (3, 1, 1, 1)]
     assert pieces[2] == [(0, 2, 1, 1)]
+
+
+@pytest.mark.parametrize(("shards", "points"), [(5, 4), (16, 256)])
+def test_shards_equal_a_plain_walk_around_the_ring(spark, shards, points):
+    """Row by row: first all rows that fit at home, arc by arc, then the others clockwise."""
+    import hashlib
+
+    from pyspark.sql import functions as F
+
+    rows = spark.range(700).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("doc_id"), "id").repartition(3)
+    got = ring.ring_shards(rows, "doc_id", shards, points=points, cell_rows=5).collect()
+    positions = {r.doc_id: r.p for r in rows.select("doc_id", F.xxhash64("doc_id").bitwiseAND(F.lit(0xFFFFFFFF)).alias("p")).distinct().collect()}
+    placed = {}
+    for s in range(shards):
+        for k in range(points):
+            placed.setdefault(int.from_bytes(hashlib.blake2b(f"{s}/{k}".encode(), digest_size=4).digest(), "big"), s)
+    ends = sorted(placed)
+    arc_of = lambda p: next((k for k, e in enumerate(ends) if e >= p), 0)
+    arcs = [0] * len(ends)
+    for r in got:
+        arcs[arc_of(positions[r.doc_id])] += 1
+        assert r.home == placed[ends[arc_of(positions[r.doc_id])]]
+    room = [len(got) // shards + (s < len(got) % shards) for s in range(shards)]
+    want = Counter()
+    left = []
+    for arc, n in enumerate(arcs):
+        for _ in range(n):
+            home = placed[ends[arc]]
+            if room[home]:
+                room[home] -= 1
+                want[(arc, home)] += 1
+            else:
+                left.append(arc)
+    for arc in left:
+        step = arc
+        while not room[placed[ends[step]]]:
+            step = (step + 1) % len(ends)
+        room[placed[ends[step]]] -= 1
+        want[(arc, placed[ends[step]])] += 1
+    assert Counter((arc_of(positions[r.doc_id]), r.shard) for r in got) == want
+    check(got, shards)
+
+
+def test_a_hot_arc_gets_cells_in_proportion(spark, monkeypatch):
+    """Rows of one key that differ in other columns are ranked in many small windows."""
+    kept = {}
+    written = ring.written
+
+    def noted(df, label):
+        kept[label] = written(df, label)
+        return kept[label]
+
+    monkeypatch.setattr(ring, "written", noted)
+    rows = spark.range(6000).selectExpr("if(id % 2 = 0, 5, id) as doc_id", "id as size")
+    check(ring.ring_shards(rows, "doc_id", 16, points=16, cell_rows=50).collect(), 16)
+    assert max(r.n for r in kept["ring-cells"].collect()) < 3 * 50
