@@ -11,8 +11,21 @@ from pyspark.sql import functions as F
 
 from pagewright.sinks import tables as sink
 
-#: Rows of an Arrow batch: long texts must fit a Python worker many at a time.
-BATCH_ROWS = 1000
+#: Rows and bytes that ``work`` gets at a time: long texts must fit a Python worker many at a time.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+
+
+def small_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in slices of bounded rows and, as far as single rows allow, bytes.
+
+    Spark itself ends a batch at ``spark.sql.execution.arrow.maxBytesPerBatch``, 64 MB unless set.
+    """
+    for batch in batches:
+        step = BATCH_ROWS
+        if batch.nbytes > BATCH_BYTES:
+            step = max(1, min(step, batch.num_rows * BATCH_BYTES // batch.nbytes))
+        for start in range(0, batch.num_rows, step):
+            yield batch.slice(start, step)
 
 
 def map_texts(
@@ -22,8 +35,11 @@ def map_texts(
     work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
 ) -> DataFrame:
     """Run ``work`` over Arrow batches that hold just ``columns`` of ``df``."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    return df.select(*(value.alias(name) for name, value in columns.items())).mapInArrow(work, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return work(small_batches(batches))
+
+    return df.select(*(value.alias(name) for name, value in columns.items())).mapInArrow(run, schema)
 
 
 def raw_bytes(column: pa.Array) -> list[bytes]:

@@ -34,7 +34,8 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.llm.frames import id_type, map_texts, raw_bytes, run_folder
+from pagewright.llm.frames import id_type, map_texts, raw_bytes, run_folder, written
+from pagewright.operators.skew import heavy_keys, lookup_join
 
 DATE = "1970-01-01T00:00:00Z"
 END = b"\r\n\r\n"
@@ -130,8 +131,10 @@ def write_monolithic(
         F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"), F.sha2(payload, 256).alias("sha")
     )
     large = rows.where(F.octet_length("payload") >= least_bytes)
-    first = large.groupBy("sha").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    marked = rows.join(first, "sha", "left")
+    first = large.groupBy("sha").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    first = written(first, "warc-payloads")
+    # Equal payloads may be a third of all pages: they are spread over salts, and so over files.
+    marked = lookup_join(rows, first.drop("n"), ["sha"], heavy_keys(first, "sha", "n"))
     other = F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first")) & (F.octet_length("payload") >= least_bytes)
     marked = marked.select("id", "url", "payload", F.when(other, F.col("first")).alias("refers_to"))
 
@@ -183,8 +186,7 @@ def normalise(spark: SparkSession, source: str, target: str) -> DataFrame:
             )
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(source)
-    # One file in an Arrow batch: a task holds one file's compressed bytes at a time.
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    # Spark ends an Arrow batch at 64 MB: a task holds that much compressed, or one larger file.
     made = files.select("path", "content").mapInArrow(rewrite, "archive string, records bigint, bytes bigint")
     rows = made.collect()  # a row for each archive
     return spark.createDataFrame(rows, "archive string, records bigint, bytes bigint")

@@ -1,3 +1,4 @@
+from pyspark.sql import functions as F
 import gzip
 import json
 import os
@@ -78,3 +79,22 @@ def test_streams_of_any_chunking_and_broken_ones():
         list(warc.records_of(iter([stream[:-3]])))
     with pytest.raises(ValueError):
         list(warc.inflated(gzip.compress(stream)[:-20]))
+
+
+def test_equal_payloads_are_spread_over_files(spark, tmp_path):
+    """Adaptive execution off: the salts alone deal a payload that half of the pages share out over tasks."""
+    pages = spark.range(3000).select(F.col("id").alias("page_id"), F.lit("http://x/").alias("url"), F.when(F.col("id") % 2 == 0, "hot" * 50).otherwise(F.concat(F.lit("p"), "id")).alias("html"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        warc.write_monolithic(pages.repartition(4), f"{tmp_path}/files")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    revisits = spark.read.text(f"{tmp_path}/files").where("value like 'WARC-Type: revisit%'").groupBy(F.input_file_name()).count().collect()
+    assert sum(r["count"] for r in revisits) == 1499 and len(revisits) > 1
+
+
+def test_the_session_keeps_its_settings(spark, tmp_path):
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    pages = spark.createDataFrame([(1, "http://x/", "a")], "page_id long, url string, html string")
+    assert warc.archive_report(pages).count() == 1
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
