@@ -90,3 +90,49 @@ def test_a_block_is_used_before_the_next_is_collected(spark, check_s_like, monke
     docs = check_s_like.select("doc_id", "text")
     decontam.find_contamination(docs, items, block_bytes=250)
     assert steps == ["collect", "write"] * (len(steps) // 2) + ["collect"] and len(steps) > 1
+
+
+def test_a_block_takes_few_bytes(monkeypatch):
+    """Windows are numbers into the block's bytes; equal ones stand there once for all their items."""
+    import pickle
+    import random
+
+    r = random.Random(1)
+    items = [(str(k), " ".join("".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(200)).encode()) for k in range(400)]
+    windows = decontam.WindowSet(items + [("again", items[0][1])], 10)
+    size = sum(len(raw) for _, raw in items)
+    assert len(pickle.dumps(windows)) < 8 * size
+    found = windows.sizes[10]
+    assert len(found["hashes"]) == 400 * 191 and len(found["owners"]) == 401 * 191
+    marks, hits = windows.scan(decontam.Words(b"so " + items[0][1] + b" and"))
+    assert {windows.item_ids[k] for k in hits} == {"0", "again"} and marks.sum() == 200
+
+
+def test_windows_with_equal_hashes_are_told_apart(spark, check_s_like, monkeypatch):
+    """With a hash that is the same for all windows, only the bytes decide."""
+    import numpy as np
+
+    from pagewright.llm.words import Words
+
+    items = [(str(i), (t or "").encode()) for i, t in ITEMS if i is not None]
+    monkeypatch.setattr(Words, "runs", lambda self, n: np.full(max(0, len(self) - n + 1), 7, np.uint64))
+    windows = decontam.WindowSet(items, 10)
+    for doc, text in check_s_like.where("doc_id <> 6").select("doc_id", "text").collect():
+        words = words_of(text)
+        _, hits = windows.scan(Words((text or "").encode()))
+        want = set()
+        for item, raw in items:
+            own = words_of(raw.decode())
+            n = min(10, len(own))
+            inside = {tuple(words[k : k + n]) for k in range(len(words) - n + 1)}
+            if n and any(tuple(own[k : k + n]) in inside for k in range(len(own) - n + 1)):
+                want.add(item)
+        assert {windows.item_ids[k] for k in hits} == want
+
+
+def test_removal_in_many_blocks_equals_one(spark, check_s_like, monkeypatch):
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    one = sorted(map(str, decontam.remove_contamination(check_s_like, items).collect()))
+    blocks = decontam._blocks
+    monkeypatch.setattr(decontam, "_blocks", lambda a, b, c, _: blocks(a, b, c, 100))
+    assert sorted(map(str, decontam.remove_contamination(check_s_like, items).collect())) == one
