@@ -32,11 +32,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.llm.frames import id_type, map_texts
+from pagewright.llm.frames import id_type, map_texts, written
 from pagewright.llm.lexicon import Lexicon, compiled
 
 LEXICON_WORDS = 50_000
 LONGEST_WORD = 64
+#: Steps in which counts are told apart between a power of two and the next.
+COUNT_STEPS = 8
 #: Different words that a task counts before it passes its counts on.
 COUNTED_AT_ONCE = 200_000
 #: Different words whose ids a task keeps at hand.
@@ -203,8 +205,17 @@ def frequent_words(docs: DataFrame, text_col: str, source: str, most: int = LEXI
                 yield flushed()
         yield flushed()
 
-    counted = map_texts(docs, {"text": F.col(text_col).cast("string")}, "word string, n bigint", count)
-    top = counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most)
+    found = map_texts(docs, {"text": F.col(text_col).cast("string")}, "word string, n bigint", count)
+    counted = written(found.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+    # Words below a count that ``most`` others reach are not among the first; few of the others are sent.
+    step = F.floor(F.log2("n") * COUNT_STEPS).cast("int")
+    steps = counted.groupBy(step.alias("step")).agg(F.count("*").alias("words"), F.min("n").alias("least")).collect()
+    least, enough = 1, 0
+    for row in sorted(steps, key=lambda r: -r.step):
+        least, enough = row.least, enough + row.words
+        if enough >= most:
+            break
+    top = counted.where(F.col("n") >= least).orderBy(F.desc("n"), "word").limit(most)
     return [row.word for row in top.collect()]
 
 
