@@ -306,6 +306,12 @@ def expected_sql() -> dict[str, str]:
         "flow_recordings": f"""WITH RECURSIVE {CHUNKS}
             SELECT doc_id, string_agg({_spaces("chunk")}, ' ' ORDER BY chunk_index) AS converted_texts
             FROM chunks GROUP BY ALL""",
+        "flow_segments": f"""WITH RECURSIVE {TURNS.format(key="role", place="conv_id * 1000 + turn")},
+            {_packed("placed", "role", 4000)},
+            chunks AS (SELECT role, chunk_index, string_agg(text, chr(10) ORDER BY rn) AS chunk
+                       FROM carried GROUP BY role, chunk_index)
+            SELECT role, string_agg({_spaces("chunk")}, ' ' ORDER BY chunk_index) AS converted_texts
+            FROM chunks GROUP BY role""",
         "flow_tables": rf"""WITH {SECTIONS}, {QUERY_PAIRS}
             SELECT regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, {URL_COLUMNS},
               nullif(regexp_extract(url, '.*/([^/?]+)', 1), '') AS file_name, url,
@@ -325,6 +331,10 @@ def expected_sql() -> dict[str, str]:
             SELECT d.doc_id, d.dim, round(coalesce(s.value, 0), 6) AS value
             FROM (SELECT doc_id, unnest(range(0, 64)) AS dim FROM documents) d
             LEFT JOIN scaled s ON s.doc_id = d.doc_id AND s.dim = d.dim""",
+        "embed_by_batches": f"""WITH {_vectors("documents", "doc_id")}
+            SELECT d.doc_id, d.dim, round(coalesce(s.value, 0), 6) AS value
+            FROM (SELECT doc_id, unnest(range(0, 64)) AS dim FROM documents) d
+            LEFT JOIN scaled s ON s.doc_id = d.doc_id AND s.dim = d.dim""",
         "flow_embeddings": f"""WITH {SECTIONS},
             {_vectors("expanded", "page_id, section_index, text_index")}
             SELECT e.page_id, e.section_index, e.continuation, e.text_index, e.dim,

@@ -10,6 +10,7 @@ from pagewright.functions import text as X
 from pagewright.functions import urls as U
 from pagewright.operators.content import joined_texts
 from pagewright.operators.landing import attach_content, newest_content
+from pagewright.operators.packing import pack_texts
 from pagewright.operators.transcripts import concat_parts, pack_lines
 from pagewright.operators.words import top_words, word_counts, word_tokens
 from pagewright.sinks import tables as sink
@@ -39,6 +40,14 @@ def recording_transcript(
     return transcript(chunks, key, "chunk_index", "chunk", language)
 
 
+def segments_transcript(
+    segments: DataFrame, key: str, position: str, content: str, budget: int, language: str = "en-US"
+) -> DataFrame:
+    """``recording_transcript`` of recordings whose segments are rows, however many a recording has."""
+    chunks = pack_texts(segments, key, position, content, budget)
+    return transcript(chunks, key, "chunk_index", "chunk", language)
+
+
 # The same flow as three named tables. Each function takes the table it reads.
 
 

@@ -536,6 +536,14 @@ def flow_recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transcript_flow.recording_transcript(recordings, "doc_id", "text", PACK_BUDGET)
 
 
+@query
+def flow_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All that a role says as one recording, packed into chunks, recognized and put together again."""
+    place = (F.col("conv_id") * 1000 + F.col("turn")).alias("place")
+    turns = read_table(spark, sf_dir, "conversations").select("role", place, "text")
+    return transcript_flow.segments_transcript(turns, "role", "place", "text", LONG_BUDGET)
+
+
 @query
 def flow_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _pages(spark, sf_dir)
@@ -589,6 +597,16 @@ def embed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def embed_by_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``embed_text`` with texts of like length encoded together."""
+    vectors = batching.embed_batches(_documents(spark, sf_dir), ["doc_id"])
+    rows = vectors.select("doc_id", F.posexplode(as_rows(F.col("vector"))).alias("dim", "value"))
+    return rows.select(
+        "doc_id", F.col("dim").cast("bigint").alias("dim"), F.round("value", 6).alias("value")
+    )
+
+
 @query
 def flow_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = document_flow.text_embeddings(_pages(spark, sf_dir), ["page_id"])
