@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from functools import lru_cache
 
+import ahocorasick
 import numpy as np
 
 #: Letters of the model: 0 is a word's border, 1-26 are a-z, 27 is any other letter.
@@ -20,6 +22,9 @@ LEET = {
 }
 #: Characters that are put between letters.
 FILLERS = ".-_*~'`^/\\,:;#=·"
+#: Characters that may be put between letters, and those that each letter is written as.
+_FILLS = frozenset(FILLERS + "!|+(")
+_WRITTEN_AS = {letter: "".join(c for c, letters in LEET.items() if letter in letters) for letter in "abcdefghijklmnopqrstuvwxyz"}
 
 # Log probabilities of the ways in which a letter comes to be written.
 PLAIN = math.log(0.95)
@@ -87,7 +92,7 @@ class LetterModel:
             if character.isalpha():
                 choices.append((character, PLAIN))
             choices += [(letter, SWAPPED) for letter in LEET.get(character, "")]
-            filler = FILLER if character in FILLERS or character in "!|+(" else None
+            filler = FILLER if character in _FILLS else None
             for state, (score, path) in paths.items():
                 row = self.logs[state]
                 for letter, cost in choices:
@@ -115,6 +120,141 @@ class LetterModel:
         return "".join(reversed(text))
 
 
+def _readable(written: str) -> bool:
+    """Whether each character is a letter, is written for one, or may be a filler; others leave a word as it is."""
+    return written.isalpha() or all(c.isalpha() or c in LEET or c in _FILLS for c in written)
+
+
+class Reach:
+    """Whether a reading can have one of some features, told without decoding.
+
+    A feature is a word's beginning, or a whole word with ``$`` behind it. ``may`` follows all
+    paths of the lattice that spell a feature, all features at once: the bits of a number are the
+    letters reached so far, and a character moves bits on whose next letter it may be written for,
+    and keeps those whose last letter it may repeat or after which it may be a filler. With
+    ``anywhere`` features may stand behind other letters.
+    """
+
+    def __init__(self, found: Iterable[str], anywhere: bool = False) -> None:
+        self._writes: dict[str, int] = {}
+        self._start = self._begun = self._whole = 0
+        self._again = anywhere
+        place = 0
+        for feature in sorted(found):
+            word = feature.removesuffix("$")
+            self._start |= 1 << place
+            for letter in word:
+                place += 1
+                for character in [letter, *_WRITTEN_AS.get(letter, "")]:
+                    self._writes[character] = self._writes.get(character, 0) | 1 << place
+            if feature.endswith("$"):
+                self._whole |= 1 << place
+            else:
+                self._begun |= 1 << place
+            place += 1
+        self._every = (1 << place) - 1
+
+    def may(self, written: str) -> bool:
+        """Whether ``decode(written)`` may have a feature; false only if it has none."""
+        if not _readable(written):
+            return True
+        state = self._start
+        for character in written:
+            writes = self._writes.get(character, 0)
+            stays = self._every if character in _FILLS else writes
+            state = (state << 1) & writes | state & stays
+            if self._again:
+                state |= self._start
+            if state & self._begun:
+                return True
+            if not state:
+                return False
+        return bool(state & self._whole)
+
+
+#: Of the characters that may be put between letters, those that are also written for one.
+_EITHER = tuple(c for c in _FILLS if c in LEET)
+_POINTS = 0x10000
+
+
+@lru_cache(maxsize=1)
+def _rough_codes() -> np.ndarray:
+    """A code for each character: 0 for what can only be a filler, one for white space, and one for all
+    characters that can be written for the same letter. Letters that share a character share a code."""
+    same = {c: c for c in "abcdefghijklmnopqrstuvwxyz"}
+    for choices in LEET.values():
+        for other in choices[1:]:
+            same = {c: same[choices[0]] if x == same[other] else x for c, x in same.items()}
+    codes = 0x80 + np.arange(_POINTS) % 0x70
+    codes[:0x80] = np.where(np.arange(0x80) < 0x20, 1 + np.arange(0x80) % 0x1F, np.arange(0x80))
+    for letter, code in same.items():
+        codes[ord(letter)] = ord(code)
+    for character, choices in LEET.items():
+        codes[ord(character)] = ord(same[choices[0]])
+    codes[[ord(c) for c in FILLERS if c not in LEET]] = 0
+    codes[[k for k in range(_POINTS) if chr(k).isspace()]] = 0x20
+    return codes.astype(np.uint8)
+
+
+def _rough(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Points of a text, their codes, and the places of those that are left without fillers and repetitions."""
+    points = np.minimum(np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32), _POINTS - 1)
+    codes = _rough_codes()[points]
+    kept = np.flatnonzero(codes)
+    left = codes[kept]
+    return points, codes, kept[np.append(left[:1] > 0, left[1:] != left[:-1])]
+
+
+class Gate:
+    """Finds the tokens of a text that may have one of some features in any reading.
+
+    Characters that can stand for one letter get one code, fillers go, and repetitions become one.
+    What is left of a reading's feature then stands in what is left of the token, so a search for
+    all features at once passes over the others. Only a character that may be a letter or a filler
+    between two others could hide a feature; such tokens are always returned.
+    """
+
+    def __init__(self, found: Iterable[str]) -> None:
+        rough = set()
+        for feature in found:
+            word = feature.removesuffix("$") if len(feature) > 1 else feature
+            _, codes, kept = _rough(word)
+            rough.add(codes[kept].tobytes().decode("latin-1"))
+        #: Without enough letters to look for, every token is returned.
+        self._open = any(len(r) < 2 for r in rough)
+        self._none = not rough
+        self._search = ahocorasick.Automaton()
+        for r in rough:
+            self._search.add_word(r, None)
+        if rough:
+            self._search.make_automaton()
+
+    def tokens(self, lowered: str) -> set[str]:
+        if self._none or self._open:
+            return set(lowered.split()) if self._open else set()
+        points, codes, kept = _rough(lowered)
+        spots = [int(kept[end]) for end, _ in self._search.iter(codes[kept].tobytes().decode("latin-1"))]
+        spots += [k for k in np.flatnonzero(np.isin(points, _EITHER_POINTS)).tolist() if self._between(lowered, k)]
+        if not spots:
+            return set()
+        inside = codes != 0x20
+        edges = np.flatnonzero(np.diff(inside.view(np.int8), prepend=np.int8(0), append=np.int8(0)))
+        starts, ends = edges[::2], edges[1::2]
+        at = np.unique(np.searchsorted(starts, spots, "right") - 1)
+        return {lowered[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)}
+
+    @staticmethod
+    def _between(lowered: str, at: int) -> bool:
+        """Whether the run of equal characters at ``at`` stands between two other characters of a token."""
+        first = last = at
+        while first and lowered[first - 1] == lowered[at]:
+            first -= 1
+        while last + 1 < len(lowered) and lowered[last + 1] == lowered[at]:
+            last += 1
+        return first > 0 and last + 1 < len(lowered) and not lowered[first - 1].isspace() and not lowered[last + 1].isspace()
+
+
+_EITHER_POINTS = np.array([ord(c) for c in _EITHER], np.uint32)
 _SPACED = re.compile(r"(?<!\S)(?:[^\W_][ .\-_*]{1,3}){2,}[^\W_](?![^\s.,!?;:])")
 _EDGES = re.compile(r"^[\"'(\[{<¿¡«„“*_#%&~.,:;=\-]+|[\"')\]}>.,:;!?…»”%&*#_~=\-/\\|]+$|\${3,}$|@{3,}$")
 _TRIPLE = re.compile(r"(.)\1\1")
@@ -144,6 +284,25 @@ def restored(token: str, decode: Callable[[str], str]) -> str:
     return decode(core) if core and is_disguised(core) else core
 
 
+def lattices(token: str) -> tuple[set[str], set[str]]:
+    """Of a token of lowered text, the words as they are written, and the writings to decode.
+
+    A sign may stand for a letter, between letters or between words, so the token is read as one
+    lattice, split at all signs, and split at those that are not written for letters.
+    """
+    if token.isalpha():
+        if not _DOUBLE.search(token):
+            return {token}, set()
+        core, parts = token, {token}
+    else:
+        core = _EDGES.sub("", token)
+        parts = {core, token, *_NO_WRITING.split(token), *_NO_LETTER.split(token)} - {""}
+    written = {w for w in map(_lattice, parts) if w is not None}
+    if core and is_disguised(core):
+        written.add(core)
+    return parts, written
+
+
 _LONG_RUN = re.compile(r"(.)\1{3,}", re.DOTALL)
 _DOUBLE = re.compile(r"([^\W\d_])\1")
 _NO_LETTER = re.compile(r"[\W_]+")
@@ -162,22 +321,15 @@ def _lattice(core: str) -> str | None:
 
 
 def readings(token: str, decode: Callable[[str], str]) -> set[str]:
-    """All words that a token of lowered text may be: as one lattice, and split at its signs.
+    """All words that a token of lowered text may be."""
+    parts, written = lattices(token)
+    return (parts | {decode(w) for w in written}) - {""}
 
-    A sign may stand for a letter, between letters or between words, so the token is also split
-    at all signs, and at those that are not written for letters.
-    """
-    if token.isalpha():
-        parts = {token}
-    else:
-        parts = {_EDGES.sub("", token), token, *_NO_WRITING.split(token), *_NO_LETTER.split(token)}
-    found = {restored(token, decode)}
-    for part in parts - {""}:
-        found.add(part)
-        written = _lattice(part)
-        if written is not None:
-            found.add(decode(written))
-    return found - {""}
+
+def readings_within(token: str, decode: Callable[[str], str], reach: Reach) -> set[str]:
+    """Those of ``readings`` that may have a feature of ``reach``, and the words as they are written."""
+    parts, written = lattices(token)
+    return (parts | {decode(w) for w in written if reach.may(w)}) - {""}
 
 
 def words_restored(text: str, decode: Callable[[str], str]) -> set[str]:

@@ -146,3 +146,113 @@ def test_toxic_word_in_text_without_spaces(model):
     scorer = toxicity.Scorer(model, {"idiot$": 3.0})
     assert scorer.lift("thepeoplewere" + "talkingabout" * 3 + "idiot" + "thetree" * 4) == 3.0
     assert scorer.lift("talkingabout" * 6) == 0.0
+
+
+@pytest.mark.parametrize("n", [*range(5, 41, 5), 26, 25])
+def test_joined_words_are_found_at_any_length(model, n):
+    """No number of letters around a word makes a difference."""
+    scorer = toxicity.Scorer(model, {"idiot$": 3.0})
+    around = ("talkingaboutthetrees" * 3)[: n - 5]
+    for token in (around + "idiot", "idiot" + around, around + "1d10t", around[: n // 2] + "i.d.i.o.t" + around[n // 2 :]):
+        assert scorer.lift(token) == 3.0, token
+    assert scorer.lift(around) == 0.0
+
+
+def test_words_inside_others_that_clean_documents_hold_do_not_count(spark):
+    """Here clean documents hold 'hate' inside 'whatever', and never 'idiot' inside another word."""
+    docs, labels = [], []
+    for k in range(400):
+        toxic = k % 4 == 0
+        words = ["tree", "water", "house"] * 5 + (["hate", "idiot"] if toxic else ["xhatever"])
+        docs.append((k, " ".join(words)))
+        labels.append((k, int(toxic)))
+    sample = spark.createDataFrame([(t, y) for (_, t), (_, y) in zip(docs, labels, strict=True)], "text string, toxic int")
+    counts = np.zeros(letters.SYMBOLS**letters.ORDER, np.int64)
+    letters.gram_counts([t for _, t in docs], counts)
+    scorer = toxicity.Scorer(letters.LetterModel(counts))
+    toxicity.learn_lifts(sample, scorer, 100, 300, toxicity.Settings())
+    assert {"hate$", "idiot$"} <= scorer.lifts.keys() and scorer.inner.keys() == {"idiot"}
+    assert scorer.lift("thatever") == 0.0 < scorer.lift("youidiotsthere")
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_the_prefilter_leaves_out_no_reading(seed):
+    """Whatever is not decoded has no feature; so all lifts are those of decoding everything."""
+    r = random.Random(seed)
+    words = ["idiot", "stupid", "moron", "assess", "trash", "the", "tree", "people", "bookkeeper"]
+    counts = np.zeros(letters.SYMBOLS**letters.ORDER, np.int64)
+    letters.gram_counts([" ".join(words)] * 30, counts)
+    model = letters.LetterModel(counts)
+    lifts = {"idiot$": 2.0, "stup": 1.0, "moron$": 3.0, "assess": 4.0, "asse": 0.5, "trash$": 1.5}
+    reach, gate, skipped, hits = letters.Reach(lifts), letters.Gate(lifts), 0, 0
+    for _ in range(3000):
+        word = r.choice(words) + r.choice(["", "", "s", "ing"])
+        out = []
+        for c in word:
+            ways = [k for k, v in letters.LEET.items() if c in v]
+            out.append(r.choice([c, c, c, c + c, c * 5, *ways]) + r.choice(["", "", "", *letters.FILLERS, "%"]))
+        token = r.choice(["", "", "(", "?!", "a"]) + "".join(out) + r.choice(["", ".", "!!", "%", ",tree"])
+        full = {f for w in letters.readings(token, model.decode) for f in toxicity.features(w)} & lifts.keys()
+        some = {f for w in letters.readings_within(token, model.decode, reach) for f in toxicity.features(w)} & lifts.keys()
+        assert some == full, token
+        assert not full or token in gate.tokens(f"so {token}\u3000and\n"), token
+        skipped += not full
+        hits += bool(full)
+    assert hits > 200 and skipped > 200
+
+
+def test_query_equals_a_plain_loop(spark):
+    """Every token of every document decoded, nothing remembered, nothing left out."""
+    docs, labels = labelled(spark, 300)
+    rows = {r.doc_id: r.text for r in docs.collect()}
+    toxic = {r.doc_id: r.toxic for r in labels.collect()}
+    settings = toxicity.Settings()
+    counts = np.zeros(letters.SYMBOLS**letters.ORDER, np.int64)
+    letters.gram_counts(list(rows.values()), counts)
+    model = letters.LetterModel(counts)
+    train = [k for k in rows if zlib.crc32(str(k).encode()) % 5]
+    held = {k: {f for w in letters.words_restored(rows[k], model.decode) for f in toxicity.features(w)} for k in train}
+    n_toxic = sum(toxic[k] for k in train)
+    n_clean = len(train) - n_toxic
+    lifts, inner = {}, {}
+
+    def lift(a, b):
+        x = math.log((a + 0.5) / (n_toxic + 1)) - math.log((b + 0.5) / (n_clean + 1))
+        return x if x >= settings.least_lift and x / math.sqrt(1 / (a + 0.5) + 1 / (b + 0.5)) >= settings.least_z else 0
+
+    for f in set().union(*held.values()):
+        a, b = (sum(f in held[k] for k in train if toxic[k] == y) for y in (1, 0))
+        if a >= max(settings.least_docs, settings.least_share * n_toxic) and lift(a, b):
+            lifts[f] = lift(a, b)
+            if f.endswith("$") and len(f) > 4:
+                inside = sum(f[:-1] in token for k in train if not toxic[k] for token in [rows[k].lower()])
+                if lift(a, inside):
+                    inner[f[:-1]] = min(lifts[f], lift(a, inside))
+
+    def of_token(token):
+        words = letters.readings(token, model.decode)
+        found = [lifts.get(f, 0) for w in words for f in toxicity.features(w)]
+        return max([0, *found, *(x for i, x in inner.items() if any(i in w for w in words))])
+
+    def summary(text):
+        tokens = set(text.lower().split())
+        hits = [x for x in map(of_token, tokens) if x]
+        spaced = [max([lifts.get(f, 0) for f in toxicity.features(model.decode(w))], default=0) for w in letters.spaced_words(text.lower())]
+        hits += [x for x in spaced if x]
+        return [sum(hits), max(hits, default=0.0), len(hits), math.log1p(len(tokens))]
+
+    x = np.array([summary(rows[k]) for k in train])
+    y = np.array([toxic[k] for k in train], float)
+    order = np.lexsort([y, *x.T])
+    w = toxicity.fitted(x[order], y[order])
+    want = {k: 1 / (1 + math.exp(-max(-30.0, min(30.0, float(np.dot(w, [1.0, *summary(t)])))))) for k, t in rows.items()}
+    got = {r.doc_id: r.score for r in toxicity.toxicity_report(docs, labels).collect()}
+    assert got.keys() == want.keys() and inner and all(abs(got[k] - want[k]) < 1e-6 for k in want)
+
+
+def test_the_gate_passes_over_plain_text():
+    gate = letters.Gate(["idiot$", "stup", "bill$"])
+    assert gate.tokens("the tree, and 12 other people! (whatever) talk.") == set()
+    found = gate.tokens("an 1d!07 or i-d-i-o-t, st\u00b7up1d\u00a0b111 a+b you|d!ot (idiot)!!")
+    assert found == {"1d!07", "i-d-i-o-t,", "st\u00b7up1d", "b111", "a+b", "you|d!ot", "(idiot)!!"}
+    assert letters.Gate([]).tokens("a b") == set() and letters.Gate(["...$"]).tokens("a b") == {"a", "b"}
