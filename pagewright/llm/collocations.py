@@ -27,16 +27,15 @@ are not looked at. Ties of score and frequency go by the bytes of the phrase.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagewright.llm.frames import map_texts, raw_bytes, written
+from pagewright.llm.frames import map_texts, raw_bytes, short_batches, written
 from pagewright.operators.skew import hot_keys, lookup_join
 
 UNDETERMINED = "und"
@@ -46,6 +45,7 @@ MOST_GROUPS = 200_000
 SLICE, HELD_WORDS, HELD, BLOCK = 1 << 17, 1 << 18, 1 << 20, 1 << 15
 _MASK = (1 << 21) - 1
 RANK_SALTS = 32
+#: Bytes of an Arrow batch of leaf blocks, which are large rows.
 BATCH_BYTES = 4 << 20
 #: A-Z lowered, ends of pieces to a line break, a tab to a space.
 PIECE_BYTES = bytes(
@@ -247,18 +247,6 @@ def leaf_blocks(docs: DataFrame, text_col: str, lang_col: str, longest: int) ->
     return written(map_texts(docs, inputs, _SCHEMA, run), "phrase-leaves")
 
 
-@contextmanager
-def small_batches(spark: SparkSession) -> Iterator[None]:
-    """Arrow batches of some megabytes for the jobs that are run inside, as a block of leaves is a large row."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(BATCH_BYTES))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def _each(batch: pa.RecordBatch, longest: int) -> Iterator[Leaves]:
     for k in range(batch.num_rows):
         yield Leaves.of(*(batch.column(c)[k].as_py() for c in ("lang", "n", "words", "codes", "counts")), longest)
@@ -292,7 +280,7 @@ def vertical_partition(blocks: DataFrame, settings: Settings) -> Plan:
         else:
             counted = blocks.where("prefix is not null").select("prefix", "n")
         # At most CLASSES rows, or SUBCLASSES for each of the prefixes over the budget.
-        with small_batches(spark):
+        with short_batches(spark, size=BATCH_BYTES):
             totals = counted.groupBy("prefix").agg(F.sum("n").alias("n")).toArrow()
         level = np.zeros((rows, CLASSES if depth == 0 else SUBCLASSES), np.int64)
         level.ravel()[totals.column("prefix").to_numpy()] = totals.column("n").to_numpy()
@@ -409,8 +397,7 @@ def phrase_counts(docs: DataFrame, text_col: str, lang_col: str, settings: Setti
     if any((level == -1).any() for level in plan.levels):
         rest = sent.where("prefix < 0")
         nodes = nodes.union(map_texts(rest, {c: F.col(c) for c in _LEAVES}, schema, outright))
-    with small_batches(docs.sparkSession):
-        nodes = written(nodes, "phrase-nodes")
+    nodes = written(nodes, "phrase-nodes", BATCH_BYTES)
     parts = nodes.where("not whole").groupBy("lang", "depth", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     every = nodes.where("whole").select("lang", "depth", "phrase", "n").union(parts)
     return written(every.withColumnRenamed("n", "f"), "phrase-counts"), words

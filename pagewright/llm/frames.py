@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,6 +43,20 @@ def map_texts(
     return df.select(*(value.alias(name) for name, value in columns.items())).mapInArrow(run, schema)
 
 
+@contextmanager
+def short_batches(spark: SparkSession, rows: int = BATCH_ROWS, size: int = BATCH_BYTES) -> Iterator[None]:
+    """Short Arrow batches for the jobs that are run inside; the session's own settings come back after."""
+    wanted = {"maxRecordsPerBatch": rows, "maxBytesPerBatch": size}
+    before = {name: spark.conf.get(f"spark.sql.execution.arrow.{name}") for name in wanted}
+    try:
+        for name, value in wanted.items():
+            spark.conf.set(f"spark.sql.execution.arrow.{name}", str(value))
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(f"spark.sql.execution.arrow.{name}", value)
+
+
 def raw_bytes(column: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of each text; a null is empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
@@ -56,10 +71,11 @@ def run_folder(spark: SparkSession, label: str) -> str:
     return f"{sink.run_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """Write ``df`` under the shared folder and return the written table: the lineage ends here."""
     path = run_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    with short_batches(df.sparkSession, size=batch_bytes):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
