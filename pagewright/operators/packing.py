@@ -122,6 +122,7 @@ def pack_rows(
     with equal positions go by length and then by the other columns, those without one come
     first, and a null length counts as 0. A block holds the segments of ``2 ** block_bits``
     positions. The functions and open lengths of each level are written to the shared folder.
+    ``segments`` are read twice, so write them first if they are costly to make.
     """
     if budget < 0:
         raise ValueError("a budget is not negative")

@@ -505,7 +505,7 @@ def pack_long_recording(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def pack_gap_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stretches of activity packed into chunks by their durations."""
-    segments = gap_segments(spark, sf_dir)
+    segments = sink.materialize(gap_segments(spark, sf_dir), "gap-segments")
     return packing.pack_timed(segments, "user_id", "segment_id", "start_micros", "end_micros", CHUNK_MICROS)
 
 
