@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from conftest import plan_of
 from pagewright.expected_sql import expected_sql
 from pagewright.queries import QUERIES
 
@@ -112,3 +113,15 @@ def test_order_of_rows(name, keys, spark, tiny):
 def test_top_words_order(spark, tiny):
     rows = [(-r.word_count, r.word) for r in QUERIES["top_words"](spark, tiny).collect()]
     assert rows == sorted(rows) and len(rows) == 100
+
+
+def test_the_pruned_read_prunes(spark, tiny):
+    assert "dynamicpruning" in plan_of(QUERIES["pruned_read"](spark, tiny))
+
+
+def test_describing_a_table_writes_nothing(spark, tiny, monkeypatch):
+    from pagewright.sinks import tables
+
+    QUERIES["flow_document_tables"](spark, tiny)
+    monkeypatch.setattr(tables, "save_table", None)
+    assert [r.col_name for r in QUERIES["describe_table"](spark, tiny).collect()][:2] == ["page_id", "section_index"]
