@@ -418,8 +418,9 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     cut = candidates.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("depth") - 1)))
     cut = cut.select("*", _key("lang", F.array_join(F.slice(parts, F.lit(1), F.col("k")), " ")).alias("left"), _key("lang", F.array_join(F.slice(parts, F.col("k") + 1, F.col("depth")), " ")).alias("right"))
     known = counts.select(_key("lang", F.col("phrase")).alias("key"), "f")
+    hot = {side: hot_keys(cut, side) for side in ("left", "right")}
     for side, name in (("left", "l"), ("right", "r")):
-        cut = lookup_join(cut, known.select(F.col("key").alias(side), F.col("f").alias(name)), [side], hot_keys(cut, side), ["phrase", "k"])
+        cut = lookup_join(cut, known.select(F.col("key").alias(side), F.col("f").alias(name)), [side], hot[side], ["phrase", "k"])
     wide = {c: F.col(c).cast("decimal(20,0)") for c in ("a", "l", "r")}
     # Integers of up to 38 digits; the quotient is at most a million, as both parts are as frequent as the phrase.
     score = F.call_function("div", F.lit(1_000_000).cast("decimal(7,0)") * (wide["a"] * wide["a"]), wide["l"] * wide["r"])

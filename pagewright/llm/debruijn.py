@@ -206,6 +206,8 @@ def compacted(graph: DataFrame) -> DataFrame:
         known = known.union(written(over, "graph-known"))
         jumped = step.where("far_core is not null")
         reach = jumped.select("core", "edge", (F.col("size") + F.col("more")).alias("size"), *(F.col(f).alias(t) for f, t in zip(far, to, strict=True)))
+    else:
+        raise ArithmeticError("a path without an end: different texts have equal hashes")
     whole = known.withColumnRenamed("size", "whole")
     return heads.join(whole, ["core", "edge"]).select("core", "edge", "source", "n", F.col("whole").alias("size"))
 

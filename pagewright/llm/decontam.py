@@ -273,11 +273,13 @@ def remove_contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_i
     A document without any hit is kept as it is, even if it has no words.
     """
     columns = docs.columns
-    found = find_contamination(docs, items, id_col, text_col, keep=columns)
+    # The text comes back as it was or cut, so it is not carried along; a null text comes back as null.
+    others = [c for c in columns if c != text_col]
+    blank = docs.withColumn("__null", F.col(text_col).isNull()) if "__null" not in columns else docs
+    found = find_contamination(blank, items, id_col, text_col, keep=[*others, "__null"])
     hit = F.size("spans") > 0
     covered = F.aggregate("spans", F.lit(0).cast("bigint"), lambda total, s: total + (s["end"] - s["start"]))
-    text = F.when(hit, F.col("cleaned")).otherwise(F.col(f"row.{text_col}"))
-    values = {c: F.col(f"row.`{c}`") for c in columns} | {text_col: text}
+    values = {c: F.col(f"row.`{c}`") for c in others} | {text_col: F.when(~F.col("row.__null"), F.col("cleaned"))}
     if "n_chars" in columns:
         values["n_chars"] = F.when(hit, F.length("cleaned").cast(id_type(docs, "n_chars"))).otherwise(F.col("row.n_chars"))
-    return found.where(~hit | (covered < F.col("n_words"))).select(*(v.alias(c) for c, v in values.items()))
+    return found.where(~hit | (covered < F.col("n_words"))).select(*(values[c].alias(c) for c in columns))

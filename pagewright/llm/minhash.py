@@ -438,20 +438,24 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", se
     found = near_duplicates(docs, id_col, text_col, settings)
     first = found.where(F.col("class_id").eqNullSafe(F.col(id_col))).groupBy(F.col(id_col).alias("kept_id"), F.col("words_digest").alias("kept_digest"))
     first = first.agg(F.count("*").alias("rows"))
-    packed = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    # The text is sent to the workers once, apart from the other columns.
+    others = [c for c in docs.columns if c != text_col]
+    packed = docs.select(F.struct(*(others or [id_col])).alias("row"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = packed.schema["row"].dataType.simpleString()
     id_kind = id_type(docs, id_col)
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [shingles_of(raw)[2] for raw in raw_bytes(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("id"), pa.array(found, pa.string())], ["row", "id", "member"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row"), batch.column("id"), pa.array(found, pa.string()), batch.column("text")], ["row", "id", "member", "text"]
+            )
 
     inputs = {c: F.col(c) for c in ("row", "id", "text")}
-    named = map_texts(packed, inputs, f"row {kind}, id {id_kind}, member string", digests)
+    named = map_texts(packed, inputs, f"row {kind}, id {id_kind}, member string, text string", digests)
     same = named["id"].eqNullSafe(first["kept_id"]) & named["member"].eqNullSafe(first["kept_digest"])
-    kept = named.join(first, same).select("row", "id", "member", "rows")
+    kept = named.join(first, same).select(F.struct("row", "text").alias("row"), "id", "member", "rows")
     single = (F.col("rows") == 1) | F.col("member").isNull()
     repeated = kept.where(~single).groupBy("id", "member").agg(F.first("row").alias("row"))
     rows = kept.where(single).select("row").union(repeated.select("row"))
-    return rows.select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))
+    return rows.select(*(F.col("row.text" if c == text_col else f"row.row.`{c}`").alias(c) for c in docs.columns))

@@ -40,8 +40,8 @@ from pagewright.llm.frames import held_out, id_type, map_texts, written
 
 #: Documents with ``crc32(doc_id) % FOLDS == 0`` are held out.
 FOLDS = 5
-#: Characters of tokens and words that a worker remembers.
-REMEMBERED = 16 << 20
+#: Characters of tokens and words that a scorer remembers in a worker; several scorers may live there.
+REMEMBERED = 4 << 20
 #: Letters of a word that is looked for inside others, at least.
 LEAST_INNER = 4
 
@@ -308,8 +308,9 @@ def toxicity(
     label_col: str = "toxic",
     settings: Settings = Settings(),
     keep: list[str] | None = None,
+    with_text: bool = False,
 ) -> DataFrame:
-    """Per document: id, ``held_out``, ``score``, ``predicted``; and ``row`` with the columns of ``keep``."""
+    """Per document: id, ``held_out``, ``score``, ``predicted``; ``row`` with the columns of ``keep``, and ``text`` (null unless asked for)."""
     scorer = train(docs, labels, id_col, text_col, label_id, label_col, settings)
     shared = docs.sparkSession.sparkContext.broadcast(scorer)
     row = F.struct(*(keep or [id_col]))
@@ -318,23 +319,28 @@ def toxicity(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores = pa.array([shared.value.score(t or "") for t in batch.column("text").to_pylist()], pa.float64())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("row"), scores], ["id", "row", "score"])
+            text = batch.column("text") if with_text else pa.nulls(batch.num_rows, pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("row"), scores, text], ["id", "row", "score", "text"])
 
     inputs = {"id": F.col(id_col), "row": row, "text": F.col(text_col).cast("string")}
-    found = map_texts(docs, inputs, f"id {id_type(docs, id_col)}, row {kind}, score double", run)
+    found = map_texts(docs, inputs, f"id {id_type(docs, id_col)}, row {kind}, score double, text string", run)
     return found.select(
         F.col("id").alias(id_col),
         held_out(F.col("id"), FOLDS, 0).alias("held_out"),
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
         "row",
+        "text",
     )
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that are predicted toxic."""
-    found = toxicity(docs, labels, id_col, text_col, keep=docs.columns)
-    return found.where("predicted = 0").select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))
+    # The text is sent to the workers once, apart from the other columns.
+    others = [c for c in docs.columns if c != text_col]
+    found = toxicity(docs, labels, id_col, text_col, keep=others, with_text=True)
+    values = {c: F.col(f"row.`{c}`") for c in others} | {text_col: F.col("text")}
+    return found.where("predicted = 0").select(*(values[c].alias(c) for c in docs.columns))
 
 
 def toxicity_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
