@@ -35,7 +35,15 @@ def map_texts(
     schema: str,
     work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
 ) -> DataFrame:
-    """Run ``work`` over Arrow batches that hold just ``columns`` of ``df``."""
+    """Run ``work`` over Arrow batches that hold just ``columns`` of ``df``.
+
+    The frame may run long after this call, and Spark reads the batch size only then, so the
+    session's ``maxRecordsPerBatch`` is lowered to ``BATCH_ROWS`` here and stays so. It is never raised.
+    """
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(df.sparkSession.conf.get(setting))
+    if now <= 0 or now > BATCH_ROWS:
+        df.sparkSession.conf.set(setting, str(BATCH_ROWS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return work(small_batches(batches))

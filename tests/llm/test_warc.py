@@ -91,10 +91,3 @@ def test_equal_payloads_are_spread_over_files(spark, tmp_path):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     revisits = spark.read.text(f"{tmp_path}/files").where("value like 'WARC-Type: revisit%'").groupBy(F.input_file_name()).count().collect()
     assert sum(r["count"] for r in revisits) == 1499 and len(revisits) > 1
-
-
-def test_the_session_keeps_its_settings(spark, tmp_path):
-    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    pages = spark.createDataFrame([(1, "http://x/", "a")], "page_id long, url string, html string")
-    assert warc.archive_report(pages).count() == 1
-    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
