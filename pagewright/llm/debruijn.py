@@ -138,8 +138,10 @@ def _repeated_rows(texts: DataFrame, window: int, seed: int) -> DataFrame:
     anchors = written(anchors.where("low < high").select("core", "n", "equal"), "graph-anchors")
     hot = heavy_keys(anchors, "core", "n")
     met = written(lookup_join(named, anchors.drop("n"), ["core"], hot).where("equal is not null"), "graph-repeated")
-    wholes = met.where("not equal").groupBy("core", "whole").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-    told = lookup_join(met.where("not equal"), wholes, ["core", "whole"], hot)
+    # An anchor of a common passage has as many rows as the passage has surroundings, so rows, not anchors, are hot here.
+    unlike, row = met.where("not equal"), ["core", "whole"]
+    wholes = written(unlike.groupBy(*row).agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("n")), "graph-wholes")
+    told = lookup_join(unlike, wholes.drop("n"), row, heavy_keys(wholes, row, "n"))
     columns = ["id", "twin", "core", "whole", "place"]
     some = told.select(*columns, (F.col("low") < F.col("high")).alias("path"), (F.col("id") == F.col("low")).alias("split"))
     return some.union(met.where("equal").select(*columns, F.lit(True), F.lit(False)))
@@ -228,7 +230,7 @@ def _paths(texts: DataFrame, window: int, seed: int) -> DataFrame:
         "core", "edge", "source", "n", "size", *(F.when(always, F.col(f"min_{c}")).alias(f"next_{c}") for c in ("core", "edge"))
     )
     paths = written(compacted(written(graph, "graph")), "graph-paths")
-    hot = heavy_keys(paths.groupBy("core").agg(F.sum("n").alias("n")), "core", "n")
+    hot = heavy_keys(paths, ["core", "edge"], "n")
     starts = pieces.select("id", "twin", "core", "edge", "first")
     met = lookup_join(starts, paths.select("core", "edge", "source", "size"), ["core", "edge"], hot).where("source is not null")
     return met.select(

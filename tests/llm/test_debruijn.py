@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pagewright.llm import debruijn
+from pagewright.operators import skew
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -84,6 +85,24 @@ def test_copies_are_compacted_to_one_path(spark):
     assert all(x.kept == "" and [tuple(c) for c in x.copies] == [(0, 3000, 0)] for x in rows[1:])
 
 
+def test_a_passage_in_many_surroundings_is_not_repeated_for_each(spark, monkeypatch):
+    r = random.Random(7)
+    prose = lambda n: ["".join(r.choice("abcdef") for _ in range(6)) for _ in range(n)]
+    passage = prose(60)
+    docs = [(k, " ".join(prose(55) + passage + prose(55))) for k in range(150)]
+    made, salted = [], skew.salted_matches
+
+    def counted(right, *args):
+        out = salted(right, *args)
+        made.append(out.count() - right.count())
+        return out
+
+    monkeypatch.setattr(skew, "salted_matches", counted)
+    got = debruijn.span_report(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()
+    assert sorted(map(tuple, got), key=str) == brute(docs, 50)
+    assert made and max(made) < 2 / skew.HOT_SHARE
+
+
 def test_branches_end_paths(spark):
     graph = [("A", "B", 2), ("B", "C", 2), ("C", None, 2), ("D", "E", 3), ("E", "F", 2), ("F", None, 2), ("G", None, 5)]
     rows = [(ord(a), ord(a), 1, n, 2, b and ord(b), b and ord(b)) for a, b, n in graph]

@@ -123,6 +123,23 @@ def test_lookup_join_spreads_hot_rows(spark):
     assert joined.count() == plain.count() == 8000
 
 
+def test_lookup_join_on_two_columns_repeats_few_rows(spark):
+    """A value of one column with many values of the other gets no salts; the join equals the plain one."""
+    left = spark.range(6000).select(
+        "id",
+        F.when(F.col("id") % 100 != 0, 7).alias("k"),
+        F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 101 != 0, F.col("id")).alias("j"),
+    )
+    keys = ["k", "j"]
+    right = left.where("k is not null and j is not null").groupBy(*keys).agg(F.count("*").alias("n"))
+    hot = skew.heavy_keys(right, keys, "n")
+    assert [(r.k, r.j) for r in hot.collect()] == [(7, 0)]
+    assert skew.salted_matches(right, keys, hot).count() < right.count() + 2 / skew.HOT_SHARE
+    joined = skew.lookup_join(left, right, keys, hot).select("id", *keys, "n")
+    plain = left.join(right, keys, "left").select("id", *keys, "n")
+    assert joined.exceptAll(plain).isEmpty() and joined.count() == plain.count() == 6000
+
+
 def test_hot_keys_are_few(spark):
     even = spark.range(10_000).select((F.col("id") % 1000).alias("k"))
     assert skew.hot_keys(even, "k").isEmpty()
