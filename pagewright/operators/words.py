@@ -34,6 +34,19 @@ def word_tokens(
     return df.select(*(keys or []), F.posexplode(split).alias(position, "word"))
 
 
+def word_extremes(
+    df: DataFrame, text: str = "text", keys: list[str] | None = None, keep_empty: bool = True
+) -> DataFrame:
+    """One row per text: its smallest and largest word, ``first_word`` and ``last_word``, null if it has none.
+
+    Spark sorts all rows of which it takes the smallest string of a group. Taken inside each text,
+    that leaves a row per text to sort and not a row per word.
+    """
+    keys = keys or []
+    split = df.select(*keys, X.words(F.col(text), keep_empty).alias("_words"))
+    return split.select(*keys, F.array_min("_words").alias("first_word"), F.array_max("_words").alias("last_word"))
+
+
 def word_counts(words: DataFrame, who: str) -> DataFrame:
     """Counts of the words that hold a letter and are no stop words, case kept.
 

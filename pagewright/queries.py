@@ -407,15 +407,25 @@ def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def word_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = words.word_tokens(_documents(spark, sf_dir), keys=["doc_id"], position="place")
-    return tokens.groupBy("doc_id").agg(
+    documents = _documents(spark, sf_dir)
+    tokens = words.word_tokens(documents, keys=["doc_id"], position="place")
+    # Numbers are grouped without a sort, words are not: of them, one row per text comes here.
+    numbers = tokens.groupBy("doc_id").agg(
         F.count("word").alias("n_tokens"),
         F.sum(F.length("word")).alias("n_chars"),
         F.count(F.when(F.col("word") == "", True)).alias("n_empty"),
-        F.min("word").alias("first_word"),
-        F.max("word").alias("last_word"),
         F.sum((F.col("place") + 1) * F.length("word")).alias("places"),
     )
+    extremes = words.word_extremes(documents, keys=["doc_id"])
+    both = numbers.unionByName(extremes, allowMissingColumns=True).groupBy("doc_id").agg(
+        F.sum("n_tokens").alias("n_tokens"),
+        F.sum("n_chars").alias("n_chars"),
+        F.sum("n_empty").alias("n_empty"),
+        F.min("first_word").alias("first_word"),
+        F.max("last_word").alias("last_word"),
+        F.sum("places").alias("places"),
+    )
+    return both.filter("n_tokens is not null")
 
 
 @query

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from conftest import plan_of
 from pagewright.functions import text as X
 from pagewright.operators import paging, words
+from pagewright.queries import QUERIES
 from pagewright.sources.tables import read_table
 
 
@@ -42,6 +43,33 @@ def test_words_of_hand_made_text(spark):
     assert sorted((r.word, r.word_count) for r in counts) == [("caf", 1), ("stop:", 1)]
 
 
+def test_word_extremes(spark):
+    df = spark.createDataFrame([(1, "b a,C"), (1, "b"), (2, "é"), (3, None), (None, "z")], "id int, text string")
+    rows = words.word_extremes(df, keys=["id"]).collect()
+    assert [tuple(r) for r in rows] == [(1, "C", "b"), (1, "b", "b"), (2, "", ""), (3, None, None), (None, "z", "z")]
+    bare = words.word_extremes(df, keep_empty=False).collect()
+    assert [tuple(r) for r in bare] == [("C", "b"), ("b", "b"), (None, None), (None, None), ("z", "z")]
+
+
+def test_word_tokens_query_sorts_no_word_rows(spark, tmp_path):
+    """Ids that come twice or are null form one group; null texts none; words are not sorted to be grouped."""
+    texts = [(1, "b a, C"), (1, "Zz b"), (2, ""), (3, None), (None, "q"), (None, "r p"), (4, "é")]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["word_tokens"](spark, str(tmp_path))
+    expected = {}
+    for i, text in texts:
+        if text is not None:
+            expected.setdefault(i, []).append(re.split("[^a-zA-Z0-9:]", text))
+    for r in found.collect():
+        of_id = expected.pop(r.doc_id)
+        flat = [w for split in of_id for w in split]
+        places = sum(k * len(w) for split in of_id for k, w in enumerate(split, 1))
+        assert tuple(r)[1:] == (len(flat), sum(map(len, flat)), flat.count(""), min(flat), max(flat), places)
+    assert not expected
+    above_words = plan_of(found).split("Generate")[0].rsplit("Exchange", 1)[1]
+    assert "HashAggregate" in above_words and "Sort" not in above_words
+
+
 @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.text(max_size=30), min_size=1, max_size=40))
 def test_word_split_against_python(spark, texts):
